@@ -130,56 +130,72 @@ def _answers(tagged: DataFrame, max_pages: int) -> DataFrame:
 
 
 def _choose(days: DataFrame, target: int, threshold: int, max_pages: int) -> DataFrame:
-    none = F.filter("items", lambda x: F.lit(False))
+    """The searches in turn, then the further pages; all on the bounded arrays of one day."""
+    stand_in = F.col("advanced_failed")
+    first = F.struct(
+        F.when(stand_in, F.lit("strict")).otherwise(F.lit("advanced")).alias("lane"),
+        F.lit("ticker").alias("term"),
+        F.when(stand_in, F.lit("regular")).otherwise(F.lit("advanced")).alias("endpoint"),
+    )
+    followers = [
+        F.struct(
+            F.lit("regular" if term == "ticker" else term).alias("lane"),
+            F.lit(term).alias("term"),
+            F.lit("regular").alias("endpoint"),
+        )
+        for term in SEARCH_SOURCES
+    ]
+
+    def step(state: Column, search: Column) -> Column:
+        # A regular search that already stood in for the failed one is not repeated.
+        repeat = (search["lane"] == "regular") & (F.coalesce(state["endpoint"], F.lit("")) == "regular")
+        due = (F.size(state["held"]) < threshold) & ~repeat
+        urls = F.filter(F.transform(state["held"], lambda x: x["url"]), lambda u: u != "")
+        new = F.filter(
+            F.col("items"),
+            lambda x: due
+            & (x["lane"] == search["lane"])
+            & (x["page"] == 1)
+            & ~F.coalesce(F.array_contains(urls, x["url"]), F.lit(False)),
+        )
 
-    def lane(name: Column | str, page: int = 1) -> Column:
-        return F.filter("items", lambda x: (x["lane"] == name) & (x["page"] == page))
+        def extend(found: Column) -> Column:
+            grew = F.size(found) > 0
+            return F.struct(
+                F.concat(state["held"], found).alias("held"),
+                F.when(grew, search["endpoint"]).otherwise(state["endpoint"]).alias("endpoint"),
+                F.when(grew, F.array_union(state["used"], F.array(search["term"]))).otherwise(state["used"]).alias("used"),
+            )
 
-    days = days.where("items IS NOT NULL").withColumn(
-        "held", F.when(F.col("advanced_failed"), lane(F.lit("strict"))).otherwise(lane(F.lit("advanced")))
-    )
-    found = F.size("held") > 0
-    days = days.withColumns(
-        {
-            "endpoint_used": F.when(found, F.when(F.col("advanced_failed"), F.lit("regular")).otherwise(F.lit("advanced"))),
-            "used": F.when(found, F.array(F.lit("ticker"))).otherwise(F.array().cast("array<string>")),
-        }
+        # One-element transform, so that the new articles are worked out once.
+        return F.get(F.transform(F.array(new), extend), F.lit(0))
+
+    start = F.struct(
+        F.filter("items", lambda x: F.lit(False)).alias("held"),
+        F.lit(None).cast("string").alias("endpoint"),
+        F.array().cast("array<string>").alias("used"),
     )
-    for term in SEARCH_SOURCES:
-        name = "regular" if term == "ticker" else term
-        due = F.size("held") < threshold
-        if term == "ticker":
-            # A regular search that already stood in for the failed one is not repeated.
-            due = due & ~F.coalesce(F.col("endpoint_used") == "regular", F.lit(False))
-        urls = F.filter(F.transform("held", lambda x: x["url"]), lambda u: u != "")
-        new = F.filter(lane(F.lit(name)), lambda x: ~F.coalesce(F.array_contains(F.col("_urls"), x["url"]), F.lit(False)))
-        days = days.withColumn("_urls", urls).withColumn("_new", F.when(due, new).otherwise(none))
-        grew = F.size("_new") > 0
-        days = days.withColumns(
-            {
-                "held": F.concat("held", "_new"),
-                "endpoint_used": F.when(grew, F.lit("regular")).otherwise(F.col("endpoint_used")),
-                "used": F.when(grew, F.array_union("used", F.array(F.lit(term)))).otherwise(F.col("used")),
-            }
-        )
-    endpoint = F.coalesce("endpoint_used", F.lit("advanced"))
+    searched = days.where("items IS NOT NULL").withColumn("_state", F.aggregate(F.array(first, *followers), start, step))
+    endpoint = F.coalesce("_state.endpoint", F.lit("advanced"))
     arrived = F.when(endpoint == "regular", F.col("regular_pages")).otherwise(F.col("advanced_pages"))
     # Pages count up to the first gap.
-    run = F.aggregate(
+    last_page = F.aggregate(
         F.sequence(F.lit(2), F.lit(max_pages)),
         F.lit(1),
-        lambda last, page: F.when((last == page - 1) & F.array_contains(F.col("_arrived"), page), page).otherwise(last),
+        lambda last, page: F.when((last == page - 1) & F.array_contains(arrived, page), page).otherwise(last),
     )
-    days = days.withColumns({"_arrived": arrived, "_lane": endpoint}).withColumn("_last_page", run)
+    paged = searched.withColumns({"_endpoint": endpoint, "_last_page": last_page})
     further = F.filter(
-        "items", lambda x: (x["lane"] == F.col("_lane")) & (x["page"] > 1) & (x["page"] <= F.col("_last_page"))
+        "items", lambda x: (x["lane"] == F.col("_endpoint")) & (x["page"] > 1) & (x["page"] <= F.col("_last_page"))
+    )
+    held = F.col("_state.held")
+    chosen = F.when(F.size(held) >= target, held).otherwise(_distinct_articles(F.concat(held, further)))
+    return paged.select(
+        *DAY,
+        F.slice(chosen, 1, target).alias("chosen"),
+        F.coalesce("_state.endpoint", F.lit("none")).alias("endpoint_used"),
+        F.col("_state.used").alias("used"),
     )
-    days = days.withColumn("_all", F.concat("held", further))
-    full = F.size("held") >= target
-    return days.withColumn(
-        "chosen",
-        F.when(full, F.slice("held", 1, target)).otherwise(F.slice(_distinct_articles(F.col("_all")), 1, target)),
-    ).select(*DAY, "chosen", F.coalesce("endpoint_used", F.lit("none")).alias("endpoint_used"), "used")
 
 
 def _distinct_articles(items: Column) -> Column:

@@ -41,7 +41,11 @@ def sentiment_correlation(
         earlier = F.lag(score, lag_days).over(Window.partitionBy("ticker").orderBy("date_key"))
         joined = joined.withColumn(score, earlier)
     pairs = joined.where(F.col(score).isNotNull() & F.col(change).isNotNull())
-    return pairs.groupBy("ticker").agg(F.count("*").alias("days"), F.corr(score, change).alias("correlation"))
+    # A ticker whose sentiment or price never moved has no correlation.
+    spread = F.stddev_pop(score) * F.stddev_pop(change)
+    return pairs.groupBy("ticker").agg(
+        F.count("*").alias("days"), F.try_divide(F.covar_pop(score, change), spread).alias("correlation")
+    )
 
 
 def sentiment_trend(daily: DataFrame, score: str = "avg_vader_compound", days: int = 7) -> DataFrame:

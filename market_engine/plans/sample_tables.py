@@ -61,3 +61,88 @@ def news(spark: SparkSession, folder: str) -> DataFrame:
         F.when(F.col("doc_id") % 11 != 0, F.col("text")).alias("text"),
         F.when(F.col("doc_id") % 17 != 0, F.concat(F.lit("http://n/"), F.md5("text"))).alias("url"),
     )
+
+
+def tickers(spark: SparkSession, folder: str) -> DataFrame:
+    """One ticker per document source, named by two letters so that some texts mention it."""
+    letter = F.chr(97 + F.expr("cast(substring(source, 4) as int)"))
+    number = F.expr("cast(substring(source, 4) as int)")
+    return (
+        table(spark, folder, "documents")
+        .select("source")
+        .distinct()
+        .select(
+            F.concat(F.lit("E"), F.upper(letter)).alias("ticker"),
+            F.concat(F.lit("o"), letter).alias("company_name"),
+            F.when(number % 3 != 0, F.concat(F.lit("u"), letter)).alias("abbrev1"),
+            F.when(number % 4 != 0, F.lit("tion")).alias("abbrev2"),
+        )
+    )
+
+
+def candidates(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents as answers to searches; 400 consecutive documents make up a day."""
+    doc, day = F.col("doc_id"), F.floor(F.col("doc_id") / 400).cast("int")
+    # Every second day most answers come from the advanced search.
+    slot = doc % 10 - F.when(day % 2 == 1, 4).otherwise(0)
+    term = F.when(slot == 5, "company_name").when(slot == 6, "abbrev1").when(slot == 7, "abbrev2").otherwise("ticker")
+    page = F.when(slot >= 8, 2 + F.floor(doc / 10) % 2).otherwise(1)
+    endpoint = F.when((slot < 3) | (slot == 8), "advanced").otherwise("regular")
+    return table(spark, folder, "documents").select(
+        F.concat(F.lit("E"), F.upper(F.chr(97 + F.expr("cast(substring(source, 4) as int)")))).alias("ticker"),
+        F.date_add(F.lit("1995-01-02").cast("date"), day).alias("date"),
+        endpoint.alias("endpoint"),
+        term.alias("term"),
+        page.cast("int").alias("page"),
+        doc.alias("rank"),
+        F.substring_index("text", "\n", 1).alias("title"),
+        "text",
+        F.when(doc % 17 != 0, F.concat(F.lit("http://n/"), (doc % 350).cast("string"))).alias("url"),
+        (doc % 37 == 0).alias("failed"),
+    )
+
+
+def chart_payloads(spark: SparkSession, folder: str) -> DataFrame:
+    """Chart answers per ticker and year; the open prices of each lack the last day."""
+    day = bars(spark, folder).withColumn("year", F.year("date"))
+    ordered = F.array_sort(F.collect_list(F.struct("date", "open", "high", "low", "close", "volume")))
+    answers = day.groupBy("ticker", "year").agg(ordered.alias("days"))
+
+    def values(name: str):
+        return F.transform("days", lambda d: d[name])
+
+    times = F.transform("days", lambda d: F.unix_seconds(d["date"].cast("timestamp")) + 43200)
+    quote = F.struct(
+        F.slice(values("open"), 1, F.size("days") - 1).alias("open"),
+        values("high").alias("high"),
+        values("low").alias("low"),
+        values("close").alias("close"),
+        F.transform("days", lambda d: d["volume"].cast("bigint")).alias("volume"),
+    )
+    result = F.struct(times.alias("timestamp"), F.struct(F.array(quote).alias("quote")).alias("indicators"))
+    body = F.to_json(F.struct(F.struct(F.array(result).alias("result")).alias("chart")))
+    return answers.select(
+        F.col("ticker").alias("symbol"), F.concat(F.lit("<pre>"), body, F.lit("</pre>")).alias("payload")
+    )
+
+
+def news_payloads(spark: SparkSession, folder: str) -> DataFrame:
+    """One answer per document; every thirteenth has no data entry."""
+    article = F.struct(
+        F.substring_index("text", "\n", 1).alias("title"),
+        F.col("text"),
+        F.lit("2024-01-02").alias("date"),
+        F.concat(F.lit("http://n/"), F.md5("text")).alias("url"),
+        F.col("source"),
+    )
+    full = F.to_json(F.struct(F.array(article).alias("data")))
+    return table(spark, folder, "documents").select(
+        "doc_id", F.when(F.col("doc_id") % 13 == 0, F.lit('{"message": "none"}')).otherwise(full).alias("payload")
+    )
+
+
+def lexicon(spark: SparkSession) -> DataFrame:
+    """A small word list for trying out the lexicon scores."""
+    return spark.sql(
+        "SELECT * FROM VALUES ('the', 0.5D), ('and', -0.3D), ('of', 1.2D), ('is', -1.1D), ('that', 0.8D) AS t(word, valence)"
+    )
