@@ -49,7 +49,10 @@ def repaired_high() -> Column:
 
 
 def repaired_low() -> Column:
-    return F.when(invalid_ohlc(), F.least("low", "open", "close", "high")).otherwise(F.col("low"))
+    # The old high may lie below the bar and must not pull the low down with it.
+    return F.when(invalid_ohlc(), F.least(F.col("low"), F.col("open"), F.col("close"), repaired_high())).otherwise(
+        F.col("low")
+    )
 
 
 def doji() -> Column:

@@ -11,13 +11,13 @@ import math
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import ohlc
 from . import recurrence
 from .recurrence import Scan
-from .windows import BLOCK, block_window, cumulative, lagged, rolling, ticker_window, with_blocks
+from .windows import block_window, cumulative, lagged, rolling, ticker_window, with_blocks
 
 # Dependency levels, in order of evaluation.
 BARS, RETURNS, RETURN_WINDOWS, INDICATORS, SIGNAL, FINAL = range(6)
@@ -80,7 +80,8 @@ def _ema_scan(n: int) -> Scan:
     alpha = 2.0 / (n + 1)
     seed = F.col("_closes") == 1
     step = F.when(seed, F.col("close")).otherwise(F.col("close") * alpha)
-    return Scan(f"ema_{n}", "_close_steps", F.when(F.col("close").isNotNull(), step).otherwise(0.0), 1 - alpha)
+    value = F.when(F.col("close").isNotNull(), step).otherwise(0.0)
+    return Scan(f"ema_{n}", "_close_steps", value, 1 - alpha, started="_closes")
 
 
 def _ema_levels(days: Iterable[int]) -> dict[int, dict[str, Column]]:
@@ -141,13 +142,14 @@ def momentum(days: Iterable[int] = (5, 20)) -> Feature:
 
 
 def bollinger(days: int = 20, width: float = 2.0) -> Feature:
-    middle, std = F.col("bb_middle"), F.col("bb_std")
+    middle, std = F.col(f"sma_{days}"), F.col("bb_std")
     upper, lower = F.col("bb_upper"), F.col("bb_lower")
     return Feature(
         ["bb_middle", "bb_upper", "bb_lower", "bb_width", "bb_percent_b"],
         {
-            BARS: {"bb_middle": rolling(F.avg, "close", days), "bb_std": rolling(F.stddev_samp, "close", days)},
-            RETURNS: {"bb_upper": middle + width * std, "bb_lower": middle - width * std},
+            # The middle band is the simple average, under the name the averages use so that both share it.
+            BARS: {f"sma_{days}": rolling(F.avg, "close", days), "bb_std": rolling(F.stddev_samp, "close", days)},
+            RETURNS: {"bb_middle": middle, "bb_upper": middle + width * std, "bb_lower": middle - width * std},
             RETURN_WINDOWS: {
                 "bb_width": upper - lower,
                 "bb_percent_b": F.when(upper != lower, (F.col("close") - lower) / (upper - lower)),
@@ -157,10 +159,8 @@ def bollinger(days: int = 20, width: float = 2.0) -> Feature:
     )
 
 
-def macd(fast: int = 12, slow: int = 26, signal_days: int = 9, signal: str = "sma") -> Feature:
-    """The signal line is a moving average of the MACD line; ``signal="ema"`` needs the second pass in ``macd_ema``."""
-    if signal != "sma":
-        raise ValueError("use macd_ema() for an exponential signal line")
+def macd(fast: int = 12, slow: int = 26, signal_days: int = 9) -> Feature:
+    """The signal line is a simple average of the MACD line; ``macd_with_ema_signal`` has the exponential one."""
     return Feature(
         ["macd", "macd_signal", "macd_histogram"],
         {
@@ -174,6 +174,16 @@ def macd(fast: int = 12, slow: int = 26, signal_days: int = 9, signal: str = "sm
     )
 
 
+def macd_with_ema_signal(bars: DataFrame, fast: int = 12, slow: int = 26, signal_days: int = 9) -> DataFrame:
+    """MACD whose signal is an exponential average, a second pass over the same partitions."""
+    lines = compute(bars, [macd(fast, slow, signal_days)]).drop("macd_signal", "macd_histogram")
+    # The averages work on a column named close.
+    as_close = lines.withColumnsRenamed({"close": "_price", "macd": "close"})
+    smooth = compute(as_close, [ema([signal_days])])
+    named = smooth.withColumnsRenamed({"close": "macd", "_price": "close", f"ema_{signal_days}": "macd_signal"})
+    return named.withColumn("macd_histogram", F.col("macd") - F.col("macd_signal"))
+
+
 def rsi(days: int = RSI_DAYS) -> Feature:
     """Wilder averages of gains and losses; NULL where nothing was lost so far."""
     change = F.col("close") - F.col("prev_close")

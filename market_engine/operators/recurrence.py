@@ -24,12 +24,16 @@ MAX_EXPONENT = 650.0
 
 @dataclass(frozen=True)
 class Scan:
-    """One recurrence: result column, step counter column, input expression, decay."""
+    """One recurrence: result column, step counter column, input expression, decay.
+
+    The result is NULL while the count in ``started`` is zero.
+    """
 
     name: str
     steps: str
     value: Column
     decay: float
+    started: str | None = None
 
 
 def block_days(decays: list[float]) -> int:
@@ -70,4 +74,5 @@ def _result(s: Scan) -> Column:
         F.lit(0.0),
         lambda acc, end: acc * F.pow(F.lit(s.decay), end[s.steps]) + end[f"_local_{s.name}"],
     )
-    return F.col(f"_local_{s.name}") + carry * F.pow(F.lit(s.decay), F.col(s.steps))
+    value = F.col(f"_local_{s.name}") + carry * F.pow(F.lit(s.decay), F.col(s.steps))
+    return F.when(F.col(s.started) > 0, value) if s.started else value

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -109,6 +108,19 @@ def sma_min_periods(spark, folder):
     return rounded(out.select(*KEY, "sma_5", "sma_50"))
 
 
+@query
+def macd_ema_signal(spark, folder):
+    out = features.macd_with_ema_signal(sample.bars(spark, folder))
+    return rounded(out.select(*KEY, "macd", "macd_signal", "macd_histogram"))
+
+
+@query
+def sorted_prices(spark, folder):
+    """In (ticker, date) order, which takes a range shuffle."""
+    out = features.compute(sample.bars(spark, folder), [features.drawdown()])
+    return rounded(out.select(*KEY, "close", "drawdown").orderBy(*KEY))
+
+
 @query
 def silver_prices(spark, folder):
     return price_plan.silver_prices(sample.bars(spark, folder), SAMPLE_MIN_BARS, stamp=False)
@@ -327,34 +339,39 @@ def prob_sentiment(spark, folder):
     return rounded(_probabilities(spark, folder).drop("logits"))
 
 
-def _count_letters():
-    """Stands in for a model: logits from letter frequencies."""
+def _letter_model():
+    """Stands in for a model: logits from letter frequencies.
+
+    Functions made inside a function travel to the workers whole, which then need not have this package.
+    """
+
+    def load():
+        def model(texts):
+            n = texts.str.len()
+            return list(zip(*[texts.str.count(letter) / n * 10 for letter in "eao"]))
 
-    def model(texts: pd.Series):
-        n = texts.str.len()
-        shares = [texts.str.count(letter) / n * 10 for letter in "eao"]
-        return pd.concat(shares, axis=1).to_numpy()
+        return model
 
-    return model
+    return load
 
 
 def _scored_news(spark, folder):
     """Silver-like news: transformed, scored by both methods."""
     articles = news_plan.transform(sample.news(spark, folder))
     words = sentiment.lexicon_scores(articles, sample.lexicon(spark), ["doc_id"])
-    return sentiment.model_scores(articles.join(words, "doc_id"), _count_letters, LABELS)
+    return sentiment.model_scores(articles.join(words, "doc_id"), _letter_model(), LABELS)
 
 
 @query
 def model_sentiment(spark, folder):
     articles = news_plan.transform(sample.news(spark, folder))
-    out = sentiment.model_scores(articles, _count_letters, LABELS)
+    out = sentiment.model_scores(articles, _letter_model(), LABELS)
     return rounded(out.select("doc_id", "finbert_score", "finbert_label"))
 
 
 @query
 def silver_news(spark, folder):
-    out = news_plan.silver_news(sample.news(spark, folder), sample.lexicon(spark), ["doc_id"], _count_letters, LABELS)
+    out = news_plan.silver_news(sample.news(spark, folder), sample.lexicon(spark), ["doc_id"], _letter_model(), LABELS)
     return rounded(out.drop("ingestion_timestamp", "sentiment_timestamp"))
 
 

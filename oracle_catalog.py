@@ -201,7 +201,7 @@ CLEAN_BARS = f"""
 single AS (
   SELECT symbol AS ticker, date, open, close, volume,
          CASE WHEN {INVALID} THEN greatest(high, open, close, low) ELSE high END AS high,
-         CASE WHEN {INVALID} THEN least(low, open, close, high) ELSE low END AS low
+         CASE WHEN {INVALID} THEN least(low, open, close, greatest(high, open, close, low)) ELSE low END AS low
   FROM (SELECT *, row_number() OVER (PARTITION BY symbol, date ORDER BY l_orderkey, l_linenumber, l_partkey) AS k FROM dirty)
   WHERE k = 1),
 bars AS MATERIALIZED (
@@ -235,7 +235,7 @@ def _duplicates(table: str, keys: str) -> str:
 
 def _gaps(table: str, ticker: str, date: str, days: int) -> str:
     return (
-        f"SELECT ticker, gap_start, gap_end, date_diff('day', gap_start, gap_end) AS gap_days FROM ("
+        f"SELECT ticker, gap_start, gap_end, CAST(date_diff('day', gap_start, gap_end) AS INTEGER) AS gap_days FROM ("
         f"SELECT ticker, d AS gap_end, lag(d) OVER (PARTITION BY ticker ORDER BY d) AS gap_start "
         f"FROM (SELECT DISTINCT {ticker} AS ticker, {date} AS d FROM {table}) WHERE d IS NOT NULL) "
         f"WHERE date_diff('day', gap_start, gap_end) > {days}"
@@ -432,6 +432,15 @@ ORACLE: dict[str, str] = {
     "FROM feat WHERE ticker = 'SRC7'",
     "sma_min_periods": f"WITH {BARS}, {FEATURES} SELECT ticker, date, CASE WHEN rn >= 5 THEN round(sma_5, 4) END AS sma_5, "
     "CASE WHEN rn >= 5 THEN round(sma_50, 4) END AS sma_50 FROM feat",
+    "sorted_prices": f"WITH {BARS}, {FEATURES} SELECT ticker, date, {_round('close drawdown')} FROM feat ORDER BY ticker, date",
+    "macd_ema_signal": f"""WITH RECURSIVE {BARS}, {FEATURES}, {RECURSION},
+lines AS MATERIALIZED (SELECT ticker, date, rn, macd FROM averaged),
+smooth AS (
+  SELECT ticker, date, rn, macd, macd AS signal FROM lines WHERE rn = 1
+  UNION ALL
+  SELECT l.ticker, l.date, l.rn, l.macd, l.macd * 0.2 + s.signal * 0.8
+  FROM smooth s JOIN lines l ON l.ticker = s.ticker AND l.rn = s.rn + 1)
+SELECT ticker, date, round(macd, 4) AS macd, round(signal, 4) AS macd_signal, round(macd - signal, 4) AS macd_histogram FROM smooth""",
     "silver_prices": f"WITH RECURSIVE {BARS}, {FEATURES}, {RECURSION} SELECT f.ticker, f.date, f.date AS date_key, "
     f"{_round(PRICE_NUMBERS, 'f.')}, {', '.join('f.' + c for c in FLAGS.split())}, {_round(AVERAGES, 'a.')}, "
     "round(a.macd - a.macd_signal, 4) AS macd_histogram FROM feat f JOIN averaged a ON a.ticker = f.ticker AND a.date = f.date "
@@ -457,7 +466,7 @@ ORACLE: dict[str, str] = {
     + f" FROM dirty WHERE {INVALID}",
     "ohlc_repair": f"WITH {DIRTY} SELECT symbol, date, l_orderkey, l_linenumber, l_partkey, {_round('open close')}, "
     f"round(CASE WHEN {INVALID} THEN greatest(high, open, close, low) ELSE high END, 4) AS high, "
-    f"round(CASE WHEN {INVALID} THEN least(low, open, close, high) ELSE low END, 4) AS low FROM dirty",
+    f"round(CASE WHEN {INVALID} THEN least(low, open, close, greatest(high, open, close, low)) ELSE low END, 4) AS low FROM dirty",
     "zero_negative": f"WITH {EVENT_BARS} SELECT count(*) AS records, "
     "count(*) FILTER (WHERE open < 0 OR high < 0 OR low < 0 OR close < 0) AS negative_prices, "
     + ", ".join(f"count(*) FILTER (WHERE {c} <= 0) AS non_positive_{c}" for c in ("open", "high", "low", "close"))
@@ -555,7 +564,7 @@ ORACLE: dict[str, str] = {
     f"SELECT ticker, count(*) AS articles, {', '.join(_mix(x) for x in ('ticker', 'company_name', 'abbrev1', 'abbrev2'))} FROM found GROUP BY ticker",
     "company_names": f"WITH {TICKERS}, {CANDIDATES} SELECT rank, ticker, company_name, abbrev1, abbrev2 FROM candidates JOIN tickers USING (ticker)",
     "incremental_ranges": f"WITH {BARS} SELECT max(date) + 1 AS start_date, {TODAY} AS end_date FROM bars HAVING max(date) + 1 <= {TODAY}",
-    "first_load_range": f"SELECT {TODAY} - 365 AS start_date, {TODAY} AS end_date",
+    "first_load_range": f"WITH {BARS} SELECT coalesce(max(date) + 1, {TODAY} - 365) AS start_date, {TODAY} AS end_date FROM bars WHERE close < 0",
     "ticker_ranges": f"WITH {BARS}, {RANGES} SELECT * FROM ranges",
     "day_spine": f"WITH {BARS}, {RANGES} SELECT ticker, CAST(unnest(generate_series(start_date, end_date, INTERVAL 1 DAY)) AS DATE) AS date FROM ranges",
     "missing_days": f"WITH {BARS}, spine AS (SELECT ticker, CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS date FROM "
