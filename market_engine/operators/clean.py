@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import ohlc, text
+from .joins import lookup_table
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str | Column], order: Sequence[str | Column]) -> DataFrame:
@@ -46,7 +47,7 @@ def in_range(df: DataFrame, start, end, column: str = "date") -> DataFrame:
 
 def only_tickers(df: DataFrame, tickers: Sequence[str] | DataFrame, column: str = "ticker") -> DataFrame:
     if isinstance(tickers, DataFrame):
-        return df.join(tickers.select(column).distinct(), column, "left_semi")
+        return df.join(lookup_table(tickers, [column]), column, "left_semi")
     return df.where(F.col(column).isin(list(tickers)))
 
 
@@ -91,12 +92,22 @@ def unknown_columns(df: DataFrame, schema) -> list[str]:
     return [c for c in df.columns if c not in schema.fieldNames()]
 
 
-def dedup_articles(news: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
-    """One article per key and url; articles without a url are told apart by title."""
+IDENTITY = ("_no_url", "_identity")
+
+
+def dedup_articles(
+    news: DataFrame, keys: Sequence[str], order: Sequence[str | Column], keep_identity: bool = False
+) -> DataFrame:
+    """One article per key and url; articles without a url are told apart by title.
+
+    With ``keep_identity`` the columns that, after ``keys``, identify an article stay in the result. Rows are
+    partitioned by all of them.
+    """
     no_url = text.blank(F.col("url"))
     identity = F.when(no_url, text.strip(F.col("title"))).otherwise(F.col("url"))
-    tagged = news.withColumns({"_no_url": no_url, "_identity": identity})
-    return first_per_key(tagged, [*keys, "_no_url", "_identity"], order).drop("_no_url", "_identity")
+    tagged = news.withColumns(dict(zip(IDENTITY, (no_url, F.coalesce(identity, F.lit(""))))))
+    single = first_per_key(tagged, [*keys, *IDENTITY], order)
+    return single if keep_identity else single.drop(*IDENTITY)
 
 
 def dedup_articles_by_url_then_title(

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scores
+from .joins import lookup_table
 
 TOKEN = "[a-z]+"
 LEXICON_COLUMNS = ("vader_compound", "vader_pos", "vader_neu", "vader_neg")
@@ -25,7 +26,7 @@ def lexicon_scores(articles: DataFrame, lexicon: DataFrame, keys: Sequence[str],
     tokens = F.regexp_extract_all(F.lower(F.col(column)), F.lit(TOKEN), F.lit(0))
     words = articles.select(*keys, (F.coalesce(F.col(column), F.lit("")) == "").alias("_empty"), F.explode_outer(tokens).alias("word"))
     # A word listed twice would count twice; the largest entry wins.
-    valences = lexicon.groupBy("word").agg(F.max("valence").cast("double").alias("valence"))
+    valences = lookup_table(lexicon, ["word"], F.max("valence").cast("double").alias("valence"))
     valence = F.coalesce("valence", F.lit(0.0))
     sums = (
         words.join(valences, "word", "left")
@@ -98,9 +99,8 @@ def probability_scores(df: DataFrame, logits: str, labels: Sequence[str]) -> Dat
 def attach_scores(articles: DataFrame, scored: DataFrame, keys: Sequence[str] = ("ticker", "date_key", "url")) -> DataFrame:
     """Left join of separately stored scores; a repeated key takes one score row, so nothing multiplies."""
     columns = [c for c in scored.columns if c not in keys]
-    packed = F.struct(*columns)
-    single = scored.groupBy(*keys).agg(F.min(packed).alias("_scores")).select(*keys, "_scores.*")
-    return articles.join(single, list(keys), "left")
+    single = lookup_table(scored, keys, F.min(F.struct(*columns)).alias("_scores"))
+    return articles.join(single.select(*keys, "_scores.*"), list(keys), "left")
 
 
 def label_distribution(df: DataFrame, label: str = "finbert_label") -> DataFrame:

@@ -39,6 +39,26 @@ def transform(news: DataFrame) -> DataFrame:
     )
 
 
+def deduplicated(news: DataFrame, order: list) -> DataFrame:
+    """Transformed articles, one per (ticker, date_key, url or title).
+
+    These keys then identify an article and are also how rows are partitioned, so the scores join back
+    without moving the texts again.
+    """
+    return clean.dedup_articles(transform(news), ["ticker", "date_key"], order, keep_identity=True)
+
+
+def scored(
+    unique: DataFrame, lexicon: DataFrame, load_model: Callable | None = None, labels: Sequence[str] = ()
+) -> DataFrame:
+    """Both scores, in the columns of the Silver table."""
+    keys = ["ticker", "date_key", *clean.IDENTITY]
+    out = unique.join(sentiment.lexicon_scores(unique, lexicon, keys), keys, "left")
+    if load_model is not None:
+        out = sentiment.model_scores(out, load_model, labels)
+    return clean.conform(out.withColumn("sentiment_timestamp", F.current_timestamp()), SILVER_NEWS)
+
+
 def silver_news(
     news: DataFrame,
     lexicon: DataFrame,
@@ -46,19 +66,5 @@ def silver_news(
     load_model: Callable | None = None,
     labels: Sequence[str] = (),
 ) -> DataFrame:
-    """Deduplicated and scored articles in the columns of the Silver table.
-
-    After deduplication (ticker, date_key, url or title) identifies an article and is also how rows are
-    partitioned, so the lexicon scores join back without moving the texts again.
-    """
-    unique = clean.dedup_articles(transform(news), ["ticker", "date_key"], order)
-    no_url = text.blank(F.col("url"))
-    unique = unique.withColumns(
-        {"_no_url": no_url, "_identity": F.when(no_url, text.strip(F.col("title"))).otherwise(F.col("url"))}
-    )
-    keys = ["ticker", "date_key", "_no_url", "_identity"]
-    scored = unique.join(sentiment.lexicon_scores(unique, lexicon, keys), keys, "left")
-    if load_model is not None:
-        scored = sentiment.model_scores(scored, load_model, labels)
-    scored = scored.withColumn("sentiment_timestamp", F.current_timestamp())
-    return clean.conform(scored, SILVER_NEWS)
+    """The Silver table as one lazy plan, which reads the articles twice; ``jobs.load_news`` reads them once."""
+    return scored(deduplicated(news, order), lexicon, load_model, labels)

@@ -50,7 +50,8 @@ def merge_months(new: DataFrame, path: str, keys: list[str], order: list, date:
     """
     spark = new.sparkSession
     fresh = with_month(new, date).withColumn("_new", F.lit(1))
-    months = fresh.select(MONTH).distinct()
+    # A calendar has a few hundred months, so this list stays small and prunes the partitions read.
+    months = F.broadcast(fresh.select(MONTH).distinct())
     merged = fresh
     if _exists(spark, path):
         held = spark.read.parquet(path).withColumn(MONTH, F.col(MONTH).cast("string"))

@@ -171,13 +171,13 @@ averaged AS (
 RECURSION = _recursion()
 
 
-def _round(columns: str, prefix: str = "") -> str:
-    return ", ".join(f"round({prefix}{c}, 4) AS {c}" for c in columns.split())
+def _round(columns: str, prefix: str = "", places: int = 4) -> str:
+    return ", ".join(f"round({prefix}{c}, {places}) AS {c}" for c in columns.split())
 
 
-def _feature_sql(columns: str, flags: str = "") -> str:
+def _feature_sql(columns: str, flags: str = "", places: int = 4) -> str:
     plain = "".join(f", {c}" for c in flags.split())
-    return f"WITH {BARS}, {FEATURES} SELECT ticker, date, {_round(columns)}{plain} FROM feat"
+    return f"WITH {BARS}, {FEATURES} SELECT ticker, date, {_round(columns, places=places)}{plain} FROM feat"
 
 
 def _average_sql(columns: str) -> str:
@@ -303,13 +303,17 @@ candidates AS MATERIALIZED (
 
 MATCHED = f"""
 {TICKERS}, {CANDIDATES},
+capitals AS (
+  -- Upper case of the sharp s is SS, which upper() leaves out.
+  SELECT c.*, t.company_name, t.abbrev1, t.abbrev2, upper(replace(title, 'ß', 'SS')) AS head, upper(replace(text, 'ß', 'SS')) AS body,
+         CASE c.term WHEN 'company_name' THEN t.company_name WHEN 'abbrev1' THEN t.abbrev1 WHEN 'abbrev2' THEN t.abbrev2 ELSE c.ticker END AS searched
+  FROM candidates c JOIN tickers t USING (ticker)),
 matched AS MATERIALIZED (
-  SELECT *, coalesce(contains(upper(title), upper(searched)) OR contains(upper(text), upper(searched)), false)
-            OR contains(upper(title), ticker) OR contains(upper(text), ticker) AS term_matched,
-         contains(upper(title), ticker) AND contains(upper(text), ticker) AS ticker_in_both
-  FROM (SELECT c.*, t.company_name, t.abbrev1, t.abbrev2,
-               CASE c.term WHEN 'company_name' THEN t.company_name WHEN 'abbrev1' THEN t.abbrev1 WHEN 'abbrev2' THEN t.abbrev2 ELSE c.ticker END AS searched
-        FROM candidates c JOIN tickers t USING (ticker)))"""
+  SELECT * EXCLUDE (head, body),
+         coalesce(contains(head, upper(searched)) OR contains(body, upper(searched)), false)
+            OR contains(head, ticker) OR contains(body, ticker) AS term_matched,
+         contains(head, ticker) AND contains(body, ticker) AS ticker_in_both
+  FROM capitals)"""
 
 
 def _tier(k: int, condition: str, extra: str, due: str = "true") -> str:
@@ -410,7 +414,7 @@ ORACLE: dict[str, str] = {
     "sma": _feature_sql("sma_5 sma_10 sma_20 sma_50"),
     "ema": _average_sql("ema_5 ema_10 ema_20 ema_50"),
     "volatility": _feature_sql("daily_range daily_range_pct volatility_5d volatility_10d volatility_20d"),
-    "volume_vwap": _feature_sql("volume_sma_5 volume_sma_10 volume_sma_20 volume_ratio vwap_cumulative vwap_20d"),
+    "volume_vwap": _feature_sql("volume_sma_5 volume_sma_10 volume_sma_20 volume_ratio vwap_cumulative vwap_20d", places=8),
     "rsi": _average_sql("rsi_14"),
     "momentum": _feature_sql("momentum_5d momentum_5d_pct momentum_20d momentum_20d_pct"),
     "bollinger": _feature_sql("bb_middle bb_upper bb_lower bb_width bb_percent_b"),
@@ -530,13 +534,13 @@ SELECT ticker, date, round(macd, 4) AS macd, round(signal, 4) AS macd_signal, ro
     "(PARTITION BY ticker, coalesce(url, '') ORDER BY doc_id) = 1 AS fresh_url FROM news), by_title AS (SELECT *, row_number() OVER "
     "(PARTITION BY ticker, fresh_url, trim(title) ORDER BY doc_id) AS k FROM by_url) "
     "SELECT doc_id, ticker, title, url FROM by_title WHERE fresh_url OR (k = 1 AND trim(coalesce(title, '')) <> '')",
-    "lexicon_sentiment": f"WITH {ARTICLES}, {LEXICON} SELECT doc_id, {_round('vader_compound vader_pos vader_neu vader_neg')} FROM words",
+    "lexicon_sentiment": f"WITH {ARTICLES}, {LEXICON} SELECT doc_id, {_round('vader_compound vader_pos vader_neu vader_neg', places=8)} FROM words",
     "prob_sentiment": f"WITH {VECTORS} SELECT vec_id, round(p - n, 4) AS finbert_score, finbert_label FROM probs",
     "model_sentiment": f"WITH {ARTICLES}, {MODEL} SELECT doc_id, round(finbert_score, 4) AS finbert_score, finbert_label "
     "FROM articles LEFT JOIN model USING (doc_id)",
     "silver_news": f"WITH {SCORED} SELECT ticker, CAST(NULL AS VARCHAR) AS company_name, date_key, CAST(NULL AS DATE) AS article_date, "
     "date_key AS query_date_parsed, title, text, url, CAST(NULL AS VARCHAR) AS search_source, CAST(NULL AS VARCHAR) AS endpoint_used, "
-    f"{_round('finbert_score')}, finbert_label, {_round('vader_compound vader_pos vader_neu vader_neg')}, 'stock_news_api' AS data_source "
+    f"{_round('finbert_score', places=8)}, finbert_label, {_round('vader_compound vader_pos vader_neu vader_neg', places=8)}, 'stock_news_api' AS data_source "
     "FROM (SELECT *, row_number() OVER (PARTITION BY ticker, date_key, coalesce(url, '') = '', "
     "CASE WHEN coalesce(url, '') = '' THEN title ELSE url END ORDER BY doc_id) AS k FROM articles) a "
     "JOIN words USING (doc_id) LEFT JOIN model USING (doc_id) WHERE k = 1",
