@@ -289,7 +289,12 @@ def all_features() -> list[Feature]:
 
 
 def compute(bars: DataFrame, features: list[Feature], keep_intermediate: bool = False) -> DataFrame:
-    """Bars plus the columns of ``features``."""
+    """Bars plus the columns of ``features``.
+
+    ``date`` must be a DATE: together with one row per ticker and day this is what bounds a window.
+    """
+    if dict(bars.dtypes).get("date") != "date":
+        raise TypeError("features need daily bars with a column date of type DATE")
     scans = list({s.name: s for f in features for s in f.scans}.values())
     levels: list[dict[str, Column]] = [{} for _ in range(FINAL + 1)]
     for feature in features:

@@ -100,6 +100,7 @@ def qualified_bars(spark, folder):
 
 @query
 def one_ticker(spark, folder):
+    """The slice itself is the operator: the filter reaches the scan from above the windows."""
     out = features.compute(sample.bars(spark, folder), [features.sma()])
     return rounded(out.where("ticker = 'SRC7'"))
 
@@ -454,6 +455,7 @@ def incremental_ranges(spark, folder):
 
 @query
 def first_load_range(spark, folder):
+    """Nothing was loaded yet: no bar has a negative price, so the lookback applies."""
     return incremental.pending_range(sample.bars(spark, folder).where("close < 0"), TODAY)
 
 

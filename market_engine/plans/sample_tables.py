@@ -111,7 +111,7 @@ def chart_payloads(spark: SparkSession, folder: str) -> DataFrame:
     def values(name: str):
         return F.transform("days", lambda d: d[name])
 
-    times = F.transform("days", lambda d: F.unix_seconds(d["date"].cast("timestamp")) + 43200)
+    times = F.transform("days", lambda d: F.unix_date(d["date"]).cast("bigint") * 86400 + 43200)
     quote = F.struct(
         F.slice(values("open"), 1, F.size("days") - 1).alias("open"),
         values("high").alias("high"),

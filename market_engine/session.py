@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Recording the Python line behind every column expression takes longer than planning the features.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -28,8 +28,9 @@ def chart_bars(payloads: DataFrame, column: str = "payload", symbol: str = "symb
         .select(symbol, F.slice(F.arrays_zip("time", *FIELDS), 1, F.col("_n")).alias("_rows"))
         .select(symbol, F.inline("_rows"))
     )
-    local = F.from_utc_timestamp(F.timestamp_seconds("time"), zone)
-    return rows.select(symbol, F.to_date(local).alias("date"), *FIELDS)
+    # Days counted from shifted seconds do not depend on the session's own time zone.
+    local = F.unix_seconds(F.from_utc_timestamp(F.timestamp_seconds("time"), zone))
+    return rows.select(symbol, F.date_from_unix_date(F.floor(local / 86400).cast("int")).alias("date"), *FIELDS)
 
 
 def articles(payloads: DataFrame, column: str = "payload", keep: tuple[str, ...] = ()) -> DataFrame:

@@ -219,3 +219,18 @@ def test_raw_bars_are_cleaned_before_features(spark):
 def test_bad_date_text_becomes_null(spark):
     df = spark.createDataFrame([("2024-01-05",), ("soon",)], "date string")
     assert [r.date for r in clean.parse_date(df).collect()] == [date(2024, 1, 5), None]
+
+
+def test_only_daily_bars_are_accepted(make_bars):
+    from pyspark.sql import functions as F
+
+    with pytest.raises(TypeError, match="DATE"):
+        features.compute(make_bars([1.0]).withColumn("date", F.col("date").cast("timestamp")), [features.sma()])
+
+
+def test_single_block_and_many_blocks_agree(make_bars):
+    closes = [float(1 + (i * 13) % 17) for i in range(2200)]
+    long = features.compute(make_bars(closes), [features.ema([10])]).orderBy("date").collect()
+    # The same averages with a steeper one alongside, which shortens the blocks of all.
+    short = features.compute(make_bars(closes), [features.ema([2, 10])]).orderBy("date").collect()
+    near([r.ema_10 for r in short], [r.ema_10 for r in long], 1e-12)

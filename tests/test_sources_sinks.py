@@ -40,6 +40,11 @@ def test_chart_payload(spark):
 def test_chart_dates_follow_the_exchange(spark):
     df = spark.createDataFrame([("A", chart([1699833600], open=[1.0]))], "symbol string, payload string")
     assert payloads.chart_bars(df, zone="America/New_York").first().date == date(2023, 11, 12)
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        assert payloads.chart_bars(df).first().date == date(2023, 11, 13)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
 def test_news_payload(spark):
