@@ -7,6 +7,9 @@ twice leaves the same table.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -15,6 +18,7 @@ from ..operators import clean
 from ..session import ensure_checkpoint_dir
 
 MONTH = "month"
+OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
 def with_month(df: DataFrame, date: str) -> DataFrame:
@@ -63,8 +67,6 @@ def merge_months(new: DataFrame, path: str, keys: list[str], order: list, date:
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    from pyspark.errors import AnalysisException
-
     try:
         return bool(spark.read.parquet(path).columns)
     except AnalysisException:
@@ -102,7 +104,19 @@ def load_table(df: DataFrame, name: str, schema: StructType, date: str = "date_k
             column, F.when(F.col(column).isNull(), F.raise_error(message)).otherwise(F.col(column))
         )
     laid_out = clustered(with_month(rows, date), MONTH, "ticker", date)
-    laid_out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(name)
+    with _dynamic_overwrite(spark):
+        laid_out.write.mode("overwrite").insertInto(name)
+
+
+@contextmanager
+def _dynamic_overwrite(spark: SparkSession):
+    """Inserts into tables follow the session only: under the static mode they would empty the other months."""
+    before = spark.conf.get(OVERWRITE_MODE)
+    spark.conf.set(OVERWRITE_MODE, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(OVERWRITE_MODE, before)
 
 
 def write_report(report: DataFrame, root: str, day: str, source: str) -> str:

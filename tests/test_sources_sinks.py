@@ -150,6 +150,25 @@ def test_silver_table(spark, tmp_path):
     spark.sql("DROP TABLE silver_prices")
 
 
+def test_loads_keep_other_months_under_any_session_mode(spark, tmp_path):
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    spark.conf.set(mode, "static")
+    try:
+        tables.create_table(spark, "silver_months", SILVER_PRICES, str(tmp_path / "silver"))
+        for day in (date(2024, 1, 2), date(2024, 2, 2), date(2024, 2, 2)):
+            df = bars(spark, ("A", day, 1.0)).withColumn("date_key", F.col("date"))
+            tables.load_table(df, "silver_months", SILVER_PRICES)
+            tables.write_months(df, str(tmp_path / "months"))
+            tables.write_per_ticker(df.withColumn("ticker", F.date_format("date", "MM")), str(tmp_path / "tickers"))
+        assert spark.table("silver_months").count() == 2
+        assert spark.read.parquet(str(tmp_path / "months")).count() == 2
+        assert spark.read.parquet(str(tmp_path / "tickers")).count() == 2
+        assert spark.conf.get(mode) == "static"
+    finally:
+        spark.conf.set(mode, "dynamic")
+        spark.sql("DROP TABLE IF EXISTS silver_months")
+
+
 def test_report_file(spark, tmp_path):
     report = quality.price_report(
         bars(spark, ("A", date(2024, 1, 2), 1.0)).selectExpr("*", "close open", "close high", "close low", "1D volume")
