@@ -108,17 +108,21 @@ def _finish(df: DataFrame) -> DataFrame:
     return df.withColumns({"percentage": share, "passed": F.col("failures") == 0}).select(*CHECK_COLUMNS)
 
 
-def _counted(df: DataFrame, check: str, item: str, failures: Column, critical: bool) -> DataFrame:
-    """A check whose failures are an aggregate of ``df`` rather than a count of its rows."""
-    row = df.agg(F.coalesce(failures, F.lit(0)).alias("failures"))
-    return row.select(
-        F.lit(check).alias("check"),
-        F.lit(item).alias("item"),
-        "failures",
-        F.lit(None).cast("double").alias("percentage"),
-        F.lit(critical).alias("critical"),
-        (F.col("failures") == 0).alias("passed"),
-    )
+def _counted(df: DataFrame, *checks: tuple[str, str, Column, bool]) -> DataFrame:
+    """Checks whose failures are aggregates of ``df`` rather than counts of its rows; all in one pass."""
+    counts = df.agg(*[F.coalesce(c[2], F.lit(0)).alias(f"_{i}") for i, c in enumerate(checks)])
+    rows = [
+        F.struct(
+            F.lit(check).alias("check"),
+            F.lit(item).alias("item"),
+            F.col(f"_{i}").alias("failures"),
+            F.lit(None).cast("double").alias("percentage"),
+            F.lit(critical).alias("critical"),
+            (F.col(f"_{i}") == 0).alias("passed"),
+        )
+        for i, (check, item, _, critical) in enumerate(checks)
+    ]
+    return counts.select(F.inline(F.array(*rows)))
 
 
 def _type_rows(df: DataFrame, expected: dict[str, str]) -> list[tuple[str, str, Column, bool]]:
@@ -142,8 +146,8 @@ def price_report(bars: DataFrame) -> DataFrame:
         DataFrame.unionByName,
         [
             _row_checks(bars, checks),
-            _counted(repeated, "duplicates", "ticker,date", F.max("duplicate_rows"), True),
-            _counted(date_gaps(bars, MAX_GAP_DAYS), "date_gaps", f"over_{MAX_GAP_DAYS}_days", F.count("*"), False),
+            _counted(repeated, ("duplicates", "ticker,date", F.max("duplicate_rows"), True)),
+            _counted(date_gaps(bars, MAX_GAP_DAYS), ("date_gaps", f"over_{MAX_GAP_DAYS}_days", F.count("*"), False)),
         ],
     )
 
@@ -160,12 +164,15 @@ def news_report(news: DataFrame) -> DataFrame:
     gaps = date_gaps(news, 1, date="query_date")
     parts = [
         _row_checks(news, checks),
-        _counted(gaps, "date_gaps", "over_1_day", F.count("*"), False),
-        _counted(gaps, "date_gaps", f"over_{MAX_GAP_DAYS}_days", F.count_if(F.col("gap_days") > MAX_GAP_DAYS), False),
+        _counted(
+            gaps,
+            ("date_gaps", "over_1_day", F.count("*"), False),
+            ("date_gaps", f"over_{MAX_GAP_DAYS}_days", F.count_if(F.col("gap_days") > MAX_GAP_DAYS), False),
+        ),
     ]
     for last in filter(None, (url, "title")):
         repeated = duplicate_profile(news, ["ticker", "query_date", last])
-        parts.append(_counted(repeated, "duplicates", f"ticker,query_date,{last}", F.max("duplicate_rows"), False))
+        parts.append(_counted(repeated, ("duplicates", f"ticker,query_date,{last}", F.max("duplicate_rows"), False)))
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -47,7 +47,8 @@ def read_prices(spark: SparkSession, root: str) -> DataFrame:
 def read_news(spark: SparkSession, root: str, date_columns: tuple[str, ...] = ("date", "query_date")) -> DataFrame:
     """Article files with the union of their columns.
 
-    Nanosecond timestamps are read as integers and brought to microseconds, rounding down.
+    Nanosecond timestamps are read as integers, which takes a session option, and brought to microseconds,
+    rounding down.
     """
     spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
     df = _reader(spark).option("mergeSchema", True).parquet(root)
