@@ -37,7 +37,7 @@ def rows(columns, data):
 
 
 def test_every_query_has_sql():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(catalog.QUERIES) <= set(driver.oracle_sql()) <= set(driver.queries())
 
 
 @pytest.mark.parametrize("name", sorted(catalog.QUERIES))
