@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import mixing
+from . import fixity, license_rules, mixing
 
 OP9 = r"""
 WITH n AS (
@@ -11,4 +11,9 @@ g AS (SELECT text_sha256, min(doc_id) AS keep_id, count(*) AS group_size FROM n
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM n JOIN g USING (text_sha256)
 """
 
-ORACLE: dict[str, str] = {"op9_exact_dedup": OP9, "op10_mixing": mixing.ORACLE}
+ORACLE: dict[str, str] = {
+    "op6_fixity": fixity.ORACLE,
+    "op7_license_rules": license_rules.oracle(),
+    "op9_exact_dedup": OP9,
+    "op10_mixing": mixing.ORACLE,
+}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, mixing, packing, simhash, toxicity
+from . import exact_dedup, fixity, kd_shards, license_rules, mixing, packing, secrets, simhash, toxicity
 from .common import read
 
 
@@ -18,6 +18,22 @@ def op2_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.result(read(spark, folder, "documents"))
 
 
+def op3_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.result(read(spark, folder, "documents"))
+
+
+def op4_kd_shards(spark: SparkSession, folder: str) -> DataFrame:
+    return kd_shards.result(read(spark, folder, "documents"))
+
+
+def op6_fixity(spark: SparkSession, folder: str) -> DataFrame:
+    return fixity.result(read(spark, folder, "pages"))
+
+
+def op7_license_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return license_rules.result(read(spark, folder, "documents"))
+
+
 def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.result(read(spark, folder, "documents"))
 
@@ -31,5 +47,16 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity, op2_packing, op8_simhash, op9_exact_dedup, op10_mixing)
+    f.__name__: f
+    for f in (
+        op1_toxicity,
+        op2_packing,
+        op3_secrets,
+        op4_kd_shards,
+        op6_fixity,
+        op7_license_rules,
+        op8_simhash,
+        op9_exact_dedup,
+        op10_mixing,
+    )
 }
