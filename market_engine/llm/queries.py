@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, fixity, kd_shards, license_rules, mixing, packing, secrets, simhash, toxicity
+from . import exact_dedup, fixity, kd_shards, license_rules, mixing, packing, robust_outliers, secrets, simhash, toxicity
 from .common import read
 
 
@@ -26,6 +26,10 @@ def op4_kd_shards(spark: SparkSession, folder: str) -> DataFrame:
     return kd_shards.result(read(spark, folder, "documents"))
 
 
+def op5_robust_outliers(spark: SparkSession, folder: str) -> DataFrame:
+    return robust_outliers.result(read(spark, folder, "documents"))
+
+
 def op6_fixity(spark: SparkSession, folder: str) -> DataFrame:
     return fixity.result(read(spark, folder, "pages"))
 
@@ -53,6 +57,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_packing,
         op3_secrets,
         op4_kd_shards,
+        op5_robust_outliers,
         op6_fixity,
         op7_license_rules,
         op8_simhash,
