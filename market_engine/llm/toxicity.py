@@ -15,6 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,7 +24,7 @@ from .common import hash31, text_of
 FOLDS = 5
 #: At most so many labelled documents are fitted, none of them longer than so many characters.
 MAX_SAMPLE = 12_000
-MAX_SAMPLE_CHARS = 60_000
+MAX_SAMPLE_CHARS = 20_000
 #: Words with a weight, and the number of sampled documents a word must be in.
 MAX_WORDS = 4096
 MIN_DOCUMENTS = 4
@@ -72,25 +73,29 @@ class Model:
 # Fitting ------------------------------------------------------------------------------------------------
 
 
-def fit(labels: list[int], documents: list[list[np.ndarray]], rounds: int = 400, rate: float = 0.05) -> Model:
-    """documents: the words of each sentence, by document; labels: 1 if toxic."""
-    y = np.array(labels, dtype=float)
+@dataclass
+class Sample:
+    """Flat arrays: the toxic label and the number of sentences of each document, the number of words of each
+    sentence, and the words, each once in a sentence."""
+
+    toxic: np.ndarray
+    sentences: np.ndarray
+    sizes: np.ndarray
+    words: np.ndarray
+
+
+def fit(sample: Sample, rounds: int = 400, rate: float = 0.05) -> Model:
+    y = sample.toxic.astype(float)
     if not len(y) or not y.any():
         return Model(np.zeros(0, np.int64), np.zeros(0), -12.0, 0.0)
-    words, weights = _choose_words(y, documents)
-    rows, columns, owner = [], [], []
-    sentence = 0
-    for i, found in enumerate(documents):
-        for ids in found:
-            ids = np.unique(ids).astype(np.int64)
-            at = np.minimum(np.searchsorted(words, ids), max(len(words) - 1, 0))
-            at = at[words[at] == ids] if len(words) else at[:0]
-            rows.append(np.full(len(at), sentence))
-            columns.append(at)
-            owner.append(i)
-            sentence += 1
-    rows, columns = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (rows, columns))
-    owner = np.array(owner, dtype=np.int64)
+    words, weights = _choose_words(sample)
+    sentence = len(sample.sizes)
+    owner = np.repeat(np.arange(len(y), dtype=np.int32), sample.sentences)
+    at = np.searchsorted(words, sample.words).astype(np.int32)
+    np.minimum(at, max(len(words) - 1, 0), out=at)
+    known = words[at] == sample.words if len(words) else np.zeros(len(at), bool)
+    rows = np.repeat(np.arange(sentence, dtype=np.int32), sample.sizes)[known]
+    columns = at[known]
     theta = np.concatenate([weights, [-6.0, -4.0]])
     moment, square = np.zeros_like(theta), np.zeros_like(theta)
     penalty = np.concatenate([np.full(len(weights), 0.02), [0.0, 0.0]])
@@ -111,26 +116,33 @@ def fit(labels: list[int], documents: list[list[np.ndarray]], rounds: int = 400,
         moment = 0.9 * moment + 0.1 * grad
         square = 0.999 * square + 0.001 * grad * grad
         theta -= rate * (moment / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.999**step)) + 1e-8)
-    return Model(words, theta[:-2].copy(), float(theta[-2]), float(_sigmoid(theta[-1])))
+    return Model(words.astype(np.int64), theta[:-2].copy(), float(theta[-2]), float(_sigmoid(theta[-1])))
 
 
 def _sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
-def _choose_words(y: np.ndarray, documents: list[list[np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+def _choose_words(sample: Sample) -> tuple[np.ndarray, np.ndarray]:
     """The words most unevenly spread over the labels, and weights to begin with."""
-    each = [np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64) for found in documents]
-    flat = np.concatenate(each).astype(np.int64) if each else np.zeros(0, np.int64)
-    vocabulary, index = np.unique(flat, return_inverse=True)
-    toxic = np.bincount(index, weights=np.repeat(y, [len(e) for e in each]), minlength=len(vocabulary))
-    count = np.bincount(index, minlength=len(vocabulary))
-    share = y.mean()
-    lift = (toxic - count * share) / np.sqrt(np.maximum(count, 1) * share * (1 - share) + 1e-9)
-    lift[count < MIN_DOCUMENTS] = 0
-    chosen = np.sort(np.argsort(-np.abs(lift), kind="stable")[: min(MAX_WORDS, int((lift != 0).sum()))])
-    odds = np.log((toxic + share) / (count - toxic + 1 - share)) - np.log(share / (1 - share))
-    return vocabulary[chosen], np.clip(odds[chosen], 0, 4)
+    doc = np.repeat(np.arange(len(sample.toxic), dtype=np.int64), sample.sentences)
+    pairs = np.repeat(doc << 32, sample.sizes)
+    pairs |= sample.words
+    pairs.sort()
+    pairs = pairs[np.diff(pairs, prepend=-1) != 0]
+    y = sample.toxic[pairs >> 32].astype(bool)
+    pairs &= 0xFFFFFFFF
+    vocabulary, count = np.unique(pairs, return_counts=True)
+    often = count >= MIN_DOCUMENTS
+    vocabulary, count = vocabulary[often], count[often]
+    found, n = np.unique(pairs[y], return_counts=True)
+    at = np.minimum(np.searchsorted(found, vocabulary), max(len(found) - 1, 0))
+    toxic = np.where(found[at] == vocabulary, n[at], 0) if len(found) else np.zeros(len(vocabulary))
+    share = sample.toxic.mean()
+    lift = (toxic - count * share) / np.sqrt(count * share * (1 - share) + 1e-9)
+    chosen = np.sort(np.argsort(-np.abs(lift), kind="stable")[:MAX_WORDS])
+    odds = np.log((toxic + share) / (count - toxic + 1 - share)) - np.log(share / (1 - share + 1e-9))
+    return vocabulary[chosen].astype(sample.words.dtype), np.clip(odds[chosen], 0, 4)
 
 
 # The operator -------------------------------------------------------------------------------------------
@@ -152,25 +164,25 @@ def train(docs: DataFrame, labels: DataFrame, max_sample: int = MAX_SAMPLE) -> M
 
     def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = [[words_of(m) for m in _SENTENCE.findall(text)] for text in batch["text"]]
-            yield pd.DataFrame(
-                {
-                    "toxic": batch["toxic"],
-                    "sizes": [[len(s) for s in doc] for doc in found],
-                    "words": [[w for s in doc for w in s] for doc in found],
-                }
-            )
+            found = [[set(words_of(m)) for m in _SENTENCE.findall(text)] for text in batch["text"]]
+            sizes = [np.array([len(s) for s in doc], dtype=np.int32) for doc in found]
+            words = [np.array([w for s in doc for w in sorted(s)], dtype=np.int64) for doc in found]
+            signed = [(w - (1 << 31)).astype(np.int32) for w in words]
+            yield pd.DataFrame({"toxic": batch["toxic"], "sizes": sizes, "words": signed})
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     texts = texts.where(F.length("text") <= MAX_SAMPLE_CHARS)
     # The sample is bounded by `max_sample` rows of two numbers.
     joined = texts.join(F.broadcast(sample), "doc_id").orderBy("doc_id")
-    rows = joined.select("toxic", "text").mapInPandas(split, "toxic int, sizes array<int>, words array<long>").toArrow()
-    documents = [
-        np.split(np.array(words, dtype=np.int64), np.cumsum(sizes)[:-1]) if sizes else []
-        for sizes, words in zip(rows["sizes"].to_pylist(), (w.values.to_numpy() if w.values else [] for w in rows["words"]))
-    ]
-    return fit(rows["toxic"].to_pylist(), documents)
+    rows = joined.select("toxic", "text").mapInPandas(split, "toxic int, sizes array<int>, words array<int>").toArrow()
+    return fit(_flat(rows))
+
+
+def _flat(rows: pa.Table) -> Sample:
+    toxic, sizes, words = (rows[c].combine_chunks() for c in ("toxic", "sizes", "words"))
+    flat = words.flatten().to_numpy(zero_copy_only=False).astype(np.int32).view(np.uint32) ^ np.uint32(1 << 31)
+    sentences = sizes.value_lengths().to_numpy(zero_copy_only=False)
+    return Sample(toxic.to_numpy(zero_copy_only=False), sentences, sizes.flatten().to_numpy(zero_copy_only=False), flat)
 
 
 def with_score(docs: DataFrame, model: Model, column: str = "score") -> DataFrame:
