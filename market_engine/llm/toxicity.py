@@ -59,7 +59,12 @@ class Model:
         np.add.at(logits, pairs // len(self.words), self.weights[pairs % len(self.words)])
         return logits
 
-    def score(self, texts: list[str]) -> np.ndarray:
+    def score(self, texts: list[str], together: int = 256) -> np.ndarray:
+        """The probability of each text, computed for a few at a time to bound memory."""
+        parts = [self._score(texts[i : i + together]) for i in range(0, len(texts), together)]
+        return np.concatenate(parts) if parts else np.zeros(0)
+
+    def _score(self, texts: list[str]) -> np.ndarray:
         sentences, owner = [], []
         for i, text in enumerate(texts):
             found = [words_of(m) for m in _SENTENCE.findall(text)]
