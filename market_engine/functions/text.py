@@ -12,7 +12,7 @@ def blank(text: Column) -> Column:
 
 def strip(text: Column) -> Column:
     """Without white space of any kind at either end."""
-    return F.regexp_replace(text, r"^\s+|\s+$", "")
+    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
 
 
 def clean_text(text: Column) -> Column:

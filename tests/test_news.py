@@ -163,3 +163,10 @@ def test_model_runs_on_pandas_batches(spark):
 
     df = spark.range(10).select(F.col("id").cast("string").alias("sentiment_text"))
     assert {r.finbert_label for r in sentiment.model_scores(df, load, LABELS).collect()} == {"negative"}
+
+
+def test_strip_takes_all_white_space(spark):
+    from market_engine.functions import text
+
+    row = spark.createDataFrame([("\u00a0 a\u00a0b\t\u2003\n",)], "t string").select(text.strip(F.col("t")).alias("t")).first()
+    assert row.t == "a\u00a0b"
