@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text
+from .joins import lookup_table
 from .summaries import SEARCH_SOURCES
 
 # Fixed values of the selection rule.
@@ -30,9 +31,15 @@ def top_articles(news: DataFrame, order: list[str], n: int = TARGET_ARTICLES) ->
     return news.withColumn("position", position).where(F.col("position") <= n)
 
 
+def _one_per_ticker(tickers: DataFrame) -> DataFrame:
+    """A ticker listed several times takes one of its rows, so that no article multiplies."""
+    names = F.min(F.struct("company_name", "abbrev1", "abbrev2")).alias("_names")
+    return lookup_table(tickers, ["ticker"], names).select("ticker", "_names.*")
+
+
 def matched_terms(candidates: DataFrame, tickers: DataFrame) -> DataFrame:
     """Candidates of known tickers with the searched text and what the article mentions."""
-    known = candidates.join(tickers, "ticker")
+    known = candidates.join(_one_per_ticker(tickers), "ticker")
     searched = F.col("ticker")
     for name in SEARCH_SOURCES[1:]:
         searched = F.when(F.col("term") == name, F.col(name)).otherwise(searched)
@@ -70,7 +77,7 @@ def select_articles(
         F.array_sort(F.collect_list(F.struct("lane", "page", "rank", "url", "title", "term", "endpoint"))).alias("items")
     )
     chosen = _choose(_answers(tagged, max_pages).join(per_day, DAY, "left"), target, threshold, max_pages)
-    names = tickers.select("ticker", "company_name", "abbrev1", "abbrev2")
+    names = _one_per_ticker(tickers)
     picked = (
         chosen.select(*DAY, "endpoint_used", "used", F.posexplode("chosen").alias("_at", "_item"))
         .select(*DAY, "endpoint_used", "used", (F.col("_at") + 1).alias("position"), "_item.endpoint", "_item.term", "_item.page", "_item.rank")
@@ -149,7 +156,7 @@ def _choose(days: DataFrame, target: int, threshold: int, max_pages: int) -> Dat
     def step(state: Column, search: Column) -> Column:
         # A regular search that already stood in for the failed one is not repeated.
         repeat = (search["lane"] == "regular") & (F.coalesce(state["endpoint"], F.lit("")) == "regular")
-        due = (F.size(state["held"]) < threshold) & ~repeat
+        due = (F.size(state["held"]) < min(threshold, target)) & ~repeat
         urls = F.filter(F.transform(state["held"], lambda x: x["url"]), lambda u: u != "")
         new = F.filter(
             F.col("items"),

@@ -25,6 +25,13 @@ def one_bar_per_day(bars: DataFrame, order: Sequence[str | Column], ticker: str
     return first_per_key(bars, [ticker, "date"], order)
 
 
+def as_date(df: DataFrame, column: str) -> Column:
+    """The column as a date, with or without a time of day; NULL where a text is none."""
+    if dict(df.dtypes)[column] != "string":
+        return F.col(column).cast("date")
+    return F.coalesce(F.try_to_date(column, "yyyy-MM-dd"), F.try_to_timestamp(column).cast("date"))
+
+
 def parse_date(df: DataFrame, column: str = "date", pattern: str = "yyyy-MM-dd") -> DataFrame:
     """Turn text into a date, NULL where it is none; other types are only cast."""
     if dict(df.dtypes)[column] == "string":
@@ -95,6 +102,13 @@ def unknown_columns(df: DataFrame, schema) -> list[str]:
 IDENTITY = ("_no_url", "_identity")
 
 
+def article_identity() -> tuple[Column, Column]:
+    """Whether there is no url, and the url or else the title."""
+    no_url = text.blank(F.col("url"))
+    identity = F.when(no_url, text.strip(F.col("title"))).otherwise(F.col("url"))
+    return no_url, F.coalesce(identity, F.lit(""))
+
+
 def dedup_articles(
     news: DataFrame, keys: Sequence[str], order: Sequence[str | Column], keep_identity: bool = False
 ) -> DataFrame:
@@ -103,9 +117,7 @@ def dedup_articles(
     With ``keep_identity`` the columns that, after ``keys``, identify an article stay in the result. Rows are
     partitioned by all of them.
     """
-    no_url = text.blank(F.col("url"))
-    identity = F.when(no_url, text.strip(F.col("title"))).otherwise(F.col("url"))
-    tagged = news.withColumns(dict(zip(IDENTITY, (no_url, F.coalesce(identity, F.lit(""))))))
+    tagged = news.withColumns(dict(zip(IDENTITY, article_identity())))
     single = first_per_key(tagged, [*keys, *IDENTITY], order)
     return single if keep_identity else single.drop(*IDENTITY)
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .clean import as_date
+
 LOOKBACK_DAYS = 365
 
 
@@ -46,8 +48,12 @@ def day_spine(ranges: DataFrame) -> DataFrame:
 
 
 def missing_days(spine: DataFrame, loaded: DataFrame) -> DataFrame:
-    """Days of the spine with no loaded (ticker, date)."""
-    done = loaded.select("ticker", F.col("date").cast("date").alias("date")).distinct()
+    """Days of the spine with no loaded (ticker, date).
+
+    ``loaded`` may be rows of a table or a list of processed days; a processed day without articles is then
+    not asked for again.
+    """
+    done = loaded.select("ticker", as_date(loaded, "date").alias("date")).distinct()
     return spine.join(done, ["ticker", "date"], "left_anti")
 
 

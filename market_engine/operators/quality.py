@@ -1,21 +1,17 @@
-"""Data-quality checks as a long table: check, item, failures, percentage, critical, passed.
+"""Data-quality checks as a long table: check, item, failures, percentage, critical, passed, detail.
 
-Checks that read single rows share one aggregate over the data. Repeated keys and date gaps each add one
-aggregation with map-side combining.
+Row checks, repeated days and date gaps come from one scan, counted per (ticker, day) with map-side combining.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import ohlc, text
-from .clean import implausible_date
-from .summaries import duplicate_profile
-from .windows import date_gaps
+from .clean import as_date, implausible_date
 
 MAX_GAP_DAYS = 7
 REQUIRED_NEWS = ("ticker", "query_date", "title")
@@ -49,7 +45,7 @@ FAMILIES = {
     "smallint": "integer",
     "tinyint": "integer",
 }
-CHECK_COLUMNS = ["check", "item", "failures", "percentage", "critical", "passed"]
+CHECK_COLUMNS = ["check", "item", "failures", "percentage", "critical", "passed", "detail"]
 
 
 def require_columns(df: DataFrame, columns: Sequence[str] = REQUIRED_NEWS) -> DataFrame:
@@ -93,45 +89,80 @@ def type_checks(df: DataFrame, expected: dict[str, str]) -> list[tuple[str, str,
     return [(c, want, actual[c], FAMILIES.get(actual[c]) == want) for c, want in expected.items() if c in actual]
 
 
-def _row_checks(df: DataFrame, checks: list[tuple[str, str, Column, bool]]) -> DataFrame:
-    """Count the failing rows of (check, item, condition, critical) in one pass."""
-    counts = df.agg(F.count("*").alias("_rows"), *[F.count_if(c[2]).alias(f"_{i}") for i, c in enumerate(checks)])
-    rows = [
-        F.struct(F.lit(name).alias("check"), F.lit(item).alias("item"), F.col(f"_{i}").alias("failures"), F.lit(critical).alias("critical"))
-        for i, (name, item, _, critical) in enumerate(checks)
+#: A check: name, item, failures as an aggregate, critical, percentage given, detail.
+Check = tuple[str, str, Column, bool, bool, Column | None]
+
+
+def _report(totals: DataFrame, checks: list[Check]) -> DataFrame:
+    """One row per check from the single row of ``totals``, whose ``_rows`` the percentages refer to."""
+    rows = []
+    for name, item, failures, critical, share, detail in checks:
+        count = F.coalesce(failures.cast("long"), F.lit(0).cast("long"))
+        part = F.coalesce(F.try_divide(count * 100.0, F.col("_rows")), F.lit(0.0)) if share else F.lit(None).cast("double")
+        rows.append(
+            F.struct(
+                F.lit(name).alias("check"),
+                F.lit(item).alias("item"),
+                count.alias("failures"),
+                part.alias("percentage"),
+                F.lit(critical).alias("critical"),
+                (count == 0).alias("passed"),
+                (F.lit(None) if detail is None else detail).cast("string").alias("detail"),
+            )
+        )
+    return totals.select(F.inline(F.array(*rows))).select(*CHECK_COLUMNS)
+
+
+def _type_rows(df: DataFrame, expected: dict[str, str]) -> list[Check]:
+    """A wrong type is one failure, with or without rows."""
+    return [
+        ("column_types", c, F.lit(int(not passed)), False, False, F.lit(f"expected {want}, found {actual}"))
+        for c, want, actual, passed in type_checks(df, expected)
     ]
-    return _finish(counts.select("_rows", F.inline(F.array(*rows))))
 
 
-def _finish(df: DataFrame) -> DataFrame:
-    share = F.coalesce(F.try_divide(F.col("failures") * 100.0, F.col("_rows")), F.lit(0.0))
-    return df.withColumns({"percentage": share, "passed": F.col("failures") == 0}).select(*CHECK_COLUMNS)
+def _null_dates(df: DataFrame, columns: Sequence[str]) -> list[tuple[str, str, Column, bool]]:
+    """Text that is no date counts as NULL."""
+    return [("null_dates", c, as_date(df, c).isNull(), True) for c in columns if c in df.columns]
+
+
+def _totals(df: DataFrame, date: str, checks: list[tuple[str, str, Column, bool]], *more: Column) -> DataFrame:
+    """Failing rows of each check and the gaps between a ticker's days, from one scan.
+
+    Rows are counted per (ticker, day) first, with map-side combining, so that only narrow counts meet in
+    the window over a ticker's calendar.
+    """
+    counted = [F.count_if(condition).alias(f"_{i}") for i, (_, _, condition, _) in enumerate(checks)]
+    groups = df.groupBy("ticker", F.col(date).alias("_date")).agg(F.count("*").alias("_n"), *counted)
+    days = groups.withColumn("_day", as_date(groups, "_date"))
+    previous = F.lag("_day").over(Window.partitionBy("ticker").orderBy("_day"))
+    return days.withColumn("_gap", F.datediff("_day", previous)).agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("_rows"),
+        *[F.sum(f"_{i}").alias(f"_{i}") for i in range(len(checks))],
+        F.sum(F.when(F.col("_n") > 1, F.col("_n"))).alias("_repeated"),
+        F.count_if(F.col("_n") > 1).alias("_groups"),
+        F.max("_n").alias("_largest"),
+        F.max("_gap").alias("_longest"),
+        F.concat_ws(" to ", F.min("_day").cast("string"), F.max("_day").cast("string")).alias("_range"),
+        F.countDistinct("_day").alias("_days"),
+        *more,
+    )
 
 
-def _counted(df: DataFrame, *checks: tuple[str, str, Column, bool]) -> DataFrame:
-    """Checks whose failures are aggregates of ``df`` rather than counts of its rows; all in one pass."""
-    counts = df.agg(*[F.coalesce(c[2], F.lit(0)).alias(f"_{i}") for i, c in enumerate(checks)])
-    rows = [
-        F.struct(
-            F.lit(check).alias("check"),
-            F.lit(item).alias("item"),
-            F.col(f"_{i}").alias("failures"),
-            F.lit(None).cast("double").alias("percentage"),
-            F.lit(critical).alias("critical"),
-            (F.col(f"_{i}") == 0).alias("passed"),
-        )
-        for i, (check, item, _, critical) in enumerate(checks)
+def _rows_of(checks: list[tuple[str, str, Column, bool]], date: str) -> list[Check]:
+    span = F.concat("_range", F.lit(", "), F.col("_days").cast("string"), F.lit(" days"))
+    return [
+        (name, item, F.col(f"_{i}"), critical, True, span if (name, item) == ("null_dates", date) else None)
+        for i, (name, item, _, critical) in enumerate(checks)
     ]
-    return counts.select(F.inline(F.array(*rows)))
 
 
-def _type_rows(df: DataFrame, expected: dict[str, str]) -> list[tuple[str, str, Column, bool]]:
-    # A wrong type counts once per row of the column, so an empty table passes.
-    return [("column_types", c, F.lit(not passed), False) for c, _, _, passed in type_checks(df, expected)]
+def _group_detail(groups: str, largest: str) -> Column:
+    return F.concat(F.col(groups).cast("string"), F.lit(" groups, at most "), F.coalesce(F.col(largest), F.lit(0)).cast("string"), F.lit(" rows"))
 
 
-def _null_dates(df: DataFrame, columns: Sequence[str]) -> list[tuple[str, str, Column, bool]]:
-    return [("null_dates", c, F.col(c).isNull(), True) for c in columns if c in df.columns]
+def _gap_detail() -> Column:
+    return F.concat(F.lit("longest "), F.coalesce(F.col("_longest"), F.lit(0)).cast("string"), F.lit(" days"))
 
 
 def price_report(bars: DataFrame) -> DataFrame:
@@ -139,41 +170,48 @@ def price_report(bars: DataFrame) -> DataFrame:
     checks += [("prices_positive", c, F.col(c) <= 0, True) for c in ohlc.PRICES]
     checks += [("volume_non_negative", "volume", F.col("volume") < 0, True)]
     checks += [("ohlc_order", "all", ohlc.invalid_ohlc(), True)]
-    checks += _type_rows(bars, PRICE_TYPES)
-    keys = ["ticker", "date"]
-    repeated = duplicate_profile(bars, keys)
-    return reduce(
-        DataFrame.unionByName,
-        [
-            _row_checks(bars, checks),
-            _counted(repeated, ("duplicates", "ticker,date", F.max("duplicate_rows"), True)),
-            _counted(date_gaps(bars, MAX_GAP_DAYS), ("date_gaps", f"over_{MAX_GAP_DAYS}_days", F.count("*"), False)),
-        ],
-    )
+    totals = _totals(bars, "date", checks, F.count_if(F.col("_gap") > MAX_GAP_DAYS).alias("_gaps"))
+    rows = _rows_of(checks, "date") + _type_rows(bars, PRICE_TYPES)
+    rows += [
+        ("duplicates", "ticker,date", F.col("_repeated"), True, False, _group_detail("_groups", "_largest")),
+        ("date_gaps", f"over_{MAX_GAP_DAYS}_days", F.col("_gaps"), False, False, _gap_detail()),
+    ]
+    return _report(totals, rows)
 
 
 def news_report(news: DataFrame) -> DataFrame:
+    """One scan for the rows and days, one for repeated urls and titles."""
     checks = _null_dates(news, ("date", "query_date", "article_date", "query_date_parsed", "date_key"))
     title = F.col("title")
     checks += [
         ("required_fields", "title", title.isNull() | (text.strip(title) == ""), True),
         ("required_fields", "ticker", F.col("ticker").isNull(), True),
     ]
-    checks += _type_rows(news, NEWS_TYPES)
+    over_one, over_more = F.count_if(F.col("_gap") > 1).alias("_gaps"), F.count_if(F.col("_gap") > MAX_GAP_DAYS).alias("_long_gaps")
+    totals = _totals(news, "query_date", checks, over_one, over_more)
+    rows = _rows_of(checks, "query_date") + _type_rows(news, NEWS_TYPES)
+    rows += [
+        ("date_gaps", "over_1_day", F.col("_gaps"), False, False, _gap_detail()),
+        ("date_gaps", f"over_{MAX_GAP_DAYS}_days", F.col("_long_gaps"), False, False, _gap_detail()),
+    ]
     url = next((c for c in ("url", "news_url") if c in news.columns), None)
-    gaps = date_gaps(news, 1, date="query_date")
-    parts = [
-        _row_checks(news, checks),
-        _counted(
-            gaps,
-            ("date_gaps", "over_1_day", F.count("*"), False),
-            ("date_gaps", f"over_{MAX_GAP_DAYS}_days", F.count_if(F.col("gap_days") > MAX_GAP_DAYS), False),
-        ),
+    names = [c for c in (url, "title") if c]
+    values = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("value")) for c in names])
+    groups = news.select("ticker", "query_date", F.inline(values)).groupBy("ticker", "query_date", "name", "value").count()
+    repeated = groups.where("count > 1")
+    parts = []
+    for i, c in enumerate(names):
+        mine = F.col("name") == c
+        parts += [
+            F.sum(F.when(mine, F.col("count"))).alias(f"_repeated{i}"),
+            F.count_if(mine).alias(f"_groups{i}"),
+            F.max(F.when(mine, F.col("count"))).alias(f"_largest{i}"),
+        ]
+    doubles = [
+        ("duplicates", f"ticker,query_date,{c}", F.col(f"_repeated{i}"), False, False, _group_detail(f"_groups{i}", f"_largest{i}"))
+        for i, c in enumerate(names)
     ]
-    for last in filter(None, (url, "title")):
-        repeated = duplicate_profile(news, ["ticker", "query_date", last])
-        parts.append(_counted(repeated, ("duplicates", f"ticker,query_date,{last}", F.max("duplicate_rows"), False)))
-    return reduce(DataFrame.unionByName, parts)
+    return _report(totals, rows).unionByName(_report(repeated.agg(*parts), doubles))
 
 
 def verdict(report: DataFrame) -> DataFrame:

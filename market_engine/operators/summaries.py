@@ -61,7 +61,8 @@ def duplicate_sample(df: DataFrame, keys: Sequence[str], n: int = 5) -> DataFram
 
 
 def articles_per_ticker(news: DataFrame) -> DataFrame:
-    return news.groupBy("ticker").agg(F.count("*").alias("articles"))
+    """The tickers with most articles first."""
+    return news.groupBy("ticker").agg(F.count("*").alias("articles")).orderBy(F.desc("articles"), "ticker")
 
 
 def article_totals(news: DataFrame) -> DataFrame:

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from .clean import as_date
+
 BLOCK = "_block"
 
 
@@ -46,8 +48,8 @@ def lagged(value: str, n: int = 1) -> Column:
 
 
 def date_gaps(df: DataFrame, min_days: int = 7, ticker: str = "ticker", date: str = "date") -> DataFrame:
-    """Steps of more than ``min_days`` between consecutive distinct dates of one ticker."""
-    days = df.select(F.col(ticker).alias("ticker"), F.col(date).cast("date").alias("gap_end"))
+    """Steps of more than ``min_days`` between consecutive distinct dates of one ticker; text that is no date is passed over."""
+    days = df.select(F.col(ticker).alias("ticker"), as_date(df, date).alias("gap_end"))
     days = days.where("gap_end IS NOT NULL").distinct()
     previous = F.lag("gap_end").over(Window.partitionBy("ticker").orderBy("gap_end"))
     return (

@@ -20,6 +20,7 @@ from ..operators import (
     summaries,
     windows,
 )
+from ..sinks import tables
 from ..sources import bronze, payloads
 from . import news as news_plan
 from . import prices as price_plan
@@ -32,6 +33,7 @@ LABELS = ("positive", "negative", "neutral")
 # The sample tickers all have more than the usual 200 days; at this limit some drop out.
 SAMPLE_MIN_BARS = 530
 TODAY = "2001-11-10"
+REFRESH_FROM = "1998-06-01"
 KEY = ["ticker", "date"]
 
 QUERIES: dict[str, Query] = {}
@@ -132,16 +134,24 @@ def silver_prices(spark, folder):
 @query
 def price_features_all(spark, folder):
     """All columns the feature chain makes, helper averages included, without a history limit."""
-    out = price_plan.silver_prices(sample.bars(spark, folder), 1, keep_intermediate=True, stamp=False)
-    return out.select(*KEY, "ema_9", "ema_12", "ema_26", "bb_std", "running_max", "rsi_14", "macd_signal")
+    return price_plan.silver_prices(sample.bars(spark, folder), 1, keep_intermediate=True, stamp=False)
 
 
 @query
 def raw_to_silver(spark, folder):
     """Repeated and broken bars through cleaning and features."""
     out = price_plan.raw_to_silver(sample.dirty_bars(spark, folder), LINE_ORDER, SAMPLE_MIN_BARS)
-    columns = ["open", "high", "low", "close", "volume", "sma_20", "daily_range", "support_50d", "vwap_20d", "is_hammer"]
-    return out.select(*KEY, *columns)
+    return out.drop("ingestion_timestamp")
+
+
+@query
+def refreshed_prices(spark, folder):
+    """The table of all but the last days, brought up to date; tickers that reach the history limit only now are added."""
+    bars = sample.bars(spark, folder)
+    old = price_plan.silver_prices(bars.where(F.col("date") < F.lit(REFRESH_FROM).cast("date")), SAMPLE_MIN_BARS, stamp=False)
+    now = price_plan.silver_prices(bars, SAMPLE_MIN_BARS, stamp=False)
+    due = price_plan.refreshed(now, old.select("ticker"), F.lit(REFRESH_FROM).cast("date"))
+    return tables.merged(due, old, KEY, [F.col("_new").desc()])
 
 
 @query
@@ -241,8 +251,11 @@ def dup_sample(spark, folder):
 
 @query
 def exact_dups(spark, folder):
-    lines = sample.table(spark, folder, "lineitem").select("l_suppkey", "l_returnflag", "l_linestatus", "l_quantity")
-    return summaries.repeated_keys(lines, *lines.columns)
+    """Bars alike in ticker, day, prices and volume."""
+    bars = sample.dirty_bars(spark, folder).drop(*LINE_ORDER)
+    # Each bar is there twice where its line number is even, as the sample has few exact copies of its own.
+    again = sample.dirty_bars(spark, folder).where("l_linenumber % 2 = 0").drop(*LINE_ORDER)
+    return rounded(summaries.repeated_keys(bars.union(again), *bars.columns))
 
 
 @query
@@ -378,6 +391,18 @@ def silver_news(spark, folder):
     return rounded(out.drop("ingestion_timestamp", "sentiment_timestamp"), 8)
 
 
+@query
+def merged_news(spark, folder):
+    """A second load merged into a first one: of an article in both, the row of the second stays."""
+    news, second = sample.news(spark, folder), F.col("doc_id") % 3 == 0
+
+    def load(part):
+        return news_plan.silver_news(part, sample.lexicon(spark), ["doc_id"], _letter_model(), LABELS)
+
+    out = news_plan.merged_news(load(news.where(second)), load(news.where(~second)))
+    return rounded(out.drop("ingestion_timestamp", "sentiment_timestamp"), 8)
+
+
 @query
 def attached_scores(spark, folder):
     """Stored scores joined back by (ticker, date_key, url)."""
@@ -388,7 +413,8 @@ def attached_scores(spark, folder):
 
 @query
 def label_distribution(spark, folder):
-    return rounded(sentiment.label_distribution(_probabilities(spark, folder)))
+    articles = news_plan.transform(sample.news(spark, folder))
+    return rounded(sentiment.label_distribution(sentiment.model_scores(articles, _letter_model(), LABELS)))
 
 
 @query
@@ -551,6 +577,7 @@ def entry(spark: SparkSession, folder: str) -> DataFrame:
     return silver_prices_of_all(spark, folder)
 
 
+@query
 def silver_prices_of_all(spark: SparkSession, folder: str) -> DataFrame:
     """The Silver price table for every ticker, however short its history."""
     return price_plan.silver_prices(sample.bars(spark, folder), 1, stamp=False)

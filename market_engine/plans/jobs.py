@@ -4,18 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import clean, gold, qualify, quality
 from ..schemas import SILVER_NEWS, SILVER_PRICES
+from ..session import ensure_checkpoint_dir
 from ..sinks import tables
 from . import news as news_plan
 from . import prices as price_plan
 
-
-
 def load_prices(raw: DataFrame, table: str, order: list, min_bars: int = qualify.MIN_BARS) -> None:
     """All of Bronze into the Silver price table."""
     tables.create_table(raw.sparkSession, table, SILVER_PRICES)
@@ -25,14 +23,18 @@ def load_prices(raw: DataFrame, table: str, order: list, min_bars: int = qualify
 def refresh_prices(history: DataFrame, new: DataFrame, path: str, order: list, min_bars: int = qualify.MIN_BARS) -> None:
     """Bring the Silver months that new bars touch up to date.
 
-    Averages reach back over the whole history, so tickers with new bars are worked out in full and only
-    then cut to the days from the first new one on. Other tickers keep their rows.
+    Averages reach back over the whole history, so tickers with new bars are worked out in full. Of tickers
+    in the table only the days from the first new one on are written. Other tickers keep their rows.
     """
-    since = new.agg(F.min(F.to_date("date")).alias("d")).scalar()
+    since = new.agg(F.min(clean.as_date(new, "date"))).first()[0]
+    if since is None:
+        return
     touched = clean.only_tickers(history, new.select("symbol"), "symbol")
     silver = price_plan.raw_to_silver(touched, order, min_bars)
-    recent = silver.where(F.col("date") >= since)
-    tables.merge_months(recent, path, ["ticker", "date"], [F.col("_new").desc()])
+    stored = tables.read_months(history.sparkSession, path)
+    if stored is not None:
+        silver = price_plan.refreshed(silver, stored, since)
+    tables.merge_months(silver, path, ["ticker", "date"], [F.col("_new").desc()])
 
 
 def load_news(
@@ -43,17 +45,17 @@ def load_news(
     load_model: Callable | None = None,
     labels: Sequence[str] = (),
 ) -> None:
-    """Bronze articles into the Silver news table.
+    """Add Bronze articles to the Silver news table; of an article that is there already the new row stays.
 
-    The deduplicated articles feed both the word scores and the table. They are kept on disk meanwhile;
-    a lost executor costs only the recomputation of its part.
+    The deduplicated articles feed both the word scores and the table. They are stored meanwhile in the
+    folder all executors share.
     """
-    tables.create_table(raw.sparkSession, table, SILVER_NEWS)
-    unique = news_plan.deduplicated(raw, order).persist(StorageLevel.DISK_ONLY)
-    try:
-        tables.load_table(news_plan.scored(unique, lexicon, load_model, labels), table, SILVER_NEWS)
-    finally:
-        unique.unpersist()
+    spark = raw.sparkSession
+    tables.create_table(spark, table, SILVER_NEWS)
+    ensure_checkpoint_dir(spark)
+    unique = news_plan.deduplicated(raw, order).checkpoint()
+    scored = news_plan.scored(unique, lexicon, load_model, labels)
+    tables.merge_table(scored, table, SILVER_NEWS, news_plan.article_key(), [F.col("_new").desc()])
 
 
 def load_gold(prices: DataFrame, news: DataFrame, path: str) -> None:
@@ -63,8 +65,15 @@ def load_gold(prices: DataFrame, news: DataFrame, path: str) -> None:
 
 
 def validate_prices(raw: DataFrame, order: list, root: str, day: str) -> bool:
-    """Write the check report of cleaned bars; True if all critical checks passed."""
-    report = quality.price_report(price_plan.clean_bars(raw, order))
+    """Write the check report of cleaned bars; True if all critical checks passed.
+
+    The counts before cleaning stand beside it as checks that are not critical, their names starting with raw_.
+    """
+    bars = raw.withColumnRenamed("symbol", "ticker") if "symbol" in raw.columns else raw
+    before = quality.price_report(bars).withColumns(
+        {"check": F.concat(F.lit("raw_"), "check"), "critical": F.lit(False)}
+    )
+    report = quality.price_report(price_plan.clean_bars(raw, order)).unionByName(before)
     return _published(report, root, day, "prices")
 
 

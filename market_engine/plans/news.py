@@ -10,11 +10,17 @@ from pyspark.sql import functions as F
 from ..functions import text
 from ..operators import clean, quality, sentiment
 from ..schemas import SILVER_NEWS
+from ..sinks import tables
 
 KEY = ["ticker", "date_key", "url"]
 DATA_SOURCE = "stock_news_api"
 
 
+def article_key() -> list:
+    """What tells the articles of the table apart: the url, or the title where there is none."""
+    return ["ticker", "date_key", *clean.article_identity()]
+
+
 def transform(news: DataFrame) -> DataFrame:
     """Valid articles with parsed dates, upper-case tickers and the text to score."""
     quality.require_columns(news)
@@ -68,3 +74,8 @@ def silver_news(
 ) -> DataFrame:
     """The Silver table as one lazy plan, which reads the articles twice; ``jobs.load_news`` reads them once."""
     return scored(deduplicated(news, order), lexicon, load_model, labels)
+
+
+def merged_news(new: DataFrame, held: DataFrame) -> DataFrame:
+    """New and held rows of the Silver table, one per article; of two the new one stays."""
+    return tables.merged(new, held, article_key(), [F.col("_new").desc()])

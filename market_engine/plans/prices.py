@@ -6,10 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import clean, features, qualify
+from ..operators.joins import lookup_table
 from ..schemas import SILVER_PRICES
 
-FIRST_COLUMNS = ["ticker", "date", "date_key", "open", "high", "low", "close", "volume"]
-
 
 def clean_bars(raw: DataFrame, order: list) -> DataFrame:
     """One repaired bar per ticker and day; ``order`` decides which of several bars of a day counts."""
@@ -26,10 +25,21 @@ def silver_prices(
     rounded = clean.round_numbers(keyed.withColumn("date_key", F.col("date")))
     extra = [c for c in rounded.columns if c not in SILVER_PRICES.fieldNames()] if keep_intermediate else []
     order = [c for c in SILVER_PRICES.fieldNames() if c != "ingestion_timestamp"]
-    result = clean.columns_first(rounded, FIRST_COLUMNS).select(*order, *extra)
+    result = rounded.select(*order, *extra)
     return result.withColumn("ingestion_timestamp", F.current_timestamp()) if stamp else result
 
 
 def raw_to_silver(raw: DataFrame, order: list, min_bars: int = qualify.MIN_BARS) -> DataFrame:
     base = clean_bars(raw, order).select("ticker", "date", "open", "high", "low", "close", "volume")
     return silver_prices(base, min_bars)
+
+
+def refreshed(silver: DataFrame, stored: DataFrame, since) -> DataFrame:
+    """The rows a refresh writes: days from ``since`` on, and all days of tickers that the table lacks.
+
+    ``silver`` is worked out over the whole history of the tickers with new bars. A ticker that reaches the
+    history limit only now has no stored row, so it is written in full.
+    """
+    known = lookup_table(stored, ["ticker"], F.lit(True).alias("_stored"))
+    due = F.col("_stored").isNull() | (F.col("date") >= F.lit(since))
+    return silver.join(known, "ticker", "left").where(due).drop("_stored")

@@ -1,8 +1,8 @@
 """Partitioned Parquet tables for each layer.
 
-Tables are partitioned by month, as their queries filter by date, and rows of one ticker lie together inside
-a month so that file statistics prune by ticker. Partitions are overwritten dynamically: running a load
-twice leaves the same table.
+Tables are partitioned by month, as their queries filter by date, and sorted by ticker and date inside a file
+so that row group statistics prune by ticker. Partitions are overwritten dynamically: running a load
+twice leaves the same table. Loads replace the months they hold; merges keep the other rows of those months.
 """
 
 from __future__ import annotations
@@ -25,9 +25,13 @@ def with_month(df: DataFrame, date: str) -> DataFrame:
     return df.withColumn(MONTH, F.date_format(date, "yyyy-MM"))
 
 
-def clustered(df: DataFrame, *columns: str) -> DataFrame:
-    """Range partitions keep neighbours in the same files and cut a large month or ticker into several."""
-    return df.repartitionByRange(*columns).sortWithinPartitions(*columns)
+def clustered(df: DataFrame, partition: str, *order: str) -> DataFrame:
+    """Rows of one table partition together, sorted, in tasks of about the advisory size.
+
+    The hint shuffles once, without the sample that a range partitioning takes by running its input twice.
+    Adaptive execution then cuts a large partition into several tasks and puts small ones together.
+    """
+    return df.hint("rebalance", F.col(partition)).sortWithinPartitions(partition, *order)
 
 
 def write_months(df: DataFrame, path: str, date: str = "date", ticker: str = "ticker") -> None:
@@ -45,32 +49,47 @@ def write_combined(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def merge_months(new: DataFrame, path: str, keys: list[str], order: list, date: str = "date", ticker: str = "ticker") -> None:
-    """Write new rows into a month table without losing the other days of their months.
+def merged(new: DataFrame, held: DataFrame, keys: list, order: list) -> DataFrame:
+    """New and held rows, one per key.
 
-    ``order`` ranks rows of one key by its columns and ``_new``, which is 1 for new rows. Only the touched
-    months are read. The merged rows are checkpointed first, because they are read from the folders that
-    the write replaces.
+    ``order`` ranks rows of one key by its columns and ``_new``, which is 1 for new rows.
     """
-    spark = new.sparkSession
-    fresh = with_month(new, date).withColumn("_new", F.lit(1))
-    # A calendar has a few hundred months, so this list stays small and prunes the partitions read.
-    months = F.broadcast(fresh.select(MONTH).distinct())
-    merged = fresh
-    if _exists(spark, path):
-        held = spark.read.parquet(path).withColumn(MONTH, F.col(MONTH).cast("string"))
-        held = held.join(months, MONTH, "left_semi").withColumn("_new", F.lit(0))
-        merged = fresh.unionByName(held, allowMissingColumns=True)
-    merged = clean.first_per_key(merged, keys, order).drop("_new", MONTH)
-    ensure_checkpoint_dir(spark)
-    write_months(merged.checkpoint(), path, date, ticker)
+    rows = new.withColumn("_new", F.lit(1)).unionByName(held.withColumn("_new", F.lit(0)), allowMissingColumns=True)
+    return clean.first_per_key(rows, keys, order).drop("_new")
+
 
+def _merged_months(fresh: DataFrame, held: DataFrame, keys: list, order: list) -> DataFrame:
+    """``fresh``, which is stored, merged with the held rows of the months it touches.
 
-def _exists(spark: SparkSession, path: str) -> bool:
+    The result is stored too, because it is read from the folders that the write replaces.
+    """
+    # A calendar has a few hundred months, so this list stays small; it prunes the partitions read.
+    months = [r[0] for r in fresh.select(MONTH).distinct().collect()]
+    touched = F.col(MONTH).isin([m for m in months if m is not None])
+    if None in months:
+        touched = touched | F.col(MONTH).isNull()
+    return merged(fresh, held.withColumn(MONTH, F.col(MONTH).cast("string")).where(touched), keys, order).checkpoint()
+
+
+def merge_months(new: DataFrame, path: str, keys: list, order: list, date: str = "date", ticker: str = "ticker") -> None:
+    """Write new rows into a month table without losing the other days of their months; see ``merged``."""
+    spark = new.sparkSession
+    rows = with_month(new, date)
+    held = read_months(spark, path)
+    if held is not None:
+        ensure_checkpoint_dir(spark)
+        rows = _merged_months(rows.checkpoint(), held, keys, order)
+    else:
+        rows = clean.first_per_key(rows.withColumn("_new", F.lit(1)), keys, order).drop("_new")
+    write_months(rows.drop(MONTH), path, date, ticker)
+
+
+def read_months(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table under the path; None if nothing was written there."""
     try:
-        return bool(spark.read.parquet(path).columns)
+        return spark.read.parquet(path)
     except AnalysisException:
-        return False
+        return None
 
 
 def prepare_news(df: DataFrame) -> DataFrame:
@@ -93,8 +112,21 @@ def create_table(spark: SparkSession, name: str, schema: StructType, path: str |
 
 def load_table(df: DataFrame, name: str, schema: StructType, date: str = "date_key", strict: bool = False) -> None:
     """Replace the months of ``df`` in an existing table, after conforming to its schema."""
-    spark = df.sparkSession
-    if not spark.catalog.tableExists(name):
+    _insert(_conformed(df, name, schema, date, strict), name, date)
+
+
+def merge_table(
+    new: DataFrame, name: str, schema: StructType, keys: list, order: list, date: str = "date_key", strict: bool = False
+) -> None:
+    """Like ``load_table``, but the other rows of the touched months stay; see ``merged``."""
+    spark = new.sparkSession
+    fresh = _conformed(new, name, schema, date, strict)
+    ensure_checkpoint_dir(spark)
+    _insert(_merged_months(fresh.checkpoint(), spark.table(name), keys, order), name, date)
+
+
+def _conformed(df: DataFrame, name: str, schema: StructType, date: str, strict: bool) -> DataFrame:
+    if not df.sparkSession.catalog.tableExists(name):
         raise ValueError(f"table {name} does not exist")
     rows = clean.conform(df, schema, strict=strict)
     for column in (f.name for f in schema.fields if not f.nullable):
@@ -103,7 +135,12 @@ def load_table(df: DataFrame, name: str, schema: StructType, date: str = "date_k
         rows = rows.withColumn(
             column, F.when(F.col(column).isNull(), F.raise_error(message)).otherwise(F.col(column))
         )
-    laid_out = clustered(with_month(rows, date), MONTH, "ticker", date)
+    return with_month(rows, date)
+
+
+def _insert(rows: DataFrame, name: str, date: str) -> None:
+    spark = rows.sparkSession
+    laid_out = clustered(rows.select(spark.table(name).columns), MONTH, "ticker", date)
     with _dynamic_overwrite(spark):
         laid_out.write.mode("overwrite").insertInto(name)
 

@@ -216,15 +216,41 @@ event_bars AS (
 # Checks -----------------------------------------------------------------------------------------------
 
 
-def _check(check: str, item: str, failures: str, critical: bool, table: str, share: bool = True) -> str:
+def _check(check: str, item: str, failures: str, critical: bool, table: str, share: bool = True, detail: str = "SELECT CAST(NULL AS VARCHAR)") -> str:
     percentage = "coalesce(round(f * 100.0 / nullif(n, 0), 4), 0)" if share else "CAST(NULL AS DOUBLE)"
     rows = f"(SELECT count(*) FROM {table})" if share else "0"
     return (
         f"SELECT '{check}' AS \"check\", '{item}' AS item, CAST(f AS BIGINT) AS failures, {percentage} AS percentage, "
-        f"{str(critical).lower()} AS critical, f = 0 AS passed FROM (SELECT ({failures}) AS f, {rows} AS n)"
+        f"{str(critical).lower()} AS critical, f = 0 AS passed, detail FROM (SELECT ({failures}) AS f, {rows} AS n, ({detail}) AS detail)"
     )
 
 
+def _type_check(column: str, want: str, found: str, failures: int = 0) -> str:
+    return _check("column_types", column, str(failures), False, "", share=False, detail=f"SELECT 'expected {want}, found {found}'")
+
+
+def _span(table: str, date: str) -> str:
+    return (
+        f"SELECT CAST(min({date}) AS VARCHAR) || ' to ' || CAST(max({date}) AS VARCHAR) || ', ' || count(DISTINCT {date}) || ' days' FROM {table}"
+    )
+
+
+def _groups(table: str, keys: str) -> str:
+    return (
+        f"SELECT count(*) FILTER (WHERE n > 1) || ' groups, at most ' || max(n) || ' rows' FROM (SELECT count(*) AS n FROM {table} GROUP BY {keys})"
+    )
+
+
+def _repeat_groups(table: str, keys: str) -> str:
+    return (
+        f"SELECT count(*) || ' groups, at most ' || coalesce(max(n), 0) || ' rows' FROM (SELECT count(*) AS n FROM {table} GROUP BY {keys} HAVING count(*) > 1)"
+    )
+
+
+def _longest(table: str, ticker: str, date: str) -> str:
+    return f"SELECT 'longest ' || coalesce(max(gap_days), 0) || ' days' FROM ({_gaps(table, ticker, date, 0)})"
+
+
 def _count(table: str, condition: str) -> str:
     return f"SELECT count(*) FROM {table} WHERE {condition}"
 
@@ -243,18 +269,19 @@ def _gaps(table: str, ticker: str, date: str, days: int) -> str:
 
 
 def _price_report(table: str, ticker: str) -> str:
-    parts = [_check("null_dates", "date", _count(table, "date IS NULL"), True, table)]
+    parts = [_check("null_dates", "date", _count(table, "date IS NULL"), True, table, detail=_span(table, "date"))]
     parts += [_check("prices_positive", c, _count(table, f"{c} <= 0"), True, table) for c in ("open", "high", "low", "close")]
     parts += [
         _check("volume_non_negative", "volume", _count(table, "volume < 0"), True, table),
         _check("ohlc_order", "all", _count(table, INVALID), True, table),
     ]
-    parts += [_check("column_types", c, "0", False, table) for c in ("ticker", "date", "open", "high", "low", "close")]
-    # Volume is fractional here, which the type check reports for every row.
+    parts += [_type_check("ticker", "string", "string"), _type_check("date", "date", "date")]
+    parts += [_type_check(c, "floating", "double") for c in ("open", "high", "low", "close")]
+    # Volume is fractional here, which the type check reports.
     parts += [
-        _check("column_types", "volume", f"SELECT count(*) FROM {table}", False, table),
-        _check("duplicates", "ticker,date", _duplicates(table, f"{ticker}, date"), True, table, share=False),
-        _check("date_gaps", "over_7_days", f"SELECT count(*) FROM ({_gaps(table, ticker, 'date', 7)})", False, table, share=False),
+        _type_check("volume", "integer", "double", 1),
+        _check("duplicates", "ticker,date", _duplicates(table, f"{ticker}, date"), True, table, False, _groups(table, f"{ticker}, date")),
+        _check("date_gaps", "over_7_days", f"SELECT count(*) FROM ({_gaps(table, ticker, 'date', 7)})", False, table, False, _longest(table, ticker, "date")),
     ]
     return " UNION ALL ".join(parts)
 
@@ -263,15 +290,17 @@ def _news_report() -> str:
     def gaps(days: int) -> str:
         return f"SELECT count(*) FROM ({_gaps('news', 'ticker', 'query_date', days)})"
 
+    longest = _longest("news", "ticker", "query_date")
     parts = [
-        _check("null_dates", "query_date", _count("news", "query_date IS NULL"), True, "news"),
+        _check("null_dates", "query_date", _count("news", "query_date IS NULL"), True, "news", detail=_span("news", "query_date")),
         _check("required_fields", "title", _count("news", "title IS NULL OR trim(title) = ''"), True, "news"),
         _check("required_fields", "ticker", _count("news", "ticker IS NULL"), True, "news"),
-        *[_check("column_types", c, "0", False, "news") for c in ("ticker", "query_date", "title", "text", "url")],
-        _check("date_gaps", "over_1_day", gaps(1), False, "news", share=False),
-        _check("date_gaps", "over_7_days", gaps(7), False, "news", share=False),
+        _type_check("query_date", "date", "date"),
+        *[_type_check(c, "string", "string") for c in ("ticker", "title", "text", "url")],
+        _check("date_gaps", "over_1_day", gaps(1), False, "news", False, longest),
+        _check("date_gaps", "over_7_days", gaps(7), False, "news", False, longest),
         *[
-            _check("duplicates", f"ticker,query_date,{c}", _duplicates("news", f"ticker, query_date, {c}"), False, "news", share=False)
+            _check("duplicates", f"ticker,query_date,{c}", _duplicates("news", f"ticker, query_date, {c}"), False, "news", False, _repeat_groups("news", f"ticker, query_date, {c}"))
             for c in ("url", "title")
         ],
     ]
@@ -409,6 +438,29 @@ def _mix(name: str) -> str:
     return f"{n} AS {name}_count, round({n} * 100.0 / count(*), 4) AS {name}_pct"
 
 
+def _silver_sql(bars: str, min_bars: int, more: str = "") -> str:
+    """All columns of the Silver price table, and more."""
+    return (
+        f"WITH RECURSIVE {bars}, {FEATURES}, {RECURSION} SELECT f.ticker, f.date, f.date AS date_key, "
+        f"{_round(PRICE_NUMBERS, 'f.')}, {', '.join('f.' + c for c in FLAGS.split())}, {_round(AVERAGES, 'a.')}, "
+        f"round(a.macd - a.macd_signal, 4) AS macd_histogram{', ' + more if more else ''} "
+        "FROM feat f JOIN averaged a ON a.ticker = f.ticker AND a.date = f.date "
+        f"WHERE f.ticker IN (SELECT ticker FROM bars GROUP BY ticker HAVING count(date) >= {min_bars})"
+    )
+
+
+def _silver_news_sql(order: str) -> str:
+    """The Silver news table, its first article of a key in the given order."""
+    return (
+        f"WITH {SCORED} SELECT ticker, CAST(NULL AS VARCHAR) AS company_name, date_key, CAST(NULL AS DATE) AS article_date, "
+        "date_key AS query_date_parsed, title, text, url, CAST(NULL AS VARCHAR) AS search_source, CAST(NULL AS VARCHAR) AS endpoint_used, "
+        f"{_round('finbert_score', places=8)}, finbert_label, {_round('vader_compound vader_pos vader_neu vader_neg', places=8)}, 'stock_news_api' AS data_source "
+        "FROM (SELECT *, row_number() OVER (PARTITION BY ticker, date_key, coalesce(url, '') = '', "
+        f"CASE WHEN coalesce(url, '') = '' THEN title ELSE url END ORDER BY {order}) AS k FROM articles) a "
+        "JOIN words USING (doc_id) LEFT JOIN model USING (doc_id) WHERE k = 1"
+    )
+
+
 ORACLE: dict[str, str] = {
     "price_change": _feature_sql("prev_close price_change price_change_pct"),
     "sma": _feature_sql("sma_5 sma_10 sma_20 sma_50"),
@@ -445,15 +497,11 @@ smooth AS (
   SELECT l.ticker, l.date, l.rn, l.macd, l.macd * 0.2 + s.signal * 0.8
   FROM smooth s JOIN lines l ON l.ticker = s.ticker AND l.rn = s.rn + 1)
 SELECT ticker, date, round(macd, 4) AS macd, round(signal, 4) AS macd_signal, round(macd - signal, 4) AS macd_histogram FROM smooth""",
-    "silver_prices": f"WITH RECURSIVE {BARS}, {FEATURES}, {RECURSION} SELECT f.ticker, f.date, f.date AS date_key, "
-    f"{_round(PRICE_NUMBERS, 'f.')}, {', '.join('f.' + c for c in FLAGS.split())}, {_round(AVERAGES, 'a.')}, "
-    "round(a.macd - a.macd_signal, 4) AS macd_histogram FROM feat f JOIN averaged a ON a.ticker = f.ticker AND a.date = f.date "
-    "WHERE f.ticker IN (SELECT ticker FROM bars GROUP BY ticker HAVING count(date) >= 530)",
-    "price_features_all": f"WITH RECURSIVE {BARS}, {FEATURES}, {RECURSION} SELECT a.ticker, a.date, "
-    f"{_round('ema_9 ema_12 ema_26 rsi_14 macd_signal', 'a.')}, {_round('bb_std running_max', 'f.')} "
-    "FROM averaged a JOIN feat f ON a.ticker = f.ticker AND a.date = f.date",
-    "raw_to_silver": f"WITH {DIRTY}, {CLEAN_BARS}, {FEATURES} SELECT ticker, date, "
-    f"{_round('open high low close volume sma_20 daily_range support_50d vwap_20d')}, is_hammer FROM feat",
+    "silver_prices": _silver_sql(BARS, 530),
+    "refreshed_prices": _silver_sql(BARS, 530),
+    "silver_prices_of_all": _silver_sql(BARS, 1),
+    "price_features_all": _silver_sql(BARS, 1, f"{_round('ema_9 ema_12 ema_26', 'a.')}, {_round('bb_std running_max', 'f.')}"),
+    "raw_to_silver": _silver_sql(f"{DIRTY}, {CLEAN_BARS}", 1),
     "bars_dedup": f"WITH {DIRTY} SELECT symbol, date, {_round('open high low close volume')}, l_orderkey, l_linenumber, l_partkey FROM "
     "(SELECT *, row_number() OVER (PARTITION BY symbol, date ORDER BY l_orderkey, l_linenumber, l_partkey) AS k FROM dirty) WHERE k = 1",
     "ohlc_violations": f"WITH {DIRTY} SELECT symbol, date, l_orderkey, l_linenumber, l_partkey, {_round('open high low close')}, "
@@ -503,7 +551,8 @@ SELECT ticker, date, round(macd, 4) AS macd, round(signal, 4) AS macd_signal, ro
     "(SELECT count(*) AS n, ticker IS NOT NULL AND url IS NOT NULL AS whole FROM news GROUP BY ticker, url HAVING count(*) > 1)",
     "dup_sample": f"WITH {DIRTY} SELECT symbol, date, count(*) AS rows FROM dirty GROUP BY symbol, date HAVING count(*) > 1 "
     "ORDER BY symbol, date LIMIT 5",
-    "exact_dups": "SELECT l_suppkey, l_returnflag, l_linestatus, l_quantity, count(*) AS rows FROM lineitem GROUP BY ALL HAVING count(*) > 1",
+    "exact_dups": f"WITH {DIRTY} SELECT symbol, date, {_round('open high low close volume')}, rows FROM (SELECT symbol, date, open, high, low, close, volume, "
+    "CAST(sum(CASE WHEN l_linenumber % 2 = 0 THEN 2 ELSE 1 END) AS BIGINT) AS rows FROM dirty GROUP BY ALL HAVING rows > 1)",
     "date_gaps": f"WITH {DIRTY} {_gaps('dirty', 'symbol', 'date', 7)}",
     "news_gaps": f"WITH {NEWS} {_gaps('news', 'ticker', 'query_date', 1)}",
     "price_report": f"WITH {DIRTY} {_price_report('dirty', 'symbol')}",
@@ -538,17 +587,13 @@ SELECT ticker, date, round(macd, 4) AS macd, round(signal, 4) AS macd_signal, ro
     "prob_sentiment": f"WITH {VECTORS} SELECT vec_id, round(p - n, 4) AS finbert_score, finbert_label FROM probs",
     "model_sentiment": f"WITH {ARTICLES}, {MODEL} SELECT doc_id, round(finbert_score, 4) AS finbert_score, finbert_label "
     "FROM articles LEFT JOIN model USING (doc_id)",
-    "silver_news": f"WITH {SCORED} SELECT ticker, CAST(NULL AS VARCHAR) AS company_name, date_key, CAST(NULL AS DATE) AS article_date, "
-    "date_key AS query_date_parsed, title, text, url, CAST(NULL AS VARCHAR) AS search_source, CAST(NULL AS VARCHAR) AS endpoint_used, "
-    f"{_round('finbert_score', places=8)}, finbert_label, {_round('vader_compound vader_pos vader_neu vader_neg', places=8)}, 'stock_news_api' AS data_source "
-    "FROM (SELECT *, row_number() OVER (PARTITION BY ticker, date_key, coalesce(url, '') = '', "
-    "CASE WHEN coalesce(url, '') = '' THEN title ELSE url END ORDER BY doc_id) AS k FROM articles) a "
-    "JOIN words USING (doc_id) LEFT JOIN model USING (doc_id) WHERE k = 1",
+    "silver_news": _silver_news_sql("doc_id"),
+    "merged_news": _silver_news_sql("doc_id % 3 <> 0, doc_id"),
     "attached_scores": f"WITH {ARTICLES} SELECT a.doc_id, a.ticker, a.date_key, a.url, CAST(s.title_length AS INTEGER) AS title_length FROM articles a LEFT JOIN "
     "(SELECT ticker, date_key, url, min(length(title)) AS title_length FROM articles GROUP BY 1, 2, 3) s "
     "ON s.ticker = a.ticker AND s.date_key = a.date_key AND s.url = a.url",
-    "label_distribution": f"WITH {VECTORS} SELECT finbert_label, count(*) AS articles, "
-    "round(count(*) * 100.0 / (SELECT count(*) FROM probs), 4) AS percentage FROM probs GROUP BY finbert_label",
+    "label_distribution": f"WITH {SCORED} SELECT finbert_label, count(*) AS articles, "
+    "round(count(*) * 100.0 / (SELECT count(*) FROM model), 4) AS percentage FROM model GROUP BY finbert_label",
     "text_length_stats": f"WITH {ARTICLES}, sizes AS (SELECT length(sentiment_text) AS n FROM articles) SELECT count(*) AS count, round(avg(n), 4) AS mean, "
     "round(stddev_samp(n), 4) AS std, CAST(min(n) AS INTEGER) AS min, quantile_cont(n, 0.25) AS q25, quantile_cont(n, 0.5) AS median, "
     "quantile_cont(n, 0.75) AS q75, CAST(max(n) AS INTEGER) AS max FROM sizes",
