@@ -11,13 +11,15 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_of
+from .common import store, text_of
 
 #: Log10 guesses from which a value counts as a secret, and the characters it must have.
 HARD = 9.0
@@ -25,6 +27,10 @@ SHORTEST = 8
 #: The most frequent words of the corpus that count as known.
 WORDS = 20_000
 WORD_LENGTHS = (4, 20)
+#: Levels of frequency in a doubling.
+LEVELS = 16
+#: Characters of one keyboard walk or run; longer ones take several, so that the time stays linear in the length.
+LONGEST_RUN = 64
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -95,7 +101,7 @@ def guess_cost(value: str, ranks: dict[str, int]) -> float:
                 changed = value[i : i + length] != word
                 reach(i + length, here + math.log10(rank + 1) + extra + changed * math.log10(2))
         for ends, starts in ((walk, 2 * 47), (up, 2 * 62), (down, 2 * 62)):
-            for end in range(i + 3, ends[i] + 1):
+            for end in range(i + 3, min(ends[i], i + LONGEST_RUN) + 1):
                 reach(end, here + math.log10(starts * (end - i)))
         # A repeat goes on from what stands before it: only its length has to be guessed.
         for period, ends in same.items():
@@ -118,9 +124,11 @@ def find(text: str, ranks: dict[str, int]) -> list[tuple[int, int, str, float |
     spans += [(m.start(), m.end(), 1, None) for m in ACCESS.finditer(text) if m.end() - m.start() >= 18]
     spans += [(m.start(), m.end(), 2, None) for m in HEX.finditer(text)]
     known = sorted((a, b) for a, b, _, _ in spans)
+    starts, reach = [a for a, _ in known], [0, *accumulate((b for _, b in known), max)]
     for m in CONTEXT.finditer(text):
         start, end = m.span(1)
-        if end - start < SHORTEST or any(a < end and start < b for a, b in known):
+        # Of the spans that start before the end, does one reach past the start?
+        if end - start < SHORTEST or reach[bisect_left(starts, end)] > start:
             continue
         cost = guess_cost(m.group(1), ranks)
         if cost >= HARD:
@@ -133,9 +141,18 @@ def word_ranks(docs: DataFrame, top: int = WORDS) -> dict[str, int]:
     low, high = WORD_LENGTHS
     words = docs.select(F.explode(F.regexp_extract_all(F.lower(text_of()), F.lit("[a-z]+"), F.lit(0))).alias("word"))
     words = words.where(F.length("word").between(low, high))
-    counted = words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "word").limit(top)
+    counted = store(words.groupBy("word").agg(F.count(F.lit(1)).alias("n")), "words")
+    # Words per level of frequency, a few hundred rows, tell which levels hold the top. Without that, each task
+    # would send as many words as the whole top has.
+    level = F.floor(F.log2(F.col("n").cast("double")) * LEVELS).cast("int")
+    lowest, reached = 0, 0
+    for at, held in sorted(tuple(r) for r in counted.groupBy(level.alias("level")).count().collect())[::-1]:
+        lowest, reached = at, reached + held
+        if reached >= top:
+            break
+    best = counted.where(level >= lowest).orderBy(F.desc("n"), "word").limit(top)
     ranks: dict[str, int] = {}
-    for word in [*COMMON, *(r["word"] for r in counted.collect())]:
+    for word in [*COMMON, *(r["word"] for r in best.collect())]:
         ranks.setdefault(word, len(ranks) + 1)
     return ranks
 
