@@ -253,7 +253,7 @@ def dup_sample(spark, folder):
 def exact_dups(spark, folder):
     """Bars alike in ticker, day, prices and volume."""
     bars = sample.dirty_bars(spark, folder).drop(*LINE_ORDER)
-    # Each bar is there twice where its line number is even, as the sample has few exact copies of its own.
+    # Each bar is there twice where its line number is even, as the small sample has no exact copies of its own.
     again = sample.dirty_bars(spark, folder).where("l_linenumber % 2 = 0").drop(*LINE_ORDER)
     return rounded(summaries.repeated_keys(bars.union(again), *bars.columns))
 
