@@ -14,6 +14,29 @@ from ..sinks import tables
 from . import news as news_plan
 from . import prices as price_plan
 
+
+def store_bars(bars: DataFrame, path: str, order: Sequence = ()) -> None:
+    """Add bars, as chart answers give them, to the Bronze price table; stored days stay.
+
+    A new bar replaces that of the same symbol and day; ``order`` decides among several new ones.
+    """
+    tables.merge_months(bars, path, ["symbol", "date"], [F.col("_new").desc(), *order], ticker="symbol")
+
+
+def store_news(articles: DataFrame, path: str, order: Sequence = ()) -> None:
+    """Add articles to the Bronze news table by the month of the day asked for; stored articles stay.
+
+    A new article replaces that of the same ticker, day and url, or title without a url.
+    """
+    keys = ["ticker", "query_date", *clean.article_identity()]
+    tables.merge_months(tables.prepare_news(articles), path, keys, [F.col("_new").desc(), *order], date="query_date")
+
+
+def mark_processed(days: DataFrame, path: str) -> None:
+    """Note (ticker, date) as asked for, with or without articles, for ``incremental.missing_days``."""
+    tables.merge_months(days.select("ticker", "date"), path, ["ticker", "date"], [F.col("_new").desc()])
+
+
 def load_prices(raw: DataFrame, table: str, order: list, min_bars: int = qualify.MIN_BARS) -> None:
     """All of Bronze into the Silver price table."""
     tables.create_table(raw.sparkSession, table, SILVER_PRICES)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +19,7 @@ TICKER_HEADINGS = {
     "Abbreviated Secondary Company Name": "abbrev2",
 }
 PRICE_FILES = "prices_*.parquet"
+NANOS_AS_LONG = "spark.sql.legacy.parquet.nanosAsLong"
 
 
 def _readable(df: DataFrame, path: str) -> DataFrame:
@@ -26,38 +28,72 @@ def _readable(df: DataFrame, path: str) -> DataFrame:
     return df
 
 
-def _reader(spark: SparkSession):
-    """Unreadable and vanished files are skipped."""
-    return spark.read.option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True)
+def _reader(spark: SparkSession, skip_unreadable: bool):
+    reader = spark.read.option("ignoreCorruptFiles", skip_unreadable)
+    return reader.option("ignoreMissingFiles", skip_unreadable)
 
 
-def read_price_files(spark: SparkSession, root: str, schema=None) -> DataFrame:
-    """Per-ticker price files anywhere below ``root``."""
-    reader = _reader(spark).option("recursiveFileLookup", True).option("pathGlobFilter", PRICE_FILES)
+def read_price_files(spark: SparkSession, root: str, schema=None, skip_unreadable: bool = False) -> DataFrame:
+    """Per-ticker price files anywhere below ``root``.
+
+    An unreadable file stops the readers of this module unless it is to be skipped; ``files_without_rows`` then
+    tells which ones were.
+    """
+    reader = _reader(spark, skip_unreadable).option("recursiveFileLookup", True).option("pathGlobFilter", PRICE_FILES)
     if schema is not None:
         reader = reader.schema(schema)
     return _readable(reader.parquet(root), root)
 
 
-def read_prices(spark: SparkSession, root: str) -> DataFrame:
-    """The partitioned price table that ``sinks.bronze`` writes."""
-    return _readable(_reader(spark).parquet(root), root)
+def read_prices(spark: SparkSession, root: str, skip_unreadable: bool = False) -> DataFrame:
+    """The partitioned price table that ``jobs.store_bars`` or ``tables.write_per_ticker`` writes."""
+    return _readable(_reader(spark, skip_unreadable).parquet(root), root)
 
 
-def read_news(spark: SparkSession, root: str, date_columns: tuple[str, ...] = ("date", "query_date")) -> DataFrame:
+def read_news(
+    spark: SparkSession,
+    root: str,
+    date_columns: tuple[str, ...] = ("date", "query_date"),
+    skip_unreadable: bool = False,
+) -> DataFrame:
     """Article files with the union of their columns.
 
-    Nanosecond timestamps are read as integers, which takes a session option, and brought to microseconds,
-    rounding down.
+    Where the files hold nanosecond time stamps, these are brought to microseconds, rounding down. Spark reads
+    them under a session option only, and when the rows are used; so the option stays set in that case.
+    Whole numbers in files without such time stamps are left as they are.
     """
-    spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
-    df = _reader(spark).option("mergeSchema", True).parquet(root)
-    kinds = dict(df.dtypes)
-    nanos = [c for c in date_columns if kinds.get(c) == "bigint"]
-    df = df.withColumns({c: F.timestamp_micros(F.floor(F.col(c) / 1000).cast("bigint")) for c in nanos})
+    reader = _reader(spark, skip_unreadable).option("mergeSchema", True)
+    before = spark.conf.get(NANOS_AS_LONG)
+    spark.conf.set(NANOS_AS_LONG, "false")
+    try:
+        df = reader.parquet(root)
+    except AnalysisException as error:
+        if error.getCondition() != "PARQUET_TYPE_ILLEGAL":
+            raise
+        df = None
+    finally:
+        spark.conf.set(NANOS_AS_LONG, before)
+    if df is None:
+        spark.conf.set(NANOS_AS_LONG, "true")
+        df = reader.parquet(root)
+        kinds = dict(df.dtypes)
+        nanos = [c for c in date_columns if kinds.get(c) == "bigint"]
+        df = df.withColumns({c: F.timestamp_micros(F.floor(F.col(c) / 1000).cast("bigint")) for c in nanos})
     return _readable(df, root)
 
 
+def files_without_rows(rows: DataFrame, root: str, pattern: str = "*.parquet") -> DataFrame:
+    """path and length of the files below ``root`` that gave no row to ``rows``, a frame of these readers.
+
+    With skipping on these are the skipped files and empty ones. Only the files' footers are read, so damage
+    further inside a file is not seen here.
+    """
+    listing = rows.sparkSession.read.format("binaryFile").option("recursiveFileLookup", True)
+    files = listing.option("pathGlobFilter", pattern).load(root)
+    used = rows.select(F.col("_metadata.file_path").alias("path")).distinct()
+    return files.select(F.col("_metadata.file_path").alias("path"), "length").join(used, "path", "left_anti")
+
+
 def read_tickers(spark: SparkSession, path: str) -> DataFrame:
     """The ticker list; blank abbreviations are NULL."""
     raw = spark.read.option("header", True).csv(path)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from market_engine.operators import incremental
 from market_engine.plans import jobs, prices
 from market_engine.schemas import SILVER_PRICES
+from market_engine.sources import bronze
 
 START = date(2024, 1, 1)
 RAW = "symbol string, date string, open double, high double, low double, close double, volume long, seq long"
@@ -66,3 +67,29 @@ def test_validation(spark, tmp_path, volume, passed):
     assert jobs.validate_prices(bars, ["seq"], str(tmp_path), "2024-01-31") is passed
     news = spark.createDataFrame([("A", START, "t")], "ticker string, query_date date, title string")
     assert jobs.validate_news(news, str(tmp_path), "2024-01-31")
+
+
+def test_bronze_loads_keep_what_is_stored(spark, tmp_path):
+    bars = "symbol string, date date, close double"
+    path = str(tmp_path / "bars")
+    jobs.store_bars(spark.createDataFrame([("A", START, 1.0), ("B", START, 2.0)], bars), path)
+    jobs.store_bars(spark.createDataFrame([("A", START, 3.0), ("A", START + timedelta(days=1), 4.0)], bars), path)
+    held = sorted((r.symbol, r.date.day, r.close) for r in bronze.read_prices(spark, path).collect())
+    assert held == [("A", 1, 3.0), ("A", 2, 4.0), ("B", 1, 2.0)]
+
+    news = "ticker string, query_date string, title string, url string"
+    path = str(tmp_path / "news")
+    jobs.store_news(spark.createDataFrame([("A", "2024-01-01", "old", "u"), ("A", "2024-01-01", "t", None)], news), path)
+    later = [("A", "2024-01-01", "new", "u"), ("A", "2024-01-02", "t", None), ("A", "no date", "x", "v")]
+    jobs.store_news(spark.createDataFrame(later, news), path)
+    held = sorted((r.query_date.day if r.query_date else 0, r.title) for r in bronze.read_news(spark, path).collect())
+    assert held == [(0, "x"), (1, "new"), (1, "t"), (2, "t")]
+
+
+def test_a_processed_day_is_not_asked_for_again(spark, tmp_path):
+    days = spark.createDataFrame([("A", START + timedelta(days=i)) for i in range(4)], "ticker string, date date")
+    path = str(tmp_path / "processed")
+    jobs.mark_processed(days.where(F.dayofmonth("date") == 1), path)
+    jobs.mark_processed(days.where(F.dayofmonth("date").isin(1, 3)), path)
+    left = incremental.missing_days(days, spark.read.parquet(path))
+    assert sorted(r.date.day for r in left.collect()) == [2, 4]

@@ -62,13 +62,24 @@ def test_price_files_by_name_and_damage(spark, tmp_path):
         pd.DataFrame({"symbol": [symbol], "date": ["2024-01-02"], "close": [1.0]}).to_parquet(file)
     (root / "C").mkdir()
     (root / "C" / "prices_C.parquet").write_bytes(b"not parquet")
-    out = bronze.read_price_files(spark, str(root), BARS_BRONZE)
+    out = bronze.read_price_files(spark, str(root), BARS_BRONZE, skip_unreadable=True)
     assert sorted(r.symbol for r in out.collect()) == ["A", "B"]
+    skipped = bronze.files_without_rows(out, str(root), bronze.PRICE_FILES).collect()
+    assert [(r.path.rsplit("/", 1)[1], r.length) for r in skipped] == [("prices_C.parquet", 11)]
+    with pytest.raises(Exception, match="prices_C.parquet"):
+        bronze.read_price_files(spark, str(root), BARS_BRONZE).collect()
     empty = tmp_path / "empty"
     empty.mkdir()
     (empty / "prices_D.parquet").write_bytes(b"not parquet")
     with pytest.raises(ValueError, match="no readable rows"):
-        bronze.read_price_files(spark, str(empty), BARS_BRONZE)
+        bronze.read_price_files(spark, str(empty), BARS_BRONZE, skip_unreadable=True)
+
+
+def test_whole_numbers_are_no_nanoseconds(spark, tmp_path):
+    spark.conf.set(bronze.NANOS_AS_LONG, "false")
+    pd.DataFrame({"ticker": ["A"], "date": [20240102]}).to_parquet(tmp_path / "a.parquet")
+    assert bronze.read_news(spark, str(tmp_path)).first().date == 20240102
+    assert spark.conf.get(bronze.NANOS_AS_LONG) == "false"
 
 
 def test_news_with_nanoseconds_and_differing_columns(spark, tmp_path):
