@@ -5,7 +5,7 @@ import statistics
 from datetime import date, timedelta
 
 import pytest
-from conftest import column, plan_of
+from frames import column, plan_of
 
 from market_engine.operators import clean, features, recurrence, windows
 from market_engine.plans import prices

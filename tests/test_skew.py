@@ -3,7 +3,7 @@
 import re
 
 import pytest
-from conftest import plan_of
+from frames import plan_of
 from pyspark.sql import functions as F
 
 from market_engine.operators import candidates, clean, gold, sentiment, summaries, windows
