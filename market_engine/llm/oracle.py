@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import fixity, license_rules, mixing
+from . import fixity, level_products, license_rules, mixing, runs
 
 OP9 = r"""
 WITH n AS (
@@ -16,4 +16,6 @@ ORACLE: dict[str, str] = {
     "op7_license_rules": license_rules.oracle(),
     "op9_exact_dedup": OP9,
     "op10_mixing": mixing.ORACLE,
+    "op11_level_products": level_products.ORACLE,
+    "op12_runs": runs.ORACLE,
 }

@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, fixity, kd_shards, license_rules, mixing, packing, robust_outliers, secrets, simhash, toxicity
+from . import (
+    exact_dedup,
+    fixity,
+    kd_shards,
+    level_products,
+    license_rules,
+    mixing,
+    packing,
+    robust_outliers,
+    runs,
+    secrets,
+    simhash,
+    string_kernel,
+    toxicity,
+)
 from .common import read
 
 
@@ -50,6 +64,18 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.result(read(spark, folder, "documents"))
 
 
+def op11_level_products(spark: SparkSession, folder: str) -> DataFrame:
+    return level_products.result(read(spark, folder, "documents"))
+
+
+def op12_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return runs.result(read(spark, folder, "documents"))
+
+
+def op13_string_kernel(spark: SparkSession, folder: str) -> DataFrame:
+    return string_kernel.result(read(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -63,5 +89,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_simhash,
         op9_exact_dedup,
         op10_mixing,
+        op11_level_products,
+        op12_runs,
+        op13_string_kernel,
     )
 }

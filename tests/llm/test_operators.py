@@ -16,8 +16,10 @@ from market_engine.llm import (
     license_rules,
     mixing,
     robust_outliers,
+    runs,
     secrets,
     simhash,
+    string_kernel,
     toxicity,
 )
 
@@ -29,8 +31,10 @@ OPERATORS = {
     "license_rules": license_rules.result,
     "mixing": mixing.result,
     "robust_outliers": robust_outliers.result,
+    "runs": runs.result,
     "secrets": secrets.result,
     "simhash": simhash.result,
+    "string_kernel": string_kernel.result,
 }
 
 
@@ -39,10 +43,10 @@ def test_odd_rows_and_empty_tables(docs_of, name):
     """A row per row, whatever it holds; columns with the names used inside change nothing."""
     docs = docs_of([(i, t, lang, source) for i, t in ODD for lang, source in [("en", None), (None, "s")]])
     plain = OPERATORS[name](docs)
-    extra = docs.selectExpr("*", "1 as digest", "2 as size", "'x' as component_id", "3 as shard", "4 as `group`", "5 as start")
-    assert plain.count() == 2 * len(ODD)
-    key = lambda df: Counter(r.asDict()["doc_id"] for r in df.collect())
-    assert key(OPERATORS[name](extra)) == key(plain)
+    extra = docs.selectExpr("*", "1 as digest", "2 as size", "'x' as component_id", "3 as shard", "4 as `group`", "5 as start", "6 as score")
+    rows = Counter(map(repr, plain.collect()))
+    assert sum(rows.values()) == 2 * len(ODD)
+    assert Counter(map(repr, OPERATORS[name](extra).collect())) == rows
     assert OPERATORS[name](docs.limit(0)).count() == 0
 
 
