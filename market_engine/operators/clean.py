@@ -83,20 +83,22 @@ def columns_first(df: DataFrame, names: Sequence[str]) -> DataFrame:
 
 
 def conform(df: DataFrame, schema, strict: bool = False) -> DataFrame:
-    """Exactly the columns of ``schema``, cast; missing ones become typed NULLs."""
-    extra = [c for c in df.columns if c not in schema.fieldNames()]
+    """Exactly the columns of ``schema``, cast; missing ones become typed NULLs. Names match in any case."""
+    extra = unknown_columns(df, schema)
     if strict and extra:
         raise ValueError(f"unknown columns: {extra}")
+    held = {c.lower(): c for c in df.columns}
     return df.select(
         *[
-            (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+            (F.col(held[f.name.lower()]) if f.name.lower() in held else F.lit(None)).cast(f.dataType).alias(f.name)
             for f in schema.fields
         ]
     )
 
 
 def unknown_columns(df: DataFrame, schema) -> list[str]:
-    return [c for c in df.columns if c not in schema.fieldNames()]
+    known = {name.lower() for name in schema.fieldNames()}
+    return [c for c in df.columns if c.lower() not in known]
 
 
 IDENTITY = ("_no_url", "_identity")

@@ -3,6 +3,9 @@
 Each feature names the columns it adds at each dependency level. ``compute`` merges the levels of all
 requested features, so however many are asked for there is one shuffle and one sort by ticker, and
 unused columns are pruned by Catalyst. Input: one row per (ticker, date), see ``windows``.
+
+What a feature remembers of all earlier bars is its state. ``compute`` can give out the states of month ends and
+go on from one, so that later bars do not need the earlier ones; see ``carry``.
 """
 
 from __future__ import annotations
@@ -17,7 +20,7 @@ from pyspark.sql import functions as F
 from ..functions import ohlc
 from . import recurrence
 from .recurrence import Scan
-from .windows import block_window, cumulative, lagged, rolling, ticker_window, with_blocks
+from .windows import block_window, checked_date, cumulative, lagged, repeated_day, rolling, ticker_window, with_blocks
 
 # Dependency levels, in order of evaluation.
 BARS, RETURNS, RETURN_WINDOWS, INDICATORS, SIGNAL, FINAL = range(6)
@@ -28,8 +31,17 @@ VOLATILITY_DAYS = (5, 10, 20)
 VOLUME_DAYS = (5, 10, 20)
 SUPPORT_DAYS = (20, 50)
 SHARPE_DAYS = (20, 60)
+MOMENTUM_DAYS = (5, 20)
+BOLLINGER_DAYS = 20
+SIGNAL_DAYS = 9
 RSI_DAYS = 14
 TRADING_DAYS = 252
+#: Bars that the windows of all features look back on: the longest frame and the bar before it.
+LONGEST_FRAME = 1 + max(
+    *SMA_DAYS, *VOLATILITY_DAYS, *VOLUME_DAYS, *SUPPORT_DAYS, *SHARPE_DAYS, *MOMENTUM_DAYS, BOLLINGER_DAYS, SIGNAL_DAYS, RSI_DAYS
+)
+#: The state a ticker goes on from (struct), and the state after its last bar of a month.
+CARRY, STATE = "_carry", "_state"
 
 
 @dataclass
@@ -38,15 +50,27 @@ class Feature:
     levels: dict[int, dict[str, Column]] = field(default_factory=dict)
     scans: list[Scan] = field(default_factory=list)
     intermediate: list[str] = field(default_factory=list)
+    #: What later bars have to know, and how columns are worked out where it is carried in.
+    state: dict[str, Column] = field(default_factory=dict)
+    carried: dict[int, dict[str, Column]] = field(default_factory=dict)
 
 
-def _ratio(top: Column, bottom: Column) -> Column:
-    return F.try_divide(top, bottom)
+def _carry(name: str) -> Column:
+    return F.col(f"{CARRY}.{name}")
+
+
+def _added(now: Column, before: Column) -> Column:
+    """A running sum on top of an earlier one; either may be NULL."""
+    return F.coalesce(now + before, now, before)
+
 
+def _previous_close() -> dict:
+    """The close before the first bar at hand is the carried one."""
+    return {BARS: {"prev_close": F.expr(f"lag(close, 1, {CARRY}.close)").over(ticker_window())}}
 
-def _product_ratio(agg_frame) -> Column:
-    """Volume-weighted price; a NULL close still adds its volume below the line."""
-    return _ratio(agg_frame(F.sum, F.col("close") * F.col("volume")), agg_frame(F.sum, F.col("volume")))
+
+def _ratio(top: Column, bottom: Column) -> Column:
+    return F.try_divide(top, bottom)
 
 
 def _price_change_pct() -> Column:
@@ -68,6 +92,8 @@ def price_change() -> Feature:
                 "price_change_pct": _price_change_pct(),
             },
         },
+        state={"close": F.col("close")},
+        carried=_previous_close(),
     )
 
 
@@ -81,7 +107,7 @@ def _ema_scan(n: int) -> Scan:
     seed = F.col("_closes") == 1
     step = F.when(seed, F.col("close")).otherwise(F.col("close") * alpha)
     value = F.when(F.col("close").isNotNull(), step).otherwise(0.0)
-    return Scan(f"ema_{n}", "_close_steps", value, 1 - alpha, started="_closes")
+    return Scan(f"ema_{n}", "_close_steps", value, 1 - alpha, started="_closes", carry=f"ema_{n}")
 
 
 def _ema_levels(days: Iterable[int]) -> dict[int, dict[str, Column]]:
@@ -93,10 +119,27 @@ def _ema_levels(days: Iterable[int]) -> dict[int, dict[str, Column]]:
     return levels
 
 
+def _ema_state(days: Iterable[int]) -> dict[str, Column]:
+    return {"closes": F.col("_closes"), **{f"ema_{n}": F.col(f"ema_{n}") for n in days}}
+
+
+def _ema_carried(days: Iterable[int]) -> dict[int, dict[str, Column]]:
+    columns = {"_closes": cumulative(F.count, "close") + F.coalesce(_carry("closes"), F.lit(0))}
+    if 1 in days:
+        columns["ema_1"] = F.coalesce(cumulative(lambda c: F.last(c, ignorenulls=True), "close"), _carry("ema_1"))
+    return {BARS: columns}
+
+
 def ema(days: Iterable[int] = EMA_DAYS) -> Feature:
     """Seeded with the first close; a NULL close repeats the value before it."""
     days = list(days)
-    return Feature([f"ema_{n}" for n in days], _ema_levels(days), [_ema_scan(n) for n in days if n > 1])
+    return Feature(
+        [f"ema_{n}" for n in days],
+        _ema_levels(days),
+        [_ema_scan(n) for n in days if n > 1],
+        state=_ema_state(days),
+        carried=_ema_carried(days),
+    )
 
 
 def volatility(days: Iterable[int] = VOLATILITY_DAYS) -> Feature:
@@ -112,26 +155,32 @@ def volatility(days: Iterable[int] = VOLATILITY_DAYS) -> Feature:
             RETURNS: {"price_change_pct": _price_change_pct()},
             RETURN_WINDOWS: rolled,
         },
+        state={"close": F.col("close")},
+        carried=_previous_close(),
     )
 
 
 def volume(days: Iterable[int] = VOLUME_DAYS) -> Feature:
     averages = {f"volume_sma_{n}": rolling(F.avg, "volume", n) for n in days}
     averages["volume_sma_20"] = rolling(F.avg, "volume", 20)
-    weighted = {
-        "vwap_cumulative": _product_ratio(cumulative),
-        "vwap_20d": _product_ratio(lambda agg, c: rolling(agg, c, 20)),
-    }
+    # A NULL close still adds its volume below the line.
+    sums = {"_traded": cumulative(F.sum, F.col("close") * F.col("volume")), "_volume": cumulative(F.sum, "volume")}
+    recent = _ratio(rolling(F.sum, F.col("close") * F.col("volume"), 20), rolling(F.sum, "volume", 20))
     return Feature(
-        [*averages, "volume_ratio", *weighted],
+        [*averages, "volume_ratio", "vwap_cumulative", "vwap_20d"],
         {
-            BARS: {**averages, **weighted},
-            RETURNS: {"volume_ratio": _ratio(F.col("volume"), F.col("volume_sma_20"))},
+            BARS: {**averages, "vwap_20d": recent, **sums},
+            RETURNS: {
+                "volume_ratio": _ratio(F.col("volume"), F.col("volume_sma_20")),
+                "vwap_cumulative": _ratio(F.col("_traded"), F.col("_volume")),
+            },
         },
+        state={"traded": F.col("_traded"), "volume": F.col("_volume")},
+        carried={BARS: {name: _added(total, _carry(name[1:])) for name, total in sums.items()}},
     )
 
 
-def momentum(days: Iterable[int] = (5, 20)) -> Feature:
+def momentum(days: Iterable[int] = MOMENTUM_DAYS) -> Feature:
     levels: dict[int, dict[str, Column]] = {BARS: {}, RETURNS: {}}
     for n in days:
         before = F.col(f"_close_{n}")
@@ -141,7 +190,7 @@ def momentum(days: Iterable[int] = (5, 20)) -> Feature:
     return Feature(list(levels[RETURNS]), levels)
 
 
-def bollinger(days: int = 20, width: float = 2.0) -> Feature:
+def bollinger(days: int = BOLLINGER_DAYS, width: float = 2.0) -> Feature:
     middle, std = F.col(f"sma_{days}"), F.col("bb_std")
     upper, lower = F.col("bb_upper"), F.col("bb_lower")
     return Feature(
@@ -159,7 +208,7 @@ def bollinger(days: int = 20, width: float = 2.0) -> Feature:
     )
 
 
-def macd(fast: int = 12, slow: int = 26, signal_days: int = 9) -> Feature:
+def macd(fast: int = 12, slow: int = 26, signal_days: int = SIGNAL_DAYS) -> Feature:
     """The signal line is a simple average of the MACD line; ``macd_with_ema_signal`` has the exponential one."""
     return Feature(
         ["macd", "macd_signal", "macd_histogram"],
@@ -171,10 +220,12 @@ def macd(fast: int = 12, slow: int = 26, signal_days: int = 9) -> Feature:
         },
         [_ema_scan(fast), _ema_scan(slow), _ema_scan(signal_days)],
         intermediate=[f"ema_{signal_days}", f"ema_{fast}", f"ema_{slow}"],
+        state=_ema_state([fast, slow, signal_days]),
+        carried=_ema_carried([fast, slow, signal_days]),
     )
 
 
-def macd_with_ema_signal(bars: DataFrame, fast: int = 12, slow: int = 26, signal_days: int = 9) -> DataFrame:
+def macd_with_ema_signal(bars: DataFrame, fast: int = 12, slow: int = 26, signal_days: int = SIGNAL_DAYS) -> DataFrame:
     """MACD whose signal is an exponential average, a second pass over the same partitions."""
     lines = compute(bars, [macd(fast, slow, signal_days)]).drop("macd_signal", "macd_histogram")
     # The averages work on a column named close.
@@ -193,7 +244,7 @@ def rsi(days: int = RSI_DAYS) -> Feature:
     def scan(side: str) -> Scan:
         settled = F.when(F.col("_row") > days, F.col(f"_{side}") / days).otherwise(0.0)
         value = F.when(F.col("_row") == days, F.col(f"_{side}_mean")).otherwise(settled)
-        return Scan(f"_{side}_scan", "_wilder_steps", value, 1 - 1 / days)
+        return Scan(f"_{side}_scan", "_wilder_steps", value, 1 - 1 / days, carry=side)
 
     def average(side: str) -> Column:
         return F.when(F.col("_row") < days, F.col(f"_{side}_mean")).otherwise(F.col(f"_{side}_scan"))
@@ -213,6 +264,14 @@ def rsi(days: int = RSI_DAYS) -> Feature:
             INDICATORS: {name: 100 - 100 / (1 + strength)},
         },
         [scan("gain"), scan("loss")],
+        # The averages of a ticker with fewer bars than `days` cannot go on; `carry` does not start from such a state.
+        state={"rows": F.col("_row"), "close": F.col("close"), "gain": F.col("_gain_scan"), "loss": F.col("_loss_scan")},
+        carried={
+            BARS: {
+                **_previous_close()[BARS],
+                "_row": F.row_number().over(ticker_window()) + F.coalesce(_carry("rows"), F.lit(0)),
+            }
+        },
     )
 
 
@@ -228,7 +287,13 @@ def returns(sharpe_days: Iterable[int] = SHARPE_DAYS) -> Feature:
         levels[RETURN_WINDOWS][f"_return_mean_{n}"] = rolling(F.avg, "log_return", n)
         levels[RETURN_WINDOWS][f"_return_std_{n}"] = rolling(F.stddev_samp, "log_return", n)
         levels[INDICATORS][f"sharpe_ratio_{n}d"] = F.when(std != 0, mean / std * math.sqrt(TRADING_DAYS))
-    return Feature(["log_return", "cumulative_return", *levels[INDICATORS]], levels)
+    total = _added(cumulative(F.sum, "log_return"), _carry("log_return"))
+    return Feature(
+        ["log_return", "cumulative_return", *levels[INDICATORS]],
+        levels,
+        state={"close": F.col("close"), "log_return": F.col("cumulative_return")},
+        carried={**_previous_close(), RETURN_WINDOWS: {"cumulative_return": total}},
+    )
 
 
 def drawdown() -> Feature:
@@ -238,6 +303,8 @@ def drawdown() -> Feature:
         ["drawdown", "drawdown_pct"],
         {BARS: {"running_max": cumulative(F.max, "close")}, RETURNS: {"drawdown": fall, "drawdown_pct": fall * 100}},
         intermediate=["running_max"],
+        state={"peak": peak},
+        carried={BARS: {"running_max": F.greatest(cumulative(F.max, "close"), _carry("peak"))}},
     )
 
 
@@ -252,6 +319,8 @@ def candles() -> Feature:
     return Feature(
         list(patterns),
         {BARS: {"prev_close": lagged("close"), "_prev_open": lagged("open")}, RETURNS: patterns},
+        state={"close": F.col("close")},
+        carried=_previous_close(),
     )
 
 
@@ -288,10 +357,16 @@ def all_features() -> list[Feature]:
     ]
 
 
-def compute(bars: DataFrame, features: list[Feature], keep_intermediate: bool = False) -> DataFrame:
+def compute(
+    bars: DataFrame, features: list[Feature], keep_intermediate: bool = False, carried: bool = False, states: bool = False
+) -> DataFrame:
     """Bars plus the columns of ``features``.
 
-    ``date`` must be a DATE: together with one row per ticker and day this is what bounds a window.
+    ``date`` must be a DATE: together with one row per ticker and day this is what bounds a window. A day that is
+    there twice for a ticker stops the job, as its rows would have no order.
+
+    With ``carried`` the bars have a column ``CARRY``, the state each ticker goes on from or NULL. With ``states``
+    the result has a column ``STATE``, the state after a ticker's last bar of a month, NULL on other rows.
     """
     if dict(bars.dtypes).get("date") != "date":
         raise TypeError("features need daily bars with a column date of type DATE")
@@ -300,11 +375,16 @@ def compute(bars: DataFrame, features: list[Feature], keep_intermediate: bool =
     for feature in features:
         for level, columns in feature.levels.items():
             levels[level].update(columns)
+    if carried:
+        for feature in features:
+            for level, columns in feature.carried.items():
+                levels[level].update(columns)
     outputs = list(dict.fromkeys(c for f in features for c in f.outputs))
     if keep_intermediate:
         extra = (c for f in features for c in f.intermediate)
         outputs = list(dict.fromkeys([*outputs, *extra]))
     df = with_blocks(bars, recurrence.block_days([s.decay for s in scans]))
+    levels[BARS]["_repeated"] = repeated_day()
     if scans:
         levels[BARS]["_block_end"] = recurrence.block_end()
     for level in (BARS, RETURNS, RETURN_WINDOWS):
@@ -312,10 +392,29 @@ def compute(bars: DataFrame, features: list[Feature], keep_intermediate: bool =
     if scans:
         df = df.withColumns(recurrence.local_values(scans))
         df = df.withColumns(recurrence.finished_blocks(scans))
-        df = df.withColumns(recurrence.results(scans))
+        df = df.withColumns(recurrence.results(scans, CARRY if carried else None))
     for level in (INDICATORS, SIGNAL, FINAL):
         df = _extend(df, levels[level])
-    return df.select(*bars.columns, *[c for c in outputs if c not in bars.columns])
+    if states:
+        df = df.withColumn(STATE, _month_end_state(features))
+    kept = [c for c in bars.columns if c != CARRY]
+    front = [checked_date("_repeated") if c == "date" else c for c in kept]
+    return df.select(*front, *[c for c in outputs if c not in kept], *([STATE] if states else []))
+
+
+def state_type() -> str:
+    """The type of the state of all features, as SQL writes it."""
+    names = dict.fromkeys(name for f in all_features() for name in f.state)
+    kinds = {"rows": "int", "closes": "bigint"}
+    return f"struct<date:date,{','.join(f'{n}:{kinds.get(n, "double")}' for n in names)}>"
+
+
+def _month_end_state(features: list[Feature]) -> Column:
+    month = F.last_day("date")
+    following = F.lead(month).over(ticker_window())
+    fields = {name: column for f in features for name, column in f.state.items()}
+    state = F.struct(F.col("date").alias("date"), *[c.alias(name) for name, c in fields.items()])
+    return F.when(F.coalesce(following != month, F.lit(True)), state)
 
 
 def _extend(df: DataFrame, columns: dict[str, Column]) -> DataFrame:

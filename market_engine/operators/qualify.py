@@ -22,13 +22,15 @@ def completeness(bars: DataFrame, ticker: str = "ticker") -> DataFrame:
     )
 
 
-def qualified(bars: DataFrame, min_bars: int = MIN_BARS) -> DataFrame:
+def qualified(bars: DataFrame, min_bars: int = MIN_BARS, carry: str | None = None) -> DataFrame:
     """Bars of tickers with at least ``min_bars`` dates, for one bar per day.
 
     Counting over the ticker window instead of joining a count back reads the bars once, and the
-    features that follow reuse its shuffle.
+    features that follow reuse its shuffle. Bars before a carried state count as well.
     """
     dates = F.count("date").over(Window.partitionBy("ticker"))
+    if carry:
+        dates = dates + F.coalesce(F.col(f"{carry}.rows"), F.lit(0))
     return (
         bars.where("ticker IS NOT NULL").withColumn("_dates", dates).where(F.col("_dates") >= min_bars).drop("_dates")
     )

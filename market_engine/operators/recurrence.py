@@ -26,7 +26,8 @@ MAX_EXPONENT = 650.0
 class Scan:
     """One recurrence: result column, step counter column, input expression, decay.
 
-    The result is NULL while the count in ``started`` is zero.
+    The result is NULL while the count in ``started`` is zero. ``carry`` names the field of a carried state that
+    holds the value before the first row.
     """
 
     name: str
@@ -34,6 +35,7 @@ class Scan:
     value: Column
     decay: float
     started: str | None = None
+    carry: str | None = None
 
 
 def block_days(decays: list[float]) -> int:
@@ -64,15 +66,17 @@ def finished_blocks(scans: list[Scan]) -> dict[str, Column]:
     return {"_blocks": F.collect_list(F.when(F.col("_block_end"), state)).over(before)}
 
 
-def results(scans: list[Scan]) -> dict[str, Column]:
-    return {s.name: _result(s) for s in scans}
+def results(scans: list[Scan], carry: str | None = None) -> dict[str, Column]:
+    """The values themselves; ``carry`` is the column with the state to go on from, if there is one."""
+    return {s.name: _result(s, carry) for s in scans}
 
 
-def _result(s: Scan) -> Column:
-    carry = F.aggregate(
+def _result(s: Scan, carry: str | None) -> Column:
+    before = F.coalesce(F.col(f"{carry}.{s.carry}"), F.lit(0.0)) if carry and s.carry else F.lit(0.0)
+    folded = F.aggregate(
         "_blocks",
-        F.lit(0.0),
+        before,
         lambda acc, end: acc * F.pow(F.lit(s.decay), end[s.steps]) + end[f"_local_{s.name}"],
     )
-    value = F.col(f"_local_{s.name}") + carry * F.pow(F.lit(s.decay), F.col(s.steps))
+    value = F.col(f"_local_{s.name}") + folded * F.pow(F.lit(s.decay), F.col(s.steps))
     return F.when(F.col(s.started) > 0, value) if s.started else value

@@ -30,6 +30,16 @@ def with_blocks(bars: DataFrame, days: int) -> DataFrame:
     return bars.withColumn(BLOCK, F.floor(F.unix_date("date") / days).cast("int"))
 
 
+def repeated_day() -> Column:
+    return F.lag("date").over(ticker_window()) == F.col("date")
+
+
+def checked_date(repeated: str) -> Column:
+    """The date; a day that a ticker has twice stops the job."""
+    message = F.concat(F.lit("two bars of ticker "), F.col("ticker"), F.lit(" on "), F.col("date").cast("string"))
+    return F.when(F.col(repeated), F.raise_error(message)).otherwise(F.col("date")).alias("date")
+
+
 def rolling(agg, value: Column | str, n: int, min_periods: int = 1) -> Column:
     """Aggregate over the current and the n - 1 rows before it; short frames count unless told otherwise."""
     frame = ticker_window().rowsBetween(-(n - 1), 0)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import ohlc, text
 from ..operators import (
     candidates,
+    carry,
     clean,
     features,
     gold,
@@ -20,6 +21,7 @@ from ..operators import (
     summaries,
     windows,
 )
+from ..session import shared_folder
 from ..sinks import tables
 from ..sources import bronze, payloads
 from . import news as news_plan
@@ -34,6 +36,7 @@ LABELS = ("positive", "negative", "neutral")
 SAMPLE_MIN_BARS = 530
 TODAY = "2001-11-10"
 REFRESH_FROM = "1998-06-01"
+CORRECTED_FROM = "1997-03-10"
 KEY = ["ticker", "date"]
 
 QUERIES: dict[str, Query] = {}
@@ -154,6 +157,35 @@ def refreshed_prices(spark, folder):
     return tables.merged(due, old, KEY, [F.col("_new").desc()])
 
 
+@query
+def prices_from_states(spark, folder):
+    """The table of all but the last days, brought up to date from its month-end states.
+
+    Every third ticker also gets an old day and all that follow corrected.
+    """
+    bars = sample.bars(spark, folder)
+    corrected = F.substring("ticker", 4, 9).cast("int") % 3 == 0
+    since = F.when(corrected, CORRECTED_FROM).otherwise(REFRESH_FROM).cast("date")
+    wrong = F.when(F.col("date") >= since, F.col("close") * 1.5).otherwise(F.col("close"))
+    before = bars.where(F.col("date") < F.lit(REFRESH_FROM).cast("date")).withColumn("close", wrong)
+    old = price_plan.silver_prices(before, SAMPLE_MIN_BARS, stamp=False, states=True)
+    new = carry.first_days(bars.where(F.col("date") >= since))
+    starts = carry.starting_points(carry.states_of(old), new)
+    due = price_plan.silver_from_states(bars, new, starts, SAMPLE_MIN_BARS, stamp=False)
+    return tables.merged(due.drop(features.STATE), old.drop(features.STATE), KEY, [F.col("_new").desc()])
+
+
+@query
+def merged_fields(spark, folder):
+    """A month table whose second load brings one more column; it begins within a month of the first load."""
+    bars = sample.bars(spark, folder).select(*KEY, "close", "volume")
+    later = F.col("date") >= F.lit("1998-06-15").cast("date")
+    path = shared_folder(spark, "merged-fields")
+    for part in (bars.where(~later).drop("volume"), bars.where(later)):
+        tables.merge_months(part, path, KEY, [F.col("_new").desc()])
+    return rounded(tables.read_months(spark, path).select(*KEY, "close", "volume"))
+
+
 @query
 def bars_dedup(spark, folder):
     return rounded(clean.one_bar_per_day(sample.dirty_bars(spark, folder), LINE_ORDER, "symbol"))

@@ -7,10 +7,11 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import clean, gold, qualify, quality
+from ..operators import carry, clean, features, gold, qualify, quality
 from ..schemas import SILVER_NEWS, SILVER_PRICES
 from ..session import ensure_checkpoint_dir
 from ..sinks import tables
+from ..sources import bronze
 from . import news as news_plan
 from . import prices as price_plan
 
@@ -37,10 +38,15 @@ def mark_processed(days: DataFrame, path: str) -> None:
     tables.merge_months(days.select("ticker", "date"), path, ["ticker", "date"], [F.col("_new").desc()])
 
 
-def load_prices(raw: DataFrame, table: str, order: list, min_bars: int = qualify.MIN_BARS) -> None:
-    """All of Bronze into the Silver price table."""
+def load_prices(
+    raw: DataFrame, table: str, order: list, min_bars: int = qualify.MIN_BARS, more: Sequence[str] = (), strict: bool = False
+) -> None:
+    """All of Bronze into the Silver price table.
+
+    ``more`` names further Bronze columns to carry along; the table gets those it lacks, unless ``strict``.
+    """
     tables.create_table(raw.sparkSession, table, SILVER_PRICES)
-    tables.load_table(price_plan.raw_to_silver(raw, order, min_bars), table, SILVER_PRICES)
+    tables.load_table(price_plan.raw_to_silver(raw, order, min_bars, more), table, SILVER_PRICES, strict=strict)
 
 
 def refresh_prices(history: DataFrame, new: DataFrame, path: str, order: list, min_bars: int = qualify.MIN_BARS) -> None:
@@ -48,6 +54,7 @@ def refresh_prices(history: DataFrame, new: DataFrame, path: str, order: list, m
 
     Averages reach back over the whole history, so tickers with new bars are worked out in full. Of tickers
     in the table only the days from the first new one on are written. Other tickers keep their rows.
+    ``refresh_prices_from_states`` does the same without the whole history.
     """
     since = new.agg(F.min(clean.as_date(new, "date"))).first()[0]
     if since is None:
@@ -60,6 +67,47 @@ def refresh_prices(history: DataFrame, new: DataFrame, path: str, order: list, m
     tables.merge_months(silver, path, ["ticker", "date"], [F.col("_new").desc()])
 
 
+def refresh_prices_from_states(
+    history: DataFrame,
+    new: DataFrame,
+    path: str,
+    states_path: str,
+    order: list,
+    min_bars: int = qualify.MIN_BARS,
+    more: Sequence[str] = (),
+) -> None:
+    """Like ``refresh_prices``, going on from the state each ticker had at the end of an earlier month.
+
+    ``history`` is Bronze and holds the new bars too. Of tickers in the Silver table with a state it is read from
+    the earliest starting point on, of others in full. Both tables then hold what a load of the whole history
+    would give, also where a new bar corrects an old day. Tickers that are not in ``new`` are not read.
+    """
+    spark = history.sparkSession
+    ensure_checkpoint_dir(spark)
+    bars = history.withColumnRenamed("symbol", "ticker") if "symbol" in history.columns else history
+    fresh = new.withColumnRenamed("symbol", "ticker") if "symbol" in new.columns else new
+    since = carry.first_days(fresh).checkpoint()
+    states, stored = tables.read_months(spark, states_path), tables.read_months(spark, path)
+    if states is None or stored is None:
+        starts = since.withColumn(features.CARRY, F.lit(None).cast(features.state_type())).limit(0)
+    else:
+        known = clean.only_tickers(states.drop(tables.MONTH), stored.select("ticker"))
+        starts = carry.starting_points(known, since).checkpoint()
+    first = starts.agg(F.min(f"{features.CARRY}.date")).first()[0]
+    parts = [clean.only_tickers(bars, since.join(starts, "ticker", "left_anti"))]
+    if first is not None:
+        recent = bars.where(clean.as_date(bars, "date") > F.lit(first))
+        if tables.MONTH in bars.columns:
+            # The folder names prune what the dates cannot.
+            recent = recent.where(F.col(tables.MONTH).cast("string") >= first.strftime("%Y-%m"))
+        parts.append(clean.only_tickers(recent, starts))
+    clean_bars = price_plan.clean_bars(bronze.union_all(*parts), order).select(*price_plan.BAR, *more)
+    rows = price_plan.silver_from_states(clean_bars, since, starts, min_bars).checkpoint()
+    month_end = ["ticker", F.last_day("date")]
+    tables.merge_months(rows.drop(features.STATE), path, ["ticker", "date"], [F.col("_new").desc()])
+    tables.merge_months(carry.states_of(rows), states_path, month_end, [F.col("_new").desc()])
+
+
 def load_news(
     raw: DataFrame,
     table: str,

@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import clean, features, qualify
+from ..operators import carry, clean, features, qualify
 from ..operators.joins import lookup_table
 from ..schemas import SILVER_PRICES
 
 
+BAR = ("ticker", "date", "open", "high", "low", "close", "volume")
+
+
 def clean_bars(raw: DataFrame, order: list) -> DataFrame:
     """One repaired bar per ticker and day; ``order`` decides which of several bars of a day counts."""
     bars = raw.withColumnRenamed("symbol", "ticker") if "symbol" in raw.columns else raw
@@ -18,20 +23,28 @@ def clean_bars(raw: DataFrame, order: list) -> DataFrame:
 
 
 def silver_prices(
-    bars: DataFrame, min_bars: int = qualify.MIN_BARS, keep_intermediate: bool = False, stamp: bool = True
+    bars: DataFrame,
+    min_bars: int = qualify.MIN_BARS,
+    keep_intermediate: bool = False,
+    stamp: bool = True,
+    carried: bool = False,
+    states: bool = False,
 ) -> DataFrame:
-    """Features of qualified tickers, rounded, in the order of the Silver table."""
-    keyed = features.compute(qualify.qualified(bars, min_bars), features.all_features(), keep_intermediate)
+    """Features of qualified tickers, rounded, in the order of the Silver table.
+
+    Further columns of the bars follow those of the table. For ``carried`` and ``states`` see ``features.compute``;
+    a ticker that goes on from a state has qualified before.
+    """
+    enough = qualify.qualified(bars, min_bars, features.CARRY if carried else None)
+    keyed = features.compute(enough, features.all_features(), keep_intermediate, carried, states)
     rounded = clean.round_numbers(keyed.withColumn("date_key", F.col("date")))
-    extra = [c for c in rounded.columns if c not in SILVER_PRICES.fieldNames()] if keep_intermediate else []
-    order = [c for c in SILVER_PRICES.fieldNames() if c != "ingestion_timestamp"]
-    result = rounded.select(*order, *extra)
+    result = clean.columns_first(rounded, [c for c in SILVER_PRICES.fieldNames() if c != "ingestion_timestamp"])
     return result.withColumn("ingestion_timestamp", F.current_timestamp()) if stamp else result
 
 
-def raw_to_silver(raw: DataFrame, order: list, min_bars: int = qualify.MIN_BARS) -> DataFrame:
-    base = clean_bars(raw, order).select("ticker", "date", "open", "high", "low", "close", "volume")
-    return silver_prices(base, min_bars)
+def raw_to_silver(raw: DataFrame, order: list, min_bars: int = qualify.MIN_BARS, more: Sequence[str] = ()) -> DataFrame:
+    """Bronze bars to the Silver table; ``more`` names further Bronze columns to carry along."""
+    return silver_prices(clean_bars(raw, order).select(*BAR, *more), min_bars)
 
 
 def refreshed(silver: DataFrame, stored: DataFrame, since) -> DataFrame:
@@ -43,3 +56,14 @@ def refreshed(silver: DataFrame, stored: DataFrame, since) -> DataFrame:
     known = lookup_table(stored, ["ticker"], F.lit(True).alias("_stored"))
     due = F.col("_stored").isNull() | (F.col("date") >= F.lit(since))
     return silver.join(known, "ticker", "left").where(due).drop("_stored")
+
+
+def silver_from_states(
+    bars: DataFrame, since: DataFrame, starts: DataFrame, min_bars: int = qualify.MIN_BARS, stamp: bool = True
+) -> DataFrame:
+    """Silver rows, with the state column, that follow from new bars of the days from ``since`` on.
+
+    ``bars`` are clean and reach back to the starting points at least; see ``carry``.
+    """
+    tail = carry.bars_to_read(bars, since, starts)
+    return carry.due(silver_prices(tail, min_bars, stamp=stamp, carried=True, states=True)).drop("since")

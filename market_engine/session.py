@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -37,3 +38,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoint-"))
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A path of its own, not written yet, below the folder that all executors share."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if spark.sparkContext.getCheckpointDir() is None:
+            ensure_checkpoint_dir(spark)
+        base = spark.sparkContext.getCheckpointDir()
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -7,12 +7,13 @@ twice leaves the same table. Loads replace the months they hold; merges keep the
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import NullType, StructField, StructType
 
 from ..operators import clean
 from ..session import ensure_checkpoint_dir
@@ -85,9 +86,12 @@ def merge_months(new: DataFrame, path: str, keys: list, order: list, date: str =
 
 
 def read_months(spark: SparkSession, path: str) -> DataFrame | None:
-    """The table under the path; None if nothing was written there."""
+    """The table under the path with the columns of all its months; None if nothing was written there.
+
+    Months written before a column was added have NULL there.
+    """
     try:
-        return spark.read.parquet(path)
+        return spark.read.option("mergeSchema", True).parquet(path)
     except AnalysisException:
         return None
 
@@ -111,7 +115,11 @@ def create_table(spark: SparkSession, name: str, schema: StructType, path: str |
 
 
 def load_table(df: DataFrame, name: str, schema: StructType, date: str = "date_key", strict: bool = False) -> None:
-    """Replace the months of ``df`` in an existing table, after conforming to its schema."""
+    """Replace the months of ``df`` in an existing table, after conforming to its schema.
+
+    Columns that the table lacks are added to it and are NULL in the rows it holds; with ``strict`` they stop
+    the load. Columns that ``df`` lacks are NULL in the new rows.
+    """
     _insert(_conformed(df, name, schema, date, strict), name, date)
 
 
@@ -125,10 +133,31 @@ def merge_table(
     _insert(_merged_months(fresh.checkpoint(), spark.table(name), keys, order), name, date)
 
 
+def new_fields(df: DataFrame, name: str) -> list[StructField]:
+    """The columns of ``df`` that the table lacks, whatever the case of their names.
+
+    A column without a type, which is NULL everywhere, is none: it gets its type with its first value.
+    """
+    unknown = clean.unknown_columns(df, df.sparkSession.table(name).schema)
+    return [f for f in df.schema.fields if f.name in unknown and not isinstance(f.dataType, NullType)]
+
+
+def add_fields(spark: SparkSession, name: str, fields: Sequence[StructField]) -> None:
+    """Add columns to a table; the files written so far are not touched and read as NULL there."""
+    if fields:
+        listed = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({listed})")
+
+
 def _conformed(df: DataFrame, name: str, schema: StructType, date: str, strict: bool) -> DataFrame:
-    if not df.sparkSession.catalog.tableExists(name):
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(name):
         raise ValueError(f"table {name} does not exist")
-    rows = clean.conform(df, schema, strict=strict)
+    unknown = new_fields(df, name)
+    if strict and unknown:
+        raise ValueError(f"unknown columns: {[f.name for f in unknown]}")
+    add_fields(spark, name, unknown)
+    rows = clean.conform(df, StructType([f for f in spark.table(name).schema.fields if f.name != MONTH]))
     for column in (f.name for f in schema.fields if not f.nullable):
         # A missing required value stops the load as a warehouse would.
         message = F.lit(f"NULL in required column {column}")

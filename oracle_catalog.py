@@ -499,6 +499,9 @@ smooth AS (
 SELECT ticker, date, round(macd, 4) AS macd, round(signal, 4) AS macd_signal, round(macd - signal, 4) AS macd_histogram FROM smooth""",
     "silver_prices": _silver_sql(BARS, 530),
     "refreshed_prices": _silver_sql(BARS, 530),
+    "prices_from_states": _silver_sql(BARS, 530),
+    "merged_fields": f"WITH {BARS} SELECT ticker, date, round(close, 4) AS close, "
+    "CASE WHEN date >= DATE '1998-06-15' THEN round(volume, 4) END AS volume FROM bars",
     "silver_prices_of_all": _silver_sql(BARS, 1),
     "price_features_all": _silver_sql(BARS, 1, f"{_round('ema_9 ema_12 ema_26', 'a.')}, {_round('bb_std running_max', 'f.')}"),
     "raw_to_silver": _silver_sql(f"{DIRTY}, {CLEAN_BARS}", 1),
