@@ -237,13 +237,8 @@ def _span(table: str, date: str) -> str:
 
 def _groups(table: str, keys: str) -> str:
     return (
-        f"SELECT count(*) FILTER (WHERE n > 1) || ' groups, at most ' || max(n) || ' rows' FROM (SELECT count(*) AS n FROM {table} GROUP BY {keys})"
-    )
-
-
-def _repeat_groups(table: str, keys: str) -> str:
-    return (
-        f"SELECT count(*) || ' groups, at most ' || coalesce(max(n), 0) || ' rows' FROM (SELECT count(*) AS n FROM {table} GROUP BY {keys} HAVING count(*) > 1)"
+        f"SELECT count(*) || ' groups, at most ' || coalesce(max(n), 0) || ' rows, ' || "
+        f"CAST(round(coalesce(avg(n), 0), 1) AS DECIMAL(20,1)) || ' on average' FROM (SELECT count(*) AS n FROM {table} GROUP BY {keys} HAVING count(*) > 1)"
     )
 
 
@@ -268,6 +263,46 @@ def _gaps(table: str, ticker: str, date: str, days: int) -> str:
     )
 
 
+def _listed(check: str, item: str, failures: str, detail: str, source: str) -> str:
+    """Rows of a list: ``source`` is a query with the rank of each row."""
+    return (
+        f"SELECT '{check}' AS \"check\", CAST({item} AS VARCHAR) AS item, CAST({failures} AS BIGINT) AS failures, CAST(NULL AS DOUBLE) AS percentage, "
+        f"false AS critical, {failures} = 0 AS passed, {detail} AS detail FROM ({source})"
+    )
+
+
+def _gap_list(table: str, ticker: str, date: str) -> str:
+    ranked = f"SELECT *, row_number() OVER (ORDER BY gap_days DESC, ticker, gap_start) AS k FROM ({_gaps(table, ticker, date, 7)}) QUALIFY k <= 5"
+    return _listed("longest_gap", "k", "gap_days", "ticker || ' ' || gap_start || ' to ' || gap_end", ranked)
+
+
+def _summary(table: str, ticker: str, date: str, rows: str) -> list[str]:
+    values = {
+        "unique_tickers": f"count(DISTINCT {ticker})",
+        "unique_dates": f"count(DISTINCT {date})",
+        rows: f"CAST(round(count(*) / count(DISTINCT {ticker}), 1) AS DECIMAL(20,1))",
+        "date_range_days": f"date_diff('day', min({date}), max({date}))",
+    }
+    return [_listed("summary", f"'{name}'", "0", "CAST(v AS VARCHAR)", f"SELECT {value} AS v FROM {table}") for name, value in values.items()]
+
+
+BROKEN = " || ".join(
+    f"CASE WHEN {rule} THEN ', {rule}' ELSE '' END" for rule in ("high < low", "high < open", "high < close", "low > open", "low > close")
+)
+
+
+def _price_lists(table: str, ticker: str) -> list[str]:
+    days = f"SELECT {ticker} AS t, date, count(*) AS n FROM {table} GROUP BY ALL HAVING n > 1 AND t IS NOT NULL AND date IS NOT NULL"
+    repeated = f"SELECT *, row_number() OVER (ORDER BY t, date) AS k FROM ({days}) QUALIFY k <= 5"
+    first = f"SELECT {ticker} AS t, * FROM {table} WHERE {INVALID} QUALIFY row_number() OVER (PARTITION BY {ticker}, date ORDER BY open, high, low, close) = 1"
+    broken = f"SELECT *, {BROKEN} AS labels, row_number() OVER (ORDER BY t, date) AS k FROM ({first}) QUALIFY k <= 5"
+    prices = " || ' ' || ".join(f"'{c} ' || CAST(round({c}, 4) AS DECIMAL(28,4))" for c in ("open", "high", "low", "close"))
+    return [
+        _listed("repeated_day", "k", "n", "t || ' ' || date", repeated),
+        _listed("broken_row", "k", "len(labels) - len(replace(labels, ',', ''))", f"t || ' ' || date || ' ' || {prices} || ': ' || substr(labels, 3)", broken),
+    ]
+
+
 def _price_report(table: str, ticker: str) -> str:
     parts = [_check("null_dates", "date", _count(table, "date IS NULL"), True, table, detail=_span(table, "date"))]
     parts += [_check("prices_positive", c, _count(table, f"{c} <= 0"), True, table) for c in ("open", "high", "low", "close")]
@@ -281,7 +316,19 @@ def _price_report(table: str, ticker: str) -> str:
     parts += [
         _type_check("volume", "integer", "double", 1),
         _check("duplicates", "ticker,date", _duplicates(table, f"{ticker}, date"), True, table, False, _groups(table, f"{ticker}, date")),
+        _check(
+            "duplicates",
+            "all_columns",
+            f"SELECT count(*) FROM (SELECT count(*) AS n FROM {table} GROUP BY {ticker}, date, open, high, low, close, volume HAVING n > 1)",
+            False,
+            table,
+            False,
+            "SELECT 'groups of rows alike in prices and volume'",
+        ),
         _check("date_gaps", "over_7_days", f"SELECT count(*) FROM ({_gaps(table, ticker, 'date', 7)})", False, table, False, _longest(table, ticker, "date")),
+        _gap_list(table, ticker, "date"),
+        *_price_lists(table, ticker),
+        *_summary(table, ticker, "date", "records_per_ticker"),
     ]
     return " UNION ALL ".join(parts)
 
@@ -300,9 +347,22 @@ def _news_report() -> str:
         _check("date_gaps", "over_1_day", gaps(1), False, "news", False, longest),
         _check("date_gaps", "over_7_days", gaps(7), False, "news", False, longest),
         *[
-            _check("duplicates", f"ticker,query_date,{c}", _duplicates("news", f"ticker, query_date, {c}"), False, "news", False, _repeat_groups("news", f"ticker, query_date, {c}"))
+            _check("duplicates", f"ticker,query_date,{c}", _duplicates("news", f"ticker, query_date, {c}"), False, "news", False, _groups("news", f"ticker, query_date, {c}"))
+            for c in ("url", "title")
+        ],
+        _gap_list("news", "ticker", "query_date"),
+        *[
+            _listed(
+                f"repeated_{c}",
+                "k",
+                "n",
+                f"ticker || ' ' || query_date || ' ' || CASE WHEN len({c}) > 100 THEN substr({c}, 1, 100) || '...' ELSE {c} END",
+                f"SELECT *, row_number() OVER (ORDER BY ticker, query_date, {c}) AS k FROM (SELECT ticker, query_date, {c}, count(*) AS n FROM news "
+                f"WHERE ticker IS NOT NULL AND query_date IS NOT NULL AND {c} IS NOT NULL GROUP BY ALL HAVING n > 1) QUALIFY k <= 5",
+            )
             for c in ("url", "title")
         ],
+        *_summary("news", "ticker", "query_date", "articles_per_ticker"),
     ]
     return " UNION ALL ".join(parts)
 

@@ -157,7 +157,7 @@ def test_validation_shows_what_cleaning_repaired(spark, tmp_path):
     report = {(r.check, r.item): r for r in spark.read.json(str(tmp_path / "20240131_prices.json")).collect()}
     assert report[("duplicates", "ticker,date")].failures == 0
     assert report[("raw_duplicates", "ticker,date")].failures == 2
-    assert report[("raw_duplicates", "ticker,date")].detail == "1 groups, at most 2 rows"
+    assert report[("raw_duplicates", "ticker,date")].detail == "1 groups, at most 2 rows, 2.0 on average"
     assert report[("raw_ohlc_order", "all")].failures == 1
     assert not report[("raw_ohlc_order", "all")].critical
 

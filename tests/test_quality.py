@@ -1,4 +1,4 @@
-from datetime import date
+from datetime import date, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 from market_engine.functions import ohlc
 from market_engine.operators import clean, qualify, quality, summaries
 
+from frames import plan_of
+
 BAR = "ticker string, date date, open double, high double, low double, close double, volume double"
 
 
@@ -113,3 +115,45 @@ def test_source_mix(spark):
     df = spark.createDataFrame([("A", "ticker"), ("A", None), ("A", "abbrev1"), ("A", "abbrev1")], "ticker string, search_source string")
     row = summaries.search_source_mix(df).first()
     assert (row.articles, row.ticker_count, row.abbrev1_pct, row.company_name_pct) == (4, 2, 50.0, 0.0)
+
+
+def test_price_report_lists_the_worst(spark):
+    day = lambda i: date(2024, 1, 1) + timedelta(days=i)
+    rows = [("A", day(i), 10.0, 11.0, 9.0, 10.0, 1.0) for i in (0, 8, 20, 30, 50, 60, 75, 76)]
+    rows += [("B", day(0), 10.0, 11.0, 9.0, 10.0, 1.0)] * 3 + [("B", day(i), float(i), 1.0, 2.0, 1.5, 1.0) for i in (1, 1, 2, 3, 4, 5, 6)]
+    rows += [("B", None, 1.0, 1.0, 1.0, 1.0, 1.0)] * 2
+    report = quality.price_report(bars(spark, *rows)).collect()
+    found = {(r.check, r.item): r for r in report}
+    assert len(found) == len(report)
+    gaps = [(found["longest_gap", str(k)].failures, found["longest_gap", str(k)].detail) for k in range(1, 6)]
+    assert gaps[0] == (20, "A 2024-01-31 to 2024-02-20") and [g[0] for g in gaps] == [20, 15, 12, 10, 10]
+    assert gaps[3][1] < gaps[4][1] and ("longest_gap", "6") not in found and found["date_gaps", "over_7_days"].failures == 6
+    assert [(r.failures, r.detail) for r in report if r.check == "repeated_day"] == [(3, "B 2024-01-01"), (2, "B 2024-01-02")]
+    assert found["duplicates", "all_columns"].failures == 2
+    assert found["duplicates", "ticker,date"].detail == "3 groups, at most 3 rows, 2.3 on average"
+    broken = [(r.item, r.failures, r.detail) for r in report if r.check == "broken_row"]
+    assert broken[1] == ("2", 4, "B 2024-01-03 open 2.0000 high 1.0000 low 2.0000 close 1.5000: high < low, high < open, high < close, low > close")
+    assert len(broken) == 5 and found["ohlc_order", "all"].failures == 7
+    summary = {r.item: r.detail for r in report if r.check == "summary"}
+    assert summary == {"unique_tickers": "2", "unique_dates": "14", "records_per_ticker": "10.0", "date_range_days": "76"}
+    assert not any(r.critical for r in report if r.check in ("longest_gap", "repeated_day", "broken_row", "summary"))
+
+
+def test_reports_read_their_rows_once(spark, tmp_path):
+    path = str(tmp_path / "bars")
+    bars(spark, ("A", date(2024, 1, 1), 10.0, 11.0, 9.0, 10.0, 1.0)).write.parquet(path)
+    assert plan_of(quality.price_report(spark.read.parquet(path))).count("FileScan") == 1
+
+
+def test_news_report_lists_repeated_articles(spark):
+    day = date(2024, 1, 1)
+    rows = [(t, day, f"title {i % 4}", None, "u" * 120 + str(i // 2)) for t in ("A", "B") for i in range(8)]
+    rows += [(None, day, "x", None, "u"), (None, day, "x", None, "u")]
+    report = quality.news_report(news(spark, *rows)).collect()
+    titles = [(r.item, r.failures, r.detail) for r in report if r.check == "repeated_title"]
+    assert titles == [(str(k + 1), 2, f"{t} 2024-01-01 title {n}") for k, (t, n) in enumerate([("A", 0), ("A", 1), ("A", 2), ("A", 3), ("B", 0)])]
+    urls = [r.detail for r in report if r.check == "repeated_news_url"]
+    assert len(urls) == 5 and urls[0] == f"A 2024-01-01 {'u' * 100}..."
+    found = {(r.check, r.item): r for r in report}
+    assert found["duplicates", "ticker,query_date,news_url"].detail == "9 groups, at most 2 rows, 2.0 on average"
+    assert found["summary", "articles_per_ticker"].detail == "9.0"
