@@ -128,10 +128,11 @@ def fold(doc_id: Column) -> Column:
 
 
 def sample_of(docs: DataFrame, max_sample: int = MAX_SAMPLE) -> DataFrame:
-    """language, text and rank of at most `max_sample` documents outside the held-out fold.
+    """lang, rank and text of at most `max_sample` documents outside the held-out fold.
 
-    Each language gives its documents in the order of a hash of the doc_id, all languages in turn, so that rare
-    ones are learned as well as frequent ones. The limits on ranks apply before anything is shuffled.
+    Each language gives as many, those with the smallest hash of doc_id and text; documents alike in both count
+    once. How many a language has tells below which hash they are to be found, so that only about those are
+    shuffled with their texts.
     """
     number = F.col("doc_id").cast("long")
     rows = docs.select(
@@ -139,9 +140,16 @@ def sample_of(docs: DataFrame, max_sample: int = MAX_SAMPLE) -> DataFrame:
     )
     learnable = (F.coalesce(fold(F.col("doc_id")), F.lit(0)) != HELD_OUT) & (F.length("text") <= MAX_SAMPLE_CHARS)
     rows = rows.where(F.col("lang").isNotNull() & learnable & F.col("text").rlike(r"\p{L}"))
-    order = [hash31("doc_id"), F.col("doc_id"), F.xxhash64("text"), F.col("text")]
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(*order))
-    ranked = rows.withColumn("rank", rank).where(F.col("rank") <= max_sample)
+    rows = rows.select("lang", hash31("doc_id", "text").alias("hash"), "text")
+    different = rows.groupBy("lang", "hash").agg(F.lit(1).alias("one"))
+    sizes = store(different.groupBy("lang").agg(F.count("one").alias("documents")), "languages")
+    quota = max(1, max_sample // max(sizes.count(), 1))
+    # Chance leaves a few more or less below the bound; the margin makes less than the quota next to impossible.
+    bound = F.col("documents").cast("double") / F.lit(1.3 * quota + 100)
+    near = rows.join(sizes, "lang").where(F.col("hash") * bound <= float(1 << 31))
+    single = near.groupBy("lang", "hash").agg(F.min("text").alias("text"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("hash"))
+    ranked = single.withColumn("rank", rank).where(F.col("rank") <= quota)
     return ranked.select("lang", "rank", "text").orderBy("rank", "lang").limit(max_sample)
 
 

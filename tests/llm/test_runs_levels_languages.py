@@ -212,6 +212,8 @@ def test_nothing_to_learn_from(docs_of):
 
 
 def test_sample_is_bounded_whatever_the_ids(docs_of):
-    rows = [(1, f"text {i}", "en", "s") for i in range(300)] + [(i, "autre", "fr", "s") for i in range(3)]
+    rows = [(1, f"text {i}", "en", "s") for i in range(300)] + [(i, "autre", "fr", "s") for i in range(3) for _ in range(50)]
+    learned = [i for i in range(3) if zlib.crc32(str(i).encode()) % 4 != 2]
     sample = string_kernel.sample_of(docs_of(rows), 40).collect()
-    assert len(sample) == 40 and sum(r.lang == "fr" for r in sample) >= 2
+    assert Counter(r.lang for r in sample) == {"en": 20, "fr": len(learned)}
+    assert len({r.text for r in sample}) == 21
