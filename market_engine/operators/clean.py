@@ -11,6 +11,23 @@ from ..functions import ohlc, text
 from .joins import lookup_table
 
 
+# Zones that RFC 2822 names, as offsets.
+ZONES = {
+    "GMT": "+0000",
+    "UTC": "+0000",
+    "UT": "+0000",
+    "Z": "+0000",
+    "EST": "-0500",
+    "EDT": "-0400",
+    "CST": "-0600",
+    "CDT": "-0500",
+    "MST": "-0700",
+    "MDT": "-0600",
+    "PST": "-0800",
+    "PDT": "-0700",
+}
+
+
 def first_per_key(df: DataFrame, keys: Sequence[str | Column], order: Sequence[str | Column]) -> DataFrame:
     """The first row of each key in ``order``.
 
@@ -25,18 +42,42 @@ def one_bar_per_day(bars: DataFrame, order: Sequence[str | Column], ticker: str
     return first_per_key(bars, [ticker, "date"], order)
 
 
+def _written_date(text: Column) -> Column:
+    """A date in words, as mail and news services write it, as a timestamp: ``Fri, 25 Oct 2024 16:00:00 -0400``.
+
+    The name of the day does not count, seconds and the zone may be missing. Names of zones are those of RFC 2822.
+    """
+    plain = F.regexp_replace(F.trim(text), r"^[A-Za-z]{3,9}\.?,?\s+(?=\d)", "")
+    numbered = plain
+    for name, offset in ZONES.items():
+        numbered = F.regexp_replace(numbered, rf"(?i)\s+{name}$", f" {offset}")
+    # The first form that fits counts; a zone of its own places the time, without one it is UTC.
+    forms = ("d MMM yyyy HH:mm:ss xx", "d MMM yyyy HH:mm xx", "d MMM yyyy HH:mm:ss", "d MMM yyyy HH:mm", "d MMM yyyy", "M/d/yyyy")
+    return F.coalesce(*[F.try_to_timestamp(numbered, F.lit(form)) for form in forms])
+
+
+def as_timestamp(df: DataFrame, column: str) -> Column:
+    """The column as a timestamp; text may be ISO 8601 or a date in words. NULL where a text is none."""
+    if dict(df.dtypes)[column] != "string":
+        return F.col(column).cast("timestamp")
+    return F.coalesce(F.try_to_timestamp(column), _written_date(F.col(column)))
+
+
 def as_date(df: DataFrame, column: str) -> Column:
-    """The column as a date, with or without a time of day; NULL where a text is none."""
+    """The column as a date, with or without a time of day; NULL where a text is none. See ``as_timestamp``."""
     if dict(df.dtypes)[column] != "string":
         return F.col(column).cast("date")
-    return F.coalesce(F.try_to_date(column, "yyyy-MM-dd"), F.try_to_timestamp(column).cast("date"))
+    return F.coalesce(F.try_to_date(column, "yyyy-MM-dd"), as_timestamp(df, column).cast("date"))
+
+
+def unread_date(df: DataFrame, column: str) -> Column:
+    """Whether the column holds text that is no date."""
+    return as_date(df, column).isNull() & ~text.blank(F.col(column).cast("string"))
 
 
-def parse_date(df: DataFrame, column: str = "date", pattern: str = "yyyy-MM-dd") -> DataFrame:
+def parse_date(df: DataFrame, column: str = "date") -> DataFrame:
     """Turn text into a date, NULL where it is none; other types are only cast."""
-    if dict(df.dtypes)[column] == "string":
-        return df.withColumn(column, F.try_to_date(column, pattern))
-    return df.withColumn(column, F.col(column).cast("date"))
+    return df.withColumn(column, as_date(df, column))
 
 
 def repair_ohlc(bars: DataFrame) -> DataFrame:

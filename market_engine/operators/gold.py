@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .joins import lookup_table
+
 
 def daily_sentiment(news: DataFrame) -> DataFrame:
     """One row per ticker and day."""
@@ -33,6 +35,24 @@ def sentiment_prices(prices: DataFrame, daily: DataFrame) -> DataFrame:
     )
 
 
+def on_trading_days(news: DataFrame, prices: DataFrame) -> DataFrame:
+    """The articles with the day of the next prices of their ticker, their own day included, as ``date_key``.
+
+    Articles of a weekend thus count for the day that trades on them; their own day stays as ``article_day``. Those
+    after a ticker's last prices keep their day. Days are looked up once per ticker and day: the days of both
+    tables together, in order, with the next day that has prices carried back.
+    """
+    keyed = prices if "date_key" in prices.columns else prices.withColumn("date_key", F.col("date"))
+    trading = keyed.select("ticker", "date_key", F.col("date_key").alias("_trading"))
+    asked = news.select("ticker", "date_key").distinct().withColumn("_trading", F.lit(None).cast("date"))
+    onwards = Window.partitionBy("ticker").orderBy("date_key", F.col("_trading").asc_nulls_first())
+    following = F.first("_trading", ignorenulls=True).over(onwards.rowsBetween(0, Window.unboundedFollowing))
+    days = trading.unionByName(asked).withColumn("_next", following).where("_trading IS NULL")
+    table = lookup_table(days, ["ticker", "date_key"], F.min("_next").alias("_next"))
+    moved = news.join(table, ["ticker", "date_key"], "left").withColumn("article_day", F.col("date_key"))
+    return moved.withColumn("date_key", F.coalesce("_next", "date_key")).drop("_next")
+
+
 def sentiment_correlation(
     joined: DataFrame, score: str = "avg_vader_compound", change: str = "price_change_pct", lag_days: int = 0
 ) -> DataFrame:

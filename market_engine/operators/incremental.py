@@ -2,23 +2,54 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .clean import as_date
 
 LOOKBACK_DAYS = 365
+#: The partition column of the stored tables.
+MONTH = "month"
 
 
 def last_date(spark: SparkSession, table: str, column: str = "date"):
-    """Latest date of a catalog table; None if it is missing or empty."""
+    """Latest date of a catalog table; None if it is missing or empty.
+
+    If the table is partitioned by month, ``column`` must be what its months were made from, or a date of the same
+    month. The names of its partitions then tell which month to read; rows without a date are in none of them.
+    """
     if not spark.catalog.tableExists(table):
         return None
-    return spark.table(table).agg(F.max(column)).first()[0]
+    rows = spark.table(table)
+    if any(c.name == MONTH and c.isPartition for c in spark.catalog.listColumns(table)):
+        names = spark.sql(f"SHOW PARTITIONS {table}")
+        month = F.regexp_extract("partition", rf"{MONTH}=(\d{{4}}-\d{{2}})$", 1)
+        # An empty name stands for the rows without a date.
+        last = names.agg(F.max(month)).first()[0]
+        found = rows.where(F.col(MONTH) == last).agg(F.max(column)).first()[0] if last else None
+        if found is not None:
+            return found
+    return rows.agg(F.max(column)).first()[0]
+
+
+def newest_month(loaded: DataFrame) -> DataFrame:
+    """The rows of the last month of a month table that hold a date; other tables as they are.
+
+    The month is found from the folder names, which Spark has listed already; it prunes the folders read.
+    """
+    if MONTH not in loaded.columns:
+        return loaded
+    months = {m.group(1) for f in loaded.inputFiles() if (m := re.search(rf"/{MONTH}=(\d{{4}}-\d{{2}})/", f))}
+    return loaded.where(F.col(MONTH).cast("string") == max(months)) if months else loaded
 
 
 def pending_range(loaded: DataFrame, today, column: str = "date", lookback: int = LOOKBACK_DAYS) -> DataFrame:
-    """One row with the first and last day to load; no row if nothing is due."""
+    """One row with the first and last day to load; no row if nothing is due.
+
+    For a stored month table pass its ``newest_month``, which has the latest date.
+    """
     end = F.lit(today).cast("date")
     start = F.coalesce(F.date_add(F.max(column), 1), F.date_sub(end, lookback))
     return loaded.agg(start.alias("start_date"), end.alias("end_date")).where("start_date <= end_date")

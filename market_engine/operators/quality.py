@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import ohlc, text
-from .clean import as_date, implausible_date
+from .clean import as_date, implausible_date, unread_date
 
 MAX_GAP_DAYS = 7
 #: Entries of a list in a report, and buckets of tickers between the lists of tickers and that of all.
@@ -166,8 +166,11 @@ def _type_rows(df: DataFrame, expected: dict[str, str]) -> list[Check]:
 
 
 def _null_dates(df: DataFrame, columns: Sequence[str]) -> list[tuple[str, str, Column, bool]]:
-    """Text that is no date counts as NULL."""
-    return [("null_dates", c, as_date(df, c).isNull(), True) for c in columns if c in df.columns]
+    """Text that is no date counts as NULL, and once more as what it is."""
+    held = [c for c in columns if c in df.columns]
+    texts = [c for c in held if dict(df.dtypes)[c] == "string"]
+    missing = [("null_dates", c, as_date(df, c).isNull(), True) for c in held]
+    return missing + [("unread_dates", c, unread_date(df, c), False) for c in texts]
 
 
 def _smallest(column: str, n: int = LISTED) -> Column:

@@ -12,6 +12,7 @@ from ..operators import (
     candidates,
     carry,
     clean,
+    emphasis,
     features,
     gold,
     incremental,
@@ -374,6 +375,12 @@ def lexicon_sentiment(spark, folder):
     return rounded(sentiment.lexicon_scores(articles, sample.lexicon(spark), ["doc_id"]), 8)
 
 
+@query
+def emphatic_sentiment(spark, folder):
+    texts, words = sample.emphatic_texts(spark, folder), sample.lexicon(spark)
+    return rounded(emphasis.emphatic_scores(texts, words, sample.shifters(spark), ["doc_id"]), 8)
+
+
 def _probabilities(spark, folder):
     """The first three numbers of each embedding as logits."""
     logits = F.transform(F.slice("embedding", 1, 3), lambda x: x.cast("double") * 5)
@@ -548,6 +555,25 @@ def chart_json_bars(spark, folder):
     return rounded(payloads.chart_bars(sample.chart_payloads(spark, folder)))
 
 
+@query
+def chart_outcomes(spark, folder):
+    """Every answer is either read or refused for a reason."""
+    return payloads.outcomes(payloads.chart_answers(sample.mixed_chart_payloads(spark, folder)))
+
+
+@query
+def refused_news(spark, folder):
+    answers = payloads.news_answers(sample.mixed_news_payloads(spark, folder), keep=("doc_id",))
+    return payloads.refused(answers).select("doc_id", "outcome")
+
+
+@query
+def article_dates(spark, folder):
+    """Dates as the services write them; what cannot be read is told apart from what is missing."""
+    rows = sample.written_dates(spark, folder)
+    return rows.select("doc_id", clean.as_date(rows, "date").alias("day"), clean.unread_date(rows, "date").alias("unread"))
+
+
 @query
 def news_json(spark, folder):
     out = payloads.articles(sample.news_payloads(spark, folder), keep=("doc_id",))
@@ -586,6 +612,14 @@ def sentiment_price(spark, folder):
     return rounded(_priced(spark, folder).drop("date", "open", "high", "low", "volume"))
 
 
+@query
+def trading_days(spark, folder):
+    """Articles with the day of the next prices of their ticker."""
+    name = F.concat(F.lit("SRC"), (F.col("doc_id") % 20 + 1).cast("string"))
+    articles = sample.news(spark, folder).select("doc_id", name.alias("ticker"), F.col("query_date").alias("date_key"))
+    return gold.on_trading_days(articles, sample.bars(spark, folder).select("ticker", "date"))
+
+
 @query
 def sentiment_price_corr(spark, folder):
     return rounded(gold.sentiment_correlation(_priced(spark, folder)))

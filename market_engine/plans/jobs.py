@@ -7,11 +7,12 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import carry, clean, features, gold, qualify, quality
+from ..operators import carry, clean, features, gold, qualify, quality, summaries
 from ..schemas import SILVER_NEWS, SILVER_PRICES
 from ..session import ensure_checkpoint_dir
 from ..sinks import tables
 from ..sources import bronze
+from ..sources import payloads as payload
 from . import news as news_plan
 from . import prices as price_plan
 
@@ -33,6 +34,34 @@ def store_news(articles: DataFrame, path: str, order: Sequence = ()) -> None:
     tables.merge_months(tables.prepare_news(articles), path, keys, [F.col("_new").desc(), *order], date="query_date")
 
 
+def store_chart_answers(payloads: DataFrame, path: str, refused_path: str, zone: str = "UTC") -> DataFrame:
+    """Add the bars of chart answers (symbol, asked, payload) to Bronze and the refused answers to a table of their own.
+
+    An answer is parsed once. The result has the number of answers by outcome; they add up to the payloads.
+    """
+    ensure_checkpoint_dir(payloads.sparkSession)
+    rows = payloads.withColumn("_key", F.struct("symbol", "asked"))
+    answers = payload.chart_answers(rows, symbol="_key").checkpoint()
+    bars = payload.bars_of(answers, "_key", zone)
+    latest = [F.col("_key.asked").desc()]
+    keyed = bars.select(F.col("_key.symbol").alias("symbol"), "date", *payload.FIELDS, "_key")
+    tables.merge_months(clean.first_per_key(keyed, ["symbol", "date"], latest).drop("_key"), path, ["symbol", "date"], [F.col("_new").desc()], ticker="symbol")
+    held = payload.refused(answers).select("_key.*", "outcome", "excerpt").withColumnRenamed("asked", "date")
+    tables.merge_months(held, refused_path, ["symbol", "date", "outcome"], [F.col("_new").desc()], ticker="symbol")
+    return payload.outcomes(answers)
+
+
+def store_news_answers(payloads: DataFrame, path: str, refused_path: str) -> DataFrame:
+    """The same for news answers (ticker, query_date, payload)."""
+    ensure_checkpoint_dir(payloads.sparkSession)
+    keys = ("ticker", "query_date")
+    answers = payload.news_answers(payloads, keep=keys).checkpoint()
+    store_news(payload.articles_of(answers, keys), path, ["title", "text"])
+    refused = tables.prepare_news(payload.refused(answers)).withColumnRenamed("query_date", "date")
+    tables.merge_months(refused, refused_path, ["ticker", "date", "outcome"], [F.col("_new").desc()])
+    return payload.outcomes(answers)
+
+
 def mark_processed(days: DataFrame, path: str) -> None:
     """Note (ticker, date) as asked for, with or without articles, for ``incremental.missing_days``."""
     tables.merge_months(days.select("ticker", "date"), path, ["ticker", "date"], [F.col("_new").desc()])
@@ -40,13 +69,14 @@ def mark_processed(days: DataFrame, path: str) -> None:
 
 def load_prices(
     raw: DataFrame, table: str, order: list, min_bars: int = qualify.MIN_BARS, more: Sequence[str] = (), strict: bool = False
-) -> None:
-    """All of Bronze into the Silver price table.
+) -> DataFrame:
+    """All of Bronze into the Silver price table; the result has the figures of the stored table.
 
     ``more`` names further Bronze columns to carry along; the table gets those it lacks, unless ``strict``.
     """
     tables.create_table(raw.sparkSession, table, SILVER_PRICES)
     tables.load_table(price_plan.raw_to_silver(raw, order, min_bars, more), table, SILVER_PRICES, strict=strict)
+    return summaries.price_summary(raw.sparkSession.table(table))
 
 
 def refresh_prices(history: DataFrame, new: DataFrame, path: str, order: list, min_bars: int = qualify.MIN_BARS) -> None:
@@ -115,9 +145,12 @@ def load_news(
     order: list,
     load_model: Callable | None = None,
     labels: Sequence[str] = (),
-) -> None:
+    shifters: DataFrame | None = None,
+) -> DataFrame:
     """Add Bronze articles to the Silver news table; of an article that is there already the new row stays.
 
+    The result has the figures of the stored table.
+
     The deduplicated articles feed both the word scores and the table. They are stored meanwhile in the
     folder all executors share.
     """
@@ -125,12 +158,14 @@ def load_news(
     tables.create_table(spark, table, SILVER_NEWS)
     ensure_checkpoint_dir(spark)
     unique = news_plan.deduplicated(raw, order).checkpoint()
-    scored = news_plan.scored(unique, lexicon, load_model, labels)
+    scored = news_plan.scored(unique, lexicon, load_model, labels, shifters)
     tables.merge_table(scored, table, SILVER_NEWS, news_plan.article_key(), [F.col("_new").desc()])
+    return summaries.news_summary(spark.table(table))
 
 
-def load_gold(prices: DataFrame, news: DataFrame, path: str) -> None:
-    """Daily sentiment beside the price features of the same day."""
+def load_gold(prices: DataFrame, news: DataFrame, path: str, next_trading_day: bool = False) -> None:
+    """Daily sentiment beside the price features of the same day, or of the next day with prices."""
+    news = gold.on_trading_days(news, prices) if next_trading_day else news
     joined = gold.sentiment_prices(prices, gold.daily_sentiment(news))
     tables.write_months(joined, path, "date_key")
 

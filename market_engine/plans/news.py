@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..operators import clean, quality, sentiment
+from ..operators import clean, emphasis, quality, sentiment
 from ..schemas import SILVER_NEWS
 from ..sinks import tables
 
@@ -55,11 +55,19 @@ def deduplicated(news: DataFrame, order: list) -> DataFrame:
 
 
 def scored(
-    unique: DataFrame, lexicon: DataFrame, load_model: Callable | None = None, labels: Sequence[str] = ()
+    unique: DataFrame,
+    lexicon: DataFrame,
+    load_model: Callable | None = None,
+    labels: Sequence[str] = (),
+    shifters: DataFrame | None = None,
 ) -> DataFrame:
-    """Both scores, in the columns of the Silver table."""
+    """Both scores, in the columns of the Silver table; with ``shifters`` the word scores follow ``emphasis``."""
     keys = ["ticker", "date_key", *clean.IDENTITY]
-    out = unique.join(sentiment.lexicon_scores(unique, lexicon, keys), keys, "left")
+    if shifters is None:
+        words = sentiment.lexicon_scores(unique, lexicon, keys)
+    else:
+        words = emphasis.emphatic_scores(unique, lexicon, shifters, keys)
+    out = unique.join(words, keys, "left")
     if load_model is not None:
         out = sentiment.model_scores(out, load_model, labels)
     return clean.conform(out.withColumn("sentiment_timestamp", F.current_timestamp()), SILVER_NEWS)

@@ -6,6 +6,8 @@ keeps rounded results away from decimal ties.
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -122,7 +124,7 @@ def chart_payloads(spark: SparkSession, folder: str) -> DataFrame:
     result = F.struct(times.alias("timestamp"), F.struct(F.array(quote).alias("quote")).alias("indicators"))
     body = F.to_json(F.struct(F.struct(F.array(result).alias("result")).alias("chart")))
     return answers.select(
-        F.col("ticker").alias("symbol"), F.concat(F.lit("<pre>"), body, F.lit("</pre>")).alias("payload")
+        F.col("ticker").alias("symbol"), "year", F.concat(F.lit("<pre>"), body, F.lit("</pre>")).alias("payload")
     )
 
 
@@ -146,3 +148,58 @@ def lexicon(spark: SparkSession) -> DataFrame:
     return spark.sql(
         "SELECT * FROM VALUES ('the', 0.5D), ('and', -0.3D), ('of', 1.2D), ('is', -1.1D), ('that', 0.8D) AS t(word, valence)"
     )
+
+
+def shifters(spark: SparkSession) -> DataFrame:
+    """Frequent words of the sample as boosters, negations and words of contrast."""
+    return spark.sql(
+        "SELECT * FROM VALUES ('to', 'booster', 0.293D), ('on', 'booster', -0.293D), ('in', 'negation', 0D), ('that', 'negation', 0D), "
+        "('with', 'contrast', 0D) AS t(word, kind, amount)"
+    )
+
+
+def emphatic_texts(spark: SparkSession, folder: str) -> DataFrame:
+    """Articles whose titles are in capitals, and which end in exclamation and question marks; some have no text."""
+    doc = F.col("doc_id")
+    marks = F.concat(F.repeat(F.lit("!"), (doc % 6).cast("int")), F.repeat(F.lit("?"), (doc % 5).cast("int")))
+    # Letters outside ASCII have no capitals that all engines agree on.
+    title = F.translate(F.substring_index("text", "\n", 1), string.ascii_lowercase, string.ascii_uppercase)
+    whole = F.concat_ws(" ", title, F.col("text"), marks)
+    return table(spark, folder, "documents").select("doc_id", F.when(doc % 13 != 0, whole).alias("sentiment_text"))
+
+
+def mixed_chart_payloads(spark: SparkSession, folder: str) -> DataFrame:
+    """The chart answers; some are cut off, absent or without a result."""
+    answers = chart_payloads(spark, folder)
+    kind = F.pmod(F.expr("cast(substring(symbol, 4) as int)") + F.col("year"), F.lit(7))
+    payload = (
+        F.when(kind == 0, F.expr("substring(payload, 1, length(payload) div 2)"))
+        .when(kind == 1, F.lit(None))
+        .when(kind == 2, '{"chart": {"result": null, "error": {"code": "Not Found"}}}')
+        .when(kind == 3, '{"chart": {"result": []}}')
+        .when(kind == 4, "<html>busy</html>")
+        .otherwise(F.col("payload"))
+    )
+    return answers.withColumn("payload", payload)
+
+
+def mixed_news_payloads(spark: SparkSession, folder: str) -> DataFrame:
+    """The news answers; some more are cut off or blank."""
+    cut = F.when(F.col("doc_id") % 7 == 1, F.expr("substring(payload, 1, length(payload) - 5)"))
+    return news_payloads(spark, folder).withColumn("payload", cut.when(F.col("doc_id") % 7 == 2, " ").otherwise(F.col("payload")))
+
+
+def written_dates(spark: SparkSession, folder: str) -> DataFrame:
+    """Days written in the ways the sources write them; every sixth is none."""
+    day = F.date_add(F.lit("1995-01-02").cast("date"), (F.col("doc_id") % 2400).cast("int"))
+    kind = F.col("doc_id") % 6
+    # Ten in the evening, four hours behind, is the next day.
+    written = (
+        F.when(kind == 0, day.cast("string"))
+        .when(kind == 1, F.concat(F.lit("Mon, "), F.date_format(day, "dd MMM yyyy"), F.lit(" 22:00:00 -0400")))
+        .when(kind == 2, F.concat(day.cast("string"), F.lit("T08:30:00Z")))
+        .when(kind == 3, F.date_format(day, "M/d/yyyy"))
+        .when(kind == 4, F.concat(F.date_format(day, "d MMM yyyy"), F.lit(" 23:30 EST")))
+        .otherwise("soon")
+    )
+    return table(spark, folder, "documents").select("doc_id", written.alias("date"))

@@ -55,7 +55,8 @@ CHART = _struct(
                             "indicators": _struct({"quote": ArrayType(QUOTES)}),
                         }
                     )
-                )
+                ),
+                "error": _struct({"code": STRING, "description": STRING}),
             }
         )
     }
@@ -75,7 +76,8 @@ NEWS_PAYLOAD = _struct(
                     "topics": ArrayType(STRING),
                 }
             )
-        )
+        ),
+        "message": STRING,
     }
 )
 

@@ -16,9 +16,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NullType, StructField, StructType
 
 from ..operators import clean
+from ..operators.incremental import MONTH
 from ..session import ensure_checkpoint_dir
 
-MONTH = "month"
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
@@ -97,10 +97,10 @@ def read_months(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def prepare_news(df: DataFrame) -> DataFrame:
-    """Article and query dates as timestamps, NULL where they cannot be read."""
+    """Article and query dates as timestamps, NULL where they cannot be read; see ``clean.as_timestamp``."""
     kinds = dict(df.dtypes)
     texts = [c for c in ("date", "query_date") if kinds.get(c) == "string"]
-    return df.withColumns({c: F.try_to_timestamp(c) for c in texts}) if texts else df
+    return df.withColumns({c: clean.as_timestamp(df, c) for c in texts}) if texts else df
 
 
 def create_table(spark: SparkSession, name: str, schema: StructType, path: str | None = None) -> None:
@@ -117,8 +117,8 @@ def create_table(spark: SparkSession, name: str, schema: StructType, path: str |
 def load_table(df: DataFrame, name: str, schema: StructType, date: str = "date_key", strict: bool = False) -> None:
     """Replace the months of ``df`` in an existing table, after conforming to its schema.
 
-    Columns that the table lacks are added to it and are NULL in the rows it holds; with ``strict`` they stop
-    the load. Columns that ``df`` lacks are NULL in the new rows.
+    Columns that the table lacks are added to it and are NULL in the rows it holds; with ``strict`` any column
+    that ``schema`` does not declare stops the load. Columns that ``df`` lacks are NULL in the new rows.
     """
     _insert(_conformed(df, name, schema, date, strict), name, date)
 
@@ -153,10 +153,11 @@ def _conformed(df: DataFrame, name: str, schema: StructType, date: str, strict:
     spark = df.sparkSession
     if not spark.catalog.tableExists(name):
         raise ValueError(f"table {name} does not exist")
-    unknown = new_fields(df, name)
-    if strict and unknown:
-        raise ValueError(f"unknown columns: {[f.name for f in unknown]}")
-    add_fields(spark, name, unknown)
+    if strict:
+        undeclared = clean.unknown_columns(df, schema)
+        if undeclared:
+            raise ValueError(f"unknown columns: {undeclared}")
+    add_fields(spark, name, new_fields(df, name))
     rows = clean.conform(df, StructType([f for f in spark.table(name).schema.fields if f.name != MONTH]))
     for column in (f.name for f in schema.fields if not f.nullable):
         # A missing required value stops the load as a warehouse would.

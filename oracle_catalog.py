@@ -61,6 +61,50 @@ words AS (
   FROM articles a LEFT JOIN sums USING (doc_id))"""
 
 
+def _emphatic() -> str:
+    """Each word with the three before it; a value is shifted by one after the other."""
+    around = ", ".join(f"lag({c}, {k}) OVER o AS {c}{k}" for k in (1, 2, 3) for c in ("valence", "boost", "caps", "negates"))
+    steps, value = [], "v0"
+    for k, near in ((1, 1.0), (2, 0.95), (3, 0.9)):
+        push = f"CASE WHEN boost{k} <> 0 THEN (boost{k} + caps{k}) * {near} ELSE 0 END"
+        turned = f"({value} + sign({value}) * {push}) * CASE WHEN negates{k} THEN -0.74::DOUBLE ELSE 1 END"
+        known = f"valence{k} IS NOT NULL OR boost{k} IS NULL"
+        steps.append(f"s{k} AS (SELECT *, CASE WHEN {known} THEN {value} ELSE {turned} END AS v{k} FROM {f's{k - 1}' if k > 1 else 'starts'})")
+        value = f"v{k}"
+    return f"""
+WITH lexicon AS (SELECT * FROM (VALUES ('the', 0.5::DOUBLE), ('and', -0.3), ('of', 1.2), ('is', -1.1), ('that', 0.8)) AS v(word, valence)),
+shifters AS (SELECT * FROM (VALUES ('to', 'booster', 0.293::DOUBLE), ('on', 'booster', -0.293), ('in', 'negation', 0), ('that', 'negation', 0), ('with', 'contrast', 0)) AS v(word, kind, amount)),
+texts AS (
+  SELECT doc_id, CASE WHEN doc_id % 13 <> 0 THEN translate(split_part(text, chr(10), 1), 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ') || ' ' || text || ' ' || repeat('!', CAST(doc_id % 6 AS INTEGER)) || repeat('?', CAST(doc_id % 5 AS INTEGER)) END AS t
+  FROM documents),
+lists AS (SELECT doc_id, t, regexp_extract_all(t, '[A-Za-z]+(?:''[A-Za-z]+)?') AS l FROM texts),
+places AS (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS i FROM lists WHERE t IS NOT NULL),
+words AS (
+  SELECT p.doc_id, i, l[i] AS w, x.valence, coalesce(s.amount, 0) AS boost, coalesce(s.kind = 'negation', false) AS negates, coalesce(s.kind = 'contrast', false) AS contrasts,
+         CASE WHEN l[i] = upper(l[i]) AND count(*) FILTER (WHERE l[i] <> upper(l[i])) OVER (PARTITION BY p.doc_id) > 0 THEN 0.733::DOUBLE ELSE 0 END AS caps
+  FROM places p LEFT JOIN lexicon x ON x.word = lower(l[i]) LEFT JOIN shifters s ON s.word = lower(l[i])),
+starts AS (
+  SELECT *, coalesce(valence + sign(valence) * caps, 0) AS v0, min(CASE WHEN contrasts THEN i END) OVER (PARTITION BY doc_id) AS turn, {around}
+  FROM words WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+{", ".join(steps)},
+weighed AS (SELECT doc_id, i, {value} * CASE WHEN i < turn THEN 0.5::DOUBLE WHEN i > turn THEN 1.5 ELSE 1 END AS v FROM s3),
+sums AS (
+  SELECT doc_id, sum(v ORDER BY i) AS total, sum(CASE WHEN v > 0 THEN v + 1 ELSE 0 END ORDER BY i) AS up, sum(CASE WHEN v < 0 THEN 1 - v ELSE 0 END ORDER BY i) AS down,
+         count(*) FILTER (WHERE v = 0) AS flat
+  FROM weighed GROUP BY doc_id),
+stress AS (
+  SELECT l.doc_id, t, coalesce(total, 0) AS total, coalesce(up, 0) AS up, coalesce(down, 0) AS down, coalesce(flat, 0) AS flat,
+         least(len(t) - len(replace(t, '!', '')), 4) * 0.292::DOUBLE + CASE WHEN len(t) - len(replace(t, '?', '')) > 3 THEN 0.96 WHEN len(t) - len(replace(t, '?', '')) > 1 THEN (len(t) - len(replace(t, '?', ''))) * 0.18 ELSE 0 END AS e
+  FROM lists l LEFT JOIN sums s ON s.doc_id = l.doc_id),
+final AS (SELECT doc_id, t, flat, total + sign(total) * e AS total, up + CASE WHEN up > down THEN e ELSE 0 END AS up, down + CASE WHEN down > up THEN e ELSE 0 END AS down FROM stress)
+SELECT doc_id, CASE WHEN t <> '' THEN round(total / sqrt(total * total + 15), 8) END AS vader_compound, CASE WHEN t <> '' THEN round(coalesce(up / nullif(up + down + flat, 0), 0), 8) END AS vader_pos,
+       CASE WHEN t <> '' THEN round(coalesce(flat / nullif(up + down + flat, 0), 0), 8) END AS vader_neu, CASE WHEN t <> '' THEN round(coalesce(down / nullif(up + down + flat, 0), 0), 8) END AS vader_neg
+FROM final"""
+
+
+EMPHATIC = _emphatic()
+
+
 def _share(letter: str) -> str:
     n = "length(sentiment_text)"
     return f"exp(10.0 * ({n} - length(replace(sentiment_text, '{letter}', ''))) / {n})"
@@ -647,6 +691,18 @@ SELECT ticker, date, round(macd, 4) AS macd, round(signal, 4) AS macd_signal, ro
     "(PARTITION BY ticker, fresh_url, trim(title) ORDER BY doc_id) AS k FROM by_url) "
     "SELECT doc_id, ticker, title, url FROM by_title WHERE fresh_url OR (k = 1 AND trim(coalesce(title, '')) <> '')",
     "lexicon_sentiment": f"WITH {ARTICLES}, {LEXICON} SELECT doc_id, {_round('vader_compound vader_pos vader_neu vader_neg', places=8)} FROM words",
+    "emphatic_sentiment": EMPHATIC,
+    "chart_outcomes": f"WITH {BARS}, answers AS (SELECT DISTINCT ticker, year(date) AS y FROM bars), kinds AS "
+    "(SELECT (CAST(substr(ticker, 4) AS INTEGER) + y) % 7 AS k FROM answers) SELECT outcome, count(*) AS answers FROM (SELECT CASE k "
+    "WHEN 0 THEN 'broken' WHEN 1 THEN 'empty' WHEN 2 THEN 'no result: Not Found' WHEN 3 THEN 'no result' WHEN 4 THEN 'broken' ELSE 'read' END "
+    "AS outcome FROM kinds) GROUP BY outcome",
+    "refused_news": "SELECT doc_id, CASE WHEN doc_id % 7 = 1 THEN 'broken' WHEN doc_id % 7 = 2 THEN 'empty' ELSE 'no result: none' END AS outcome "
+    "FROM documents WHERE doc_id % 7 IN (1, 2) OR doc_id % 13 = 0",
+    "article_dates": "SELECT doc_id, CASE doc_id % 6 WHEN 5 THEN NULL WHEN 1 THEN d + 1 WHEN 4 THEN d + 1 ELSE d END AS day, doc_id % 6 = 5 AS unread "
+    "FROM (SELECT doc_id, DATE '1995-01-02' + CAST(doc_id % 2400 AS INTEGER) AS d FROM documents)",
+    "trading_days": f"WITH {BARS}, {NEWS}, a AS (SELECT doc_id, 'SRC' || (doc_id % 20 + 1) AS ticker, query_date FROM news) "
+    "SELECT doc_id, a.ticker, coalesce((SELECT min(date) FROM bars b WHERE b.ticker = a.ticker AND b.date >= a.query_date), query_date) AS date_key, "
+    "query_date AS article_day FROM a",
     "prob_sentiment": f"WITH {VECTORS} SELECT vec_id, round(p - n, 4) AS finbert_score, finbert_label FROM probs",
     "model_sentiment": f"WITH {ARTICLES}, {MODEL} SELECT doc_id, round(finbert_score, 4) AS finbert_score, finbert_label "
     "FROM articles LEFT JOIN model USING (doc_id)",

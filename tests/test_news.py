@@ -170,3 +170,13 @@ def test_strip_takes_all_white_space(spark):
 
     row = spark.createDataFrame([("\u00a0 a\u00a0b\t\u2003\n",)], "t string").select(text.strip(F.col("t")).alias("t")).first()
     assert row.t == "a\u00a0b"
+
+
+def test_articles_move_to_the_next_trading_day(spark):
+    day = lambda d: date(2024, 1, d)
+    prices = spark.createDataFrame([("A", day(d)) for d in (5, 8, 9)] + [("B", day(6))], "ticker string, date date")
+    rows = [("A", day(5), 1), ("A", day(6), 2), ("A", day(7), 3), ("A", day(7), 4), ("A", day(10), 5), ("B", day(1), 6), ("C", day(1), 7), ("A", None, 8)]
+    news = spark.createDataFrame(rows, "ticker string, date_key date, n int")
+    out = {r.n: (r.date_key, r.article_day) for r in gold.on_trading_days(news, prices).collect()}
+    assert {n: d.day if d else None for n, (d, _) in out.items()} == {1: 5, 2: 8, 3: 8, 4: 8, 5: 10, 6: 6, 7: 1, 8: None}
+    assert out[3][1] == day(7) and len(out) == len(rows)

@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from market_engine import paths
-from market_engine.operators import incremental, quality
+from market_engine.operators import clean, incremental, quality
+from market_engine.plans import jobs
 from market_engine.schemas import BARS_BRONZE, SILVER_NEWS, SILVER_PRICES
 from market_engine.sinks import tables
 from market_engine.sources import bronze, payloads
@@ -54,6 +55,87 @@ def test_news_payload(spark):
     assert [(r.id, r.title, r.topics) for r in out] == [(1, "t", ["x"]), (1, "s", None)]
 
 
+def test_answers_are_read_or_refused(spark):
+    whole = chart([1699833600], open=[1.0])
+    texts = [whole, whole[:-20], whole[: len(whole) // 2], None, "  ", "no json", '{"chart": {"result": []}}', '{"chart": null}', "[1]"]
+    texts += ['{"chart": {"result": null, "error": {"code": "Not Found", "description": "delisted"}}}', chart(["soon"], open=["high"])]
+    df = spark.createDataFrame(list(enumerate(texts)), "symbol int, payload string")
+    answers = payloads.chart_answers(df)
+    out = {r.symbol: r.outcome for r in answers.collect()}
+    assert len(out) == len(texts) and out[0] == payloads.READ
+    assert out[1] == out[2] == out[5] == payloads.BROKEN and out[3] == out[4] == payloads.EMPTY
+    assert out[6] == out[7] == payloads.NO_RESULT and out[9] == "no result: Not Found"
+    assert out[10] in (payloads.PARTLY, payloads.BROKEN) and out[8] in (payloads.NO_RESULT, payloads.BROKEN)
+    held = {r.symbol for r in payloads.bars_of(answers).collect()}
+    gone = {r.symbol for r in payloads.refused(answers).collect()}
+    assert held <= set(out) - gone and 0 in held
+    assert sum(r.answers for r in payloads.outcomes(answers).collect()) == len(texts)
+    shown = payloads.refused(answers).where("symbol = 2").first().excerpt
+    assert shown == whole[: len(whole) // 2][: payloads.EXCERPT]
+
+
+def test_answers_are_stored_with_the_refused_ones(spark, tmp_path):
+    bars, news, refused = (str(tmp_path / n) for n in ("bars", "news", "refused"))
+    asked = date(2024, 1, 2)
+    rows = [("A", asked, chart([1699833600, 1699920000], open=[1.0, 2.0])), ("B", asked, '{"chart": {"resu'), ("C", asked, None)]
+    rows.append(("A", date(2024, 1, 3), chart([1699920000], open=[3.0])))
+    df = spark.createDataFrame(rows, "symbol string, asked date, payload string")
+    for _ in range(2):
+        counts = {r.outcome: r.answers for r in jobs.store_chart_answers(df, bars, refused).collect()}
+    assert counts == {"read": 2, "broken": 1, "empty": 1}
+    assert sorted((r.symbol, r.open) for r in spark.read.parquet(bars).collect()) == [("A", 1.0), ("A", 3.0)]
+    held = sorted((r.symbol, r.outcome, r.excerpt) for r in spark.read.parquet(refused).collect())
+    assert held == [("B", "broken", '{"chart": {"resu'), ("C", "empty", None)]
+    body = json.dumps({"data": [{"title": "t", "url": "u", "date": "Fri, 25 Oct 2024 16:00:00 -0400"}]})
+    df = spark.createDataFrame([("A", "2024-01-02", body), ("A", "2024-01-03", body[:30])], "ticker string, query_date string, payload string")
+    counts = {r.outcome: r.answers for r in jobs.store_news_answers(df, news, refused + "-news").collect()}
+    assert counts == {"read": 1, "broken": 1}
+    assert [(r.title, r.date) for r in spark.read.parquet(news).collect()] == [("t", datetime(2024, 10, 25, 20))]
+
+
+def test_dates_in_words(spark):
+    texts = {
+        "2024-10-25": date(2024, 10, 25),
+        "2024-10-25 00:00:00": date(2024, 10, 25),
+        "2024-10-25T23:30:00-04:00": date(2024, 10, 26),
+        "Fri, 25 Oct 2024 16:00:00 -0400": date(2024, 10, 25),
+        "Fri, 25 Oct 2024 22:00:00 EDT": date(2024, 10, 26),
+        "Friday, 25 Oct 2024 22:00:00 gmt": date(2024, 10, 25),
+        "5 Jan 2024": date(2024, 1, 5),
+        "10/5/2024": date(2024, 10, 5),
+        "soon": None,
+        "": None,
+        "2024-13-45": None,
+    }
+    df = spark.createDataFrame([(t,) for t in [*texts, None]], "date string")
+    out = df.select("date", clean.as_date(df, "date").alias("day"), clean.unread_date(df, "date").alias("unread")).collect()
+    assert {r.date: r.day for r in out if r.date is not None} == texts
+    assert {r.date for r in out if r.unread} == {"soon", "2024-13-45"}
+    parsed = {r.date for r in clean.parse_date(df).collect()}
+    assert parsed == set(texts.values())
+
+
+def test_last_date_reads_one_month(spark, tmp_path):
+    rows = [("A", date(2024, m, d)) for m in (1, 2, 3) for d in (1, 9)] + [("A", None)]
+    bars = spark.createDataFrame(rows, "ticker string, date date")
+    path = str(tmp_path / "months")
+    spark.sql("DROP TABLE IF EXISTS months_t")
+    tables.create_table(spark, "months_t", bars.schema, path)
+    assert incremental.last_date(spark, "months_t") is None
+    tables.load_table(bars, "months_t", bars.schema, "date")
+    assert incremental.last_date(spark, "months_t") == date(2024, 3, 9)
+    newest = incremental.newest_month(spark.table("months_t"))
+    assert {r.date.month for r in newest.collect()} == {3}
+    assert incremental.pending_range(newest, "2024-03-20").first().start_date == date(2024, 3, 10)
+    for folder in ("month=2024-01", "month=2024-02"):
+        for file in (tmp_path / "months" / folder).glob("*.parquet"):
+            file.write_bytes(b"damaged")
+    # Only the last month is opened.
+    assert incremental.last_date(spark, "months_t") == date(2024, 3, 9)
+    spark.sql("DROP TABLE months_t")
+    assert incremental.newest_month(bars) is bars
+
+
 def test_price_files_by_name_and_damage(spark, tmp_path):
     root = tmp_path / "prices"
     for name, symbol in (("A/prices_A.parquet", "A"), ("B/prices_B.parquet", "B"), ("all_1year.parquet", "Z")):
