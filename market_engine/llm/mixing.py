@@ -14,6 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.joins import lookup_table
 from .common import WORD, chunk_count, chunk_of, running_total, store, text_of
 
 #: Weights of the sources in code point order, repeating.
@@ -118,7 +119,7 @@ def mix(docs: DataFrame, block: int = BLOCK) -> Mix:
 
     A document's size is its number of words, 0 for a NULL text; documents without words are never taken. A
     NULL source is a source of its own, last in order. The shuffled order goes by the MD5 of the doc_id (NULL
-    first), then doc_id, then size, so reruns agree; rows alike in these are interchangeable. An empty table
+    first), then doc_id, size and a hash of the text, so reruns agree; rows alike in these are interchangeable. An empty table
     gives empty results. Other columns play no part.
     """
     source = F.col("source").cast("string")
@@ -129,6 +130,7 @@ def mix(docs: DataFrame, block: int = BLOCK) -> Mix:
             source.alias("source"),
             F.coalesce(F.concat(F.lit("="), source), F.lit("")).alias("source_key"),
             word_count(text_of()).alias("size"),
+            F.xxhash64(text_of()).alias("digest"),
             F.conv(F.substring(F.md5(F.coalesce(number.cast("string"), F.lit("")).cast("binary")), 1, 8), 16, 10)
             .cast("long")
             .alias("_hash"),
@@ -139,7 +141,7 @@ def mix(docs: DataFrame, block: int = BLOCK) -> Mix:
     slots = store(schedule(by_source, block), "schedule")
 
     chunked = rows.withColumn("_chunk", chunk_of(F.col("_hash"), chunk_count(rows.count()), 32))
-    placed = running_total(chunked, ["source_key"], "_chunk", ["_hash", "doc_id", "size"], F.col("size"), "start")
+    placed = running_total(chunked, ["source_key"], "_chunk", ["_hash", "doc_id", "size", "digest"], F.col("size"), "start")
     counts = slots.groupBy("source_key").agg(F.count(F.lit(1)).alias("slots"))
     about = by_source.join(counts, "source_key", "left").select(
         "source_key", "source_size", "target", F.floor("target").alias("_words"), F.coalesce("slots", F.lit(1)).alias("_slots")
@@ -177,29 +179,58 @@ def taken(mixed: Mix) -> DataFrame:
     )
 
 
+def copies(mixed: Mix) -> DataFrame:
+    """How often each document goes into the mix whole: source_key, doc_id, size, digest, and `rows`, `copies` of the
+    rows alike in these, together.
+
+    A source takes at most one document in part, which counts to the nearest whole number of times. A source with
+    a target takes one document at least, its first. So a source misses its target by less than one document.
+    """
+    by_doc = mixed.pieces.groupBy("source_key", "start").agg(F.sum("words").alias("_taken"))
+    by_doc = by_doc.withColumnsRenamed({"source_key": "_source", "start": "_start"})
+    sizes = mixed.sizes.where("size > 0")
+    found = sizes.join(by_doc, (sizes["source_key"] == F.col("_source")) & (sizes["start"] == F.col("_start")), "left")
+    whole = F.round(F.coalesce("_taken", F.lit(0)) / F.col("size"))
+    # The first document of a source stands at 0, and the only one it may take is no more than that one.
+    least = ((F.col("start") == 0) & (F.col("target") >= 1)).cast("int")
+    found = found.withColumn("_copies", F.greatest(whole, least))
+    return found.groupBy("source_key", "doc_id", "size", "digest").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("_copies").cast("long").alias("copies")
+    )
+
+
 def mixed_documents(docs: DataFrame, block: int = BLOCK) -> DataFrame:
-    """The documents, each as often as the mix takes it, to the nearest whole number of times.
+    """The documents, each as often as the mix takes it whole (see `copies`), with all their columns.
 
-    In a source at most one document is taken in part. Documents that are not taken go, and with them those
-    without words.
+    Documents that the mix does not take go, and with them those without words. Rows alike in source, doc_id and text
+    share what is taken of them as evenly as whole numbers allow. NULLs are values of their own; an empty table gives
+    an empty one.
     """
-    found = taken(mix(docs, block)).where("taken > 0")
-    copies = found.select(
+    source = F.col("source").cast("string")
+    keyed = docs.withColumns(
+        {
+            "_llm_id": F.coalesce(F.col("doc_id").cast("long").cast("string"), F.lit("")),
+            "_llm_source": F.coalesce(F.concat(F.lit("="), source), F.lit("")),
+            "_llm_size": word_count(text_of()),
+            "_llm_digest": F.xxhash64(text_of()),
+        }
+    )
+    keys = ["_llm_source", "_llm_id", "_llm_size", "_llm_digest"]
+    found = copies(mix(docs, block)).where("copies > 0").select(
+        F.col("source_key").alias("_llm_source"),
         F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_llm_id"),
-        F.coalesce(F.concat(F.lit("="), "source"), F.lit("")).alias("_llm_source"),
         F.col("size").alias("_llm_size"),
-        F.round(F.col("taken") / F.col("size")).cast("int").alias("_llm_copies"),
-    )
-    keys = ["_llm_id", "_llm_source", "_llm_size"]
-    copies = copies.where("_llm_copies > 0").groupBy(*keys).agg(F.max("_llm_copies").alias("_llm_copies"))
-    keyed = docs.select(
-        "*",
-        F.coalesce(F.col("doc_id").cast("long").cast("string"), F.lit("")).alias("_llm_id"),
-        F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("")).alias("_llm_source"),
-        word_count(text_of()).alias("_llm_size"),
+        F.col("digest").alias("_llm_digest"),
+        F.floor(F.col("copies") / F.col("rows")).cast("int").alias("_llm_each"),
+        (F.col("copies") % F.col("rows")).alias("_llm_more"),
     )
-    repeated = keyed.join(copies, keys).withColumn("_llm_copy", F.explode(F.sequence(F.lit(1), "_llm_copies")))
-    return repeated.select(*docs.columns)
+    joined = keyed.join(lookup_table(found, [*keys, "_llm_each", "_llm_more"]), keys)
+    # Alike rows are taken equally often but for those at the end of what their source takes: one group a source.
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(F.xxhash64(*[F.col(c).cast("string") for c in docs.columns])))
+    uneven = joined.where("_llm_more > 0").withColumn("_llm_extra", (place <= F.col("_llm_more")).cast("int"))
+    even = joined.where("_llm_more = 0").withColumn("_llm_extra", F.lit(0))
+    times = even.unionByName(uneven).withColumn("_llm_times", F.col("_llm_each") + F.col("_llm_extra")).where("_llm_times > 0")
+    return times.withColumn("_llm_copy", F.explode(F.sequence(F.lit(1), "_llm_times"))).select(*docs.columns)
 
 
 def result(docs: DataFrame) -> DataFrame:

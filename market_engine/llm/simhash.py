@@ -178,20 +178,6 @@ def find_near_duplicates(docs: DataFrame, pair_limit: int = PAIR_LIMIT) -> DataF
     return rows.join(table, "fingerprint").select("doc_id", "fingerprint", "component_id")
 
 
-def keep_first(docs: DataFrame) -> DataFrame:
-    """One document of each component, that with the smallest doc_id, with all its columns.
-
-    Where several rows have that doc_id, the one with the smallest text stays.
-    """
-    found = find_near_duplicates(docs)
-    first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    key = F.coalesce(F.col("doc_id").cast("long").cast("string"), F.lit("")).alias("_llm_id")
-    keyed = docs.select("*", key)
-    kept = keyed.join(first.select(key), "_llm_id", "left_semi")
-    best = F.min_by(F.struct(*docs.columns), text_of()).alias("_llm_row")
-    return kept.groupBy("_llm_id").agg(best).select("_llm_row.*").select(*docs.columns)
-
-
 def result(docs: DataFrame) -> DataFrame:
     found = find_near_duplicates(docs)
     return found.select("doc_id", as_hex("fingerprint").alias("fingerprint"), "component_id")

@@ -16,7 +16,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import hash31, text_of
@@ -160,7 +160,9 @@ def fold(doc_id: Column) -> Column:
 def train(docs: DataFrame, labels: DataFrame, max_sample: int = MAX_SAMPLE) -> Model:
     """Fit on labelled documents outside fold 0; a document labelled twice is toxic if either label says so.
 
-    Beyond `max_sample` labels those with the smallest hash of the doc_id are used.
+    Beyond `max_sample` labels those with the smallest hash of the doc_id are used. Of several documents with one
+    doc_id the label stands for one only, that with the smallest hash of its text; so no more than `max_sample` rows
+    go to the driver.
     """
     usable = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
     usable = usable.where((fold(F.col("doc_id")) != 0) & F.col("toxic").isNotNull())
@@ -178,7 +180,9 @@ def train(docs: DataFrame, labels: DataFrame, max_sample: int = MAX_SAMPLE) -> M
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     texts = texts.where(F.length("text") <= MAX_SAMPLE_CHARS)
     # The sample is bounded by `max_sample` rows of two numbers.
-    joined = texts.join(F.broadcast(sample), "doc_id").orderBy("doc_id")
+    found = texts.join(F.broadcast(sample), "doc_id")
+    one = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text"))
+    joined = found.withColumn("_copy", one).where("_copy = 1").orderBy("doc_id")
     rows = joined.select("toxic", "text").mapInPandas(split, "toxic int, sizes array<int>, words array<int>").toArrow()
     return fit(_flat(rows))
 
@@ -233,7 +237,11 @@ def result(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def clean_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents with a score under 0.5, with all their columns."""
+    """The documents with a score under 0.5, with all their columns.
+
+    Every row is judged by its own text, NULL as empty, whatever its doc_id; an empty table gives an empty one, and
+    without toxic labels all stay.
+    """
     scored = with_score(docs, train(docs, labels), "_llm_score")
     return scored.where("_llm_score < 0.5").select(*docs.columns)
 

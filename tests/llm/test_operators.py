@@ -121,11 +121,6 @@ def test_links_among_many_close_fingerprints(spark, rng, limit):
     assert sorted(map(sorted, groups.values())) == sorted(sorted(g) for g in expected if len(g) > 1)
 
 
-def test_near_duplicates_keep_one_row(docs_of):
-    docs = docs_of([(7, "a b c d"), (3, "A b\nc d"), (3, "A b\nc  d"), (None, "else"), (9, "other words here")])
-    assert sorted(str(r.doc_id) for r in simhash.keep_first(docs).collect()) == ["3", "9", "None"]
-
-
 def test_exact_duplicates_keep_one_row(docs_of):
     docs = docs_of([(5, "a  b"), (2, "a\nb"), (2, "a\nb"), (None, "a b"), (None, "c"), (None, "c"), (8, None), (9, "")])
     assert sorted(str(r.doc_id) for r in exact_dedup.drop_duplicates(docs).collect()) == ["2", "8", "None"]
