@@ -1,8 +1,11 @@
 """Licences by sentence rules: known sentences become identifiers, sequences of identifiers licences.
 
-A text is cut into sentences, each reduced to lower-case letters and digits with single spaces. Known ones are
-replaced by their identifiers, the rest dropped. Ordered rules then look for sequences of identifiers, the
-longer ones first; what a rule has matched is no longer there for later rules. DataFrame functions only; no
+A text is cut at ends of sentences and of paragraphs, and reduced to lower-case letters and digits with single
+spaces. Ends of lines may be inside a sentence, as licences are wrapped, or end it, as titles do: so a known
+sentence is one that begins and ends at a cut or at an end of line and may have ends of lines between its words. Marks
+of comments and numbers of clauses before a line are left out. Known sentences are replaced by their
+identifiers, the longest from a place first, the rest dropped. Ordered rules then look for sequences of identifiers,
+the longer ones first; what a rule has matched is no longer there for later rules. DataFrame functions only; no
 row leaves its partition.
 """
 
@@ -13,8 +16,20 @@ from pyspark.sql import functions as F
 
 from .common import text_of
 
-#: Ends of sentences; the punctuation at the end of a text goes with the normalisation.
-BREAK = r"[.!?]+[\x20\x09-\x0D]+|\n"
+#: Replacements that bring a text in lower case to words and marks: `[ ... ]` around what cuts enclose, `{ ... }` around
+#: what ends of lines enclose. Brackets of the text itself are taken out before.
+MARKS = (
+    (r"[\[\]{}]", " "),
+    # Comment marks, then numbers and letters of clauses, at the start of a line.
+    (r"(?m)^[\x20\x09]*(?:[#;%*]+|//+|/[*]+|--+|<!--)+", " "),
+    (r"(?m)^[\x20\x09]*[(]?(?:[0-9]{1,2}|[a-z])[.)][\x20\x09]+", " "),
+    # Points that end no sentence.
+    (r"\b(v|inc|ltd|co|corp|e[.]g|i[.]e|vs)[.]([\x20\x09-\x0D])", r"\1 \2"),
+    (r"[.!?]+[\"')]*[\x20\x09-\x0D]+", " ] [ "),
+    (r"\r?\n[\x20\x09\x0B-\x0D]*\n[\x20\x09-\x0D]*", " ] [ "),
+    (r"\n", " } { "),
+    (r"[^a-z0-9\[\]{}]+", " "),
+)
 
 # The wording of licence texts, normalised.
 SENTENCES = {
@@ -66,21 +81,94 @@ SENTENCES = {
     "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer"
     " in the documentation and or other materials provided with the distribution": "bsd-binary",
     "this source code form is subject to the terms of the mozilla public license v 2 0": "mpl2-grant",
+    "this source code form is subject to the terms of the mozilla public license version 2 0": "mpl2-grant",
+    "if a copy of the mpl was not distributed with this file you can obtain one at http mozilla org mpl 2 0": "mpl2-copy",
+    "if a copy of the mpl was not distributed with this file you can obtain one at https mozilla org mpl 2 0": "mpl2-copy",
     "all rights reserved": "reserved",
+    "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the"
+    " license": "apache2-header",
+    "in no event shall the authors or copyright holders be liable for any claim damages or other liability whether in an action of"
+    " contract tort or otherwise arising from out of or in connection with the software or the use or other dealings in the"
+    " software": "mit-liability",
+    "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived"
+    " from this software without specific prior written permission": "bsd-names",
+    "this software is provided by the copyright holders and contributors as is and any express or implied warranties including but"
+    " not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed": "bsd-warranty",
+    "in no event shall the copyright holder or contributors be liable for any direct indirect incidental special exemplary or"
+    " consequential damages including but not limited to procurement of substitute goods or services loss of use data or profits or"
+    " business interruption however caused and on any theory of liability whether in contract strict liability or tort including"
+    " negligence or otherwise arising in any way out of the use of this software even if advised of the possibility of such"
+    " damage": "bsd-liability",
+    "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided"
+    " that the above copyright notice and this permission notice appear in all copies": "isc-grant",
+    "to the extent possible under law the author s have dedicated all copyright and related and neighboring rights to this software"
+    " to the public domain worldwide": "cc0-grant",
+    "this is free and unencumbered software released into the public domain": "unlicense-grant",
 }
 
+#: Licences of the GNU family: identifier, name, and the versions their notices name. Fixed values.
+GNU = (("gpl", "general", ("2", "3")), ("lgpl", "lesser general", ("2 1", "3")), ("agpl", "affero general", ("3",)))
+
+# Licences that SPDX lines name.
+SPDX = (
+    "0BSD AGPL-3.0-only AGPL-3.0-or-later Apache-2.0 BSD-2-Clause BSD-3-Clause BSL-1.0 CC-BY-4.0 CC-BY-NC-4.0 CC-BY-SA-4.0 CC0-1.0"
+    " EPL-2.0 GPL-2.0-only GPL-2.0-or-later GPL-3.0-only GPL-3.0-or-later ISC LGPL-2.1-only LGPL-2.1-or-later LGPL-3.0-only"
+    " LGPL-3.0-or-later MIT MPL-2.0 Unlicense Zlib"
+).split()
+
+
+def _family() -> dict[str, str]:
+    """The notices of the GNU licences, for programs and libraries, and SPDX lines."""
+    found = {}
+    for short, name, versions in GNU:
+        for kind in ("program", "library", "file"):
+            for version in versions:
+                grant = (
+                    f"this {kind} is free software you can redistribute it and or modify it under the terms of the gnu {name} public"
+                    f" license as published by the free software foundation either version {version} of the license or at your option any"
+                    " later version"
+                )
+                found[grant] = f"{short}{version.replace(' ', '.')}-grant"
+            found[
+                f"this {kind} is distributed in the hope that it will be useful but without any warranty without even the implied"
+                " warranty of merchantability or fitness for a particular purpose"
+            ] = "gnu-warranty"
+            found[f"you should have received a copy of the gnu {name} public license along with this {kind}"] = "gnu-copy"
+        found[f"see the gnu {name} public license for more details"] = "gnu-details"
+    for name in SPDX:
+        found["spdx license identifier " + " ".join(name.lower().replace("-", " ").replace(".", " ").split())] = f"spdx:{name}"
+    return found
+
+
+SENTENCES |= {s: name for s, name in _family().items() if s not in SENTENCES}
+
 #: (licence, identifiers in sequence), tried in this order. Fixed values.
 RULES = (
+    ("Apache-2.0", ("apache2-header", "apache2-copy", "no-warranty-law", "see-license")),
+    ("Apache-2.0", ("apache2-header", "copy-at", "no-warranty-law", "see-license")),
     ("Apache-2.0", ("apache2-grant", "comply", "apache2-copy", "no-warranty-law", "see-license")),
     ("Apache-2.0", ("apache2-grant", "comply", "copy-at", "no-warranty-law", "see-license")),
+    ("MIT", ("mit-title", "mit-grant", "mit-notice", "mit-warranty", "mit-liability")),
+    ("MIT", ("mit-grant", "mit-notice", "mit-warranty", "mit-liability")),
     ("MIT", ("mit-title", "mit-grant", "mit-notice", "mit-warranty")),
     ("MIT", ("mit-grant", "mit-notice", "mit-warranty")),
+    ("BSD-3-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-names", "bsd-warranty", "bsd-liability")),
+    ("BSD-3-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-names")),
+    ("BSD-2-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-warranty", "bsd-liability")),
     ("BSD-2-Clause", ("bsd-grant", "bsd-source", "bsd-binary")),
-    ("GPL-3.0-or-later", ("gpl3-grant", "gnu-warranty", "gnu-details")),
-    ("GPL-2.0-or-later", ("gpl2-grant", "gnu-warranty", "gnu-details")),
-    ("GPL-3.0-or-later", ("gpl3-grant",)),
-    ("GPL-2.0-or-later", ("gpl2-grant",)),
+    *[
+        (f"{short.upper()}-{version.replace(' ', '.')}{'.0' if ' ' not in version else ''}-or-later", (f"{short}{version.replace(' ', '.')}-grant", *rest))
+        for short, _, versions in GNU
+        for version in versions
+        for rest in (("gnu-warranty", "gnu-details", "gnu-copy"), ("gnu-warranty", "gnu-details"), ())
+    ],
+    ("MPL-2.0", ("mpl2-grant", "mpl2-copy")),
+    ("ISC", ("isc-grant",)),
+    ("CC0-1.0", ("cc0-grant",)),
+    ("Unlicense", ("unlicense-grant",)),
+    *[(name, (f"spdx:{name}",)) for name in SPDX],
     ("Apache-2.0", ("apache2-short",)),
+    ("Apache-2.0", ("apache2-header",)),
     ("Apache-2.0", ("apache2-grant",)),
     ("MIT", ("mit-short",)),
     ("MIT", ("mit-grant",)),
@@ -102,15 +190,23 @@ def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
+def _pattern() -> str:
+    """A known sentence between two marks, the longest first, with ends of lines between its words or not."""
+    ordered = sorted(SENTENCES, key=lambda sentence: (-len(sentence), sentence))
+    return r"[\[{] (?:" + "|".join(r" (?:} \{ )?".join(sentence.split()) for sentence in ordered) + r") [\]}]"
+
+
 def sentence_ids(text: Column) -> Column:
     """The identifiers of the known sentences of a text, in order."""
     pairs = [F.lit(x) for sentence, name in SENTENCES.items() for x in (sentence, name)]
     known = F.create_map(*pairs)
-    # The longest known sentence and its normalised form differ in white space and punctuation only.
-    named = F.transform(
-        F.split(text, BREAK), lambda s: F.element_at(known, F.trim(F.regexp_replace(F.lower(s), "[^a-z0-9]+", " ")))
-    )
-    return F.array_compact(named)
+    marked = F.lower(text)
+    for pattern, replacement in MARKS:
+        marked = F.regexp_replace(marked, pattern, replacement.replace("\\", "$"))
+    marked = F.regexp_replace(F.concat(F.lit("[ "), marked, F.lit(" ]")), " +", " ")
+    found = F.regexp_extract_all(marked, F.lit(_pattern()), F.lit(0))
+    words = F.transform(found, lambda s: F.regexp_replace(F.regexp_replace(s, r" } \{ ", " "), r"[\[{] | [\]}]", ""))
+    return F.transform(words, lambda s: F.element_at(known, s))
 
 
 def match_rules(ids: Column) -> Column:
@@ -175,12 +271,15 @@ def oracle() -> str:
             f" CASE WHEN contains(rest, {ids}) THEN list_append(found, {_quoted(name)}) ELSE found END AS found FROM {last})"
         )
         last = f"s{i}"
+    marked = "lower(coalesce(text, ''))"
+    for pattern, replacement in MARKS:
+        marked = f"regexp_replace({marked}, {_quoted(pattern)}, {_quoted(replacement)}, 'g')"
     return f"""
-WITH sentences AS (
-  SELECT doc_id, list_filter(list_transform(
-           string_split_regex(coalesce(text, ''), '{BREAK}'),
-           lambda s: MAP {{{pairs}}}[trim(regexp_replace(lower(s), '[^a-z0-9]+', ' ', 'g'))]), lambda x: x IS NOT NULL) AS ids
-  FROM documents),
+WITH marked AS (SELECT doc_id, regexp_replace('[ ' || {marked} || ' ]', ' +', ' ', 'g') AS t FROM documents),
+found AS (SELECT doc_id, regexp_extract_all(t, {_quoted(_pattern())}) AS l FROM marked),
+sentences AS (
+  SELECT doc_id, list_transform(l, lambda s: MAP {{{pairs}}}[regexp_replace(replace(s, ' }} {{ ', ' '), '[[{{] | []}}]', '', 'g')]) AS ids
+  FROM found),
 s0 AS (SELECT doc_id, ids, '|' || array_to_string(ids, '||') || '|' AS rest, CAST([] AS VARCHAR[]) AS found FROM sentences),
 {", ".join(steps)}
 SELECT doc_id, len(ids) AS n_sentences, array_to_string(ids, ',') AS sentence_ids,
