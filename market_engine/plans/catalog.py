@@ -25,6 +25,7 @@ from ..operators import (
 from ..session import shared_folder
 from ..sinks import tables
 from ..sources import bronze, payloads
+from . import jobs
 from . import news as news_plan
 from . import prices as price_plan
 from . import sample_tables as sample
@@ -187,6 +188,20 @@ def merged_fields(spark, folder):
     return rounded(tables.read_months(spark, path).select(*KEY, "close", "volume"))
 
 
+@query
+def bars_of_loads(spark, folder):
+    """A table of three loads, compacted after the second: bars of all days, some corrected, and the last month again."""
+    bars = sample.bars(spark, folder).select(F.col("ticker").alias("symbol"), "date", "close")
+    path = shared_folder(spark, "loads")
+    again = F.month("date") == 3
+    jobs.add_bars(bars.withColumn("close", F.when(again, -1.0).otherwise(F.col("close"))), path)
+    jobs.add_bars(bars.where(again), path)
+    jobs.compact_bars(spark, path)
+    last = bars.where(F.col("date") >= F.lit(REFRESH_FROM).cast("date"))
+    jobs.add_bars(last.withColumn("close", F.col("close") * 2), path)
+    return rounded(jobs.added_bars(spark, path).select("symbol", "date", "close"))
+
+
 @query
 def bars_dedup(spark, folder):
     return rounded(clean.one_bar_per_day(sample.dirty_bars(spark, folder), LINE_ORDER, "symbol"))

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import carry, clean, features, gold, qualify, quality, summaries
 from ..schemas import SILVER_NEWS, SILVER_PRICES
 from ..session import ensure_checkpoint_dir
-from ..sinks import tables
+from ..sinks import deltas, tables
 from ..sources import bronze
 from ..sources import payloads as payload
 from . import news as news_plan
@@ -34,6 +34,40 @@ def store_news(articles: DataFrame, path: str, order: Sequence = ()) -> None:
     tables.merge_months(tables.prepare_news(articles), path, keys, [F.col("_new").desc(), *order], date="query_date")
 
 
+BAR_KEYS = ("symbol", "date")
+
+
+def add_bars(bars: DataFrame, path: str, order: Sequence = ()) -> int:
+    """Like ``store_bars`` for the loads of single days: writes the new bars only; see ``deltas``."""
+    return deltas.add(bars, path, BAR_KEYS, order or ["close"], ticker="symbol")
+
+
+def added_bars(spark: SparkSession, path: str) -> DataFrame | None:
+    """The bars of such a table, one per symbol and day."""
+    return deltas.read(spark, path, BAR_KEYS)
+
+
+def compact_bars(spark: SparkSession, path: str) -> list[str]:
+    return deltas.compact(spark, path, BAR_KEYS, ticker="symbol")
+
+
+def article_keys() -> list:
+    return ["ticker", "query_date", *clean.article_identity()]
+
+
+def add_news(articles: DataFrame, path: str, order: Sequence = ()) -> int:
+    """Like ``store_news`` for the loads of single days."""
+    return deltas.add(tables.prepare_news(articles), path, article_keys(), order or ["title"], date="query_date")
+
+
+def added_news(spark: SparkSession, path: str) -> DataFrame | None:
+    return deltas.read(spark, path, article_keys())
+
+
+def compact_news(spark: SparkSession, path: str) -> list[str]:
+    return deltas.compact(spark, path, article_keys(), date="query_date")
+
+
 def store_chart_answers(payloads: DataFrame, path: str, refused_path: str, zone: str = "UTC") -> DataFrame:
     """Add the bars of chart answers (symbol, asked, payload) to Bronze and the refused answers to a table of their own.
 

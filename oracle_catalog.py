@@ -604,6 +604,7 @@ SELECT ticker, date, round(macd, 4) AS macd, round(signal, 4) AS macd_signal, ro
     "silver_prices": _silver_sql(BARS, 530),
     "refreshed_prices": _silver_sql(BARS, 530),
     "prices_from_states": _silver_sql(BARS, 530),
+    "bars_of_loads": f"WITH {BARS} SELECT ticker AS symbol, date, round(CASE WHEN date >= DATE '1998-06-01' THEN 2 * close ELSE close END, 4) AS close FROM bars",
     "merged_fields": f"WITH {BARS} SELECT ticker, date, round(close, 4) AS close, "
     "CASE WHEN date >= DATE '1998-06-15' THEN round(volume, 4) END AS volume FROM bars",
     "silver_prices_of_all": _silver_sql(BARS, 1),
