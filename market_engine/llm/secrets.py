@@ -2,13 +2,15 @@
 
 How hard a value is to guess is the cost, in powers of ten, of its cheapest segmentation (Wheeler 2016): known words
 by rank, dates and years, repeats, keyboard walks and runs, and single characters by brute force. Dynamic
-programming over the end positions finds it. Word ranks come from the counts of all documents, after a short list
-of common passwords.
+programming over the end positions finds it. Words are ranked by a public vocabulary, after a short list of
+common passwords, as someone who guesses would rank them. They do not come from the corpus: there a secret that
+stands in many copies would become a known word, and what else is in the corpus would decide about a text.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
 import math
 import re
 from bisect import bisect_left
@@ -19,16 +21,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import store, text_of
+from .common import text_of
 
 #: Log10 guesses from which a value counts as a secret, and the characters it must have.
 HARD = 9.0
 SHORTEST = 8
-#: The most frequent words of the corpus that count as known.
-WORDS = 20_000
-WORD_LENGTHS = (4, 20)
-#: Levels of frequency in a doubling.
-LEVELS = 16
+#: Letters of a word that counts as known.
+WORD_LENGTHS = (3, 20)
 #: Characters of one keyboard walk or run; longer ones take several, so that the time stays linear in the length.
 LONGEST_RUN = 64
 
@@ -92,7 +91,7 @@ def guess_cost(value: str, ranks: dict[str, int]) -> float:
     for i in range(n):
         here = best[i]
         reach(i + 1, here + _characters(value[i]))
-        for length in range(3, min(WORD_LENGTHS[1], n - i) + 1):
+        for length in range(WORD_LENGTHS[0], min(WORD_LENGTHS[1], n - i) + 1):
             word = lower[i : i + length]
             rank, extra = ranks.get(word), 0.0
             if rank is None:
@@ -115,6 +114,16 @@ def guess_cost(value: str, ranks: dict[str, int]) -> float:
     return best[n]
 
 
+def _credentials(text: str) -> Iterator[tuple[int, int]]:
+    """Where the values behind the names of credentials stand. A value that is itself such a name is none."""
+    m = CONTEXT.search(text)
+    while m:
+        inner = CONTEXT.match(text, m.start(1))
+        if not inner:
+            yield m.span(1)
+        m = inner or CONTEXT.search(text, m.end())
+
+
 def find(text: str, ranks: dict[str, int]) -> list[tuple[int, int, str, float | None]]:
     """(start, end, kind, log10 guesses of a credential's value) of all spans, by start and kind."""
     spans = []
@@ -125,41 +134,39 @@ def find(text: str, ranks: dict[str, int]) -> list[tuple[int, int, str, float |
     spans += [(m.start(), m.end(), 2, None) for m in HEX.finditer(text)]
     known = sorted((a, b) for a, b, _, _ in spans)
     starts, reach = [a for a, _ in known], [0, *accumulate((b for _, b in known), max)]
-    for m in CONTEXT.finditer(text):
-        start, end = m.span(1)
+    for start, end in _credentials(text):
         # Of the spans that start before the end, does one reach past the start?
         if end - start < SHORTEST or reach[bisect_left(starts, end)] > start:
             continue
-        cost = guess_cost(m.group(1), ranks)
+        cost = guess_cost(text[start:end], ranks)
         if cost >= HARD:
             spans.append((start, end, 3, cost))
     return [(a, b, KINDS[k], cost) for a, b, k, cost in sorted(spans, key=lambda s: (s[0], s[2]))]
 
 
-def word_ranks(docs: DataFrame, top: int = WORDS) -> dict[str, int]:
-    """Ranks of the most frequent words of all documents, the common passwords first. At most `top` reach the driver."""
-    low, high = WORD_LENGTHS
-    words = docs.select(F.explode(F.regexp_extract_all(F.lower(text_of()), F.lit("[a-z]+"), F.lit(0))).alias("word"))
-    words = words.where(F.length("word").between(low, high))
-    counted = store(words.groupBy("word").agg(F.count(F.lit(1)).alias("n")), "words")
-    # Words per level of frequency, a few hundred rows, tell which levels hold the top. Without that, each task
-    # would send as many words as the whole top has.
-    level = F.floor(F.log2(F.col("n").cast("double")) * LEVELS).cast("int")
-    lowest, reached = 0, 0
-    for at, held in sorted(tuple(r) for r in counted.groupBy(level.alias("level")).count().collect())[::-1]:
-        lowest, reached = at, reached + held
-        if reached >= top:
-            break
-    best = counted.where(level >= lowest).orderBy(F.desc("n"), "word").limit(top)
+def default_vocabulary() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def word_ranks(path: str | None = None) -> dict[str, int]:
+    """Ranks of the common passwords and then of the vocabulary's whole words, in the order in which it learned them.
+
+    The file is that of a tokenizer whose tokens mark ends of words. Its size bounds what tasks are sent.
+    """
+    with open(path or default_vocabulary(), encoding="utf-8") as file:
+        ids = json.load(file)["model"]["vocab"]
+    whole = re.compile(rf"([a-z]{{{WORD_LENGTHS[0]},{WORD_LENGTHS[1]}}})</w>")
     ranks: dict[str, int] = {}
-    for word in [*COMMON, *(r["word"] for r in best.collect())]:
+    for word in [*COMMON, *(m.group(1) for token in sorted(ids, key=ids.get) if (m := whole.fullmatch(token)))]:
         ranks.setdefault(word, len(ranks) + 1)
     return ranks
 
 
 def spans_of(docs: DataFrame, ranks: dict[str, int] | None = None) -> DataFrame:
     """doc_id, kind, start, end (code points), text, log10_guesses: a row per span. NULL texts have none."""
-    known = word_ranks(docs) if ranks is None else ranks
+    known = word_ranks() if ranks is None else ranks
 
     def located(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -178,9 +185,10 @@ def spans_of(docs: DataFrame, ranks: dict[str, int] | None = None) -> DataFrame:
 def result(docs: DataFrame, ranks: dict[str, int] | None = None) -> DataFrame:
     """A row per document: doc_id, n_assign, n_access, n_hex, n_guess, base_sha256, spans.
 
-    NULL and empty texts have no spans. Rows are judged on their own; repeated rows and other columns do not matter.
+    NULL and empty texts have no spans, and an empty table gives an empty result. Rows are judged on their own, so a
+    text has the same spans in any table; repeated rows and other columns do not matter.
     """
-    known = word_ranks(docs) if ranks is None else ranks
+    known = word_ranks() if ranks is None else ranks
 
     def joined(spans) -> str:
         return ",".join(f"{kind}:{a}:{b}" for a, b, kind, _ in spans)

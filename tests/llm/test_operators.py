@@ -266,16 +266,6 @@ def test_toxic_sentences_are_learned_from_documents(spark, docs_of, rng):
     assert toxicity.result(docs.limit(0), labels).count() == 0
 
 
-def test_word_ranks_are_the_most_frequent_words_whatever_the_limit(spark):
-    words = ["alpha"] * 9 + ["delta"] * 9 + ["gamma"] * 5 + ["omega"] * 4 + ["theta"] * 4 + ["kappa"] * 4 + ["sigma"]
-    docs = spark.createDataFrame([(i, w) for i, w in enumerate(words)] + [(99, None)], "doc_id long, text string").repartition(4)
-    ordered = sorted(set(words), key=lambda w: (-words.count(w), w))
-    for top in (1, 2, 3, 5, 7, 50):
-        ranks = secrets.word_ranks(docs, top)
-        assert sorted(set(ranks) - set(secrets.COMMON), key=ranks.get) == ordered[:top]
-    assert set(secrets.word_ranks(docs.limit(0))) == set(secrets.COMMON)
-
-
 def test_long_values_and_many_spans_take_linear_time():
     start = time.perf_counter()
     secrets.guess_cost("qw" * 50_000, {})
