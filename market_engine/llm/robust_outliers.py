@@ -1,9 +1,13 @@
 """Quality rules by robust multivariate outliers. DataFrame functions only.
 
 Each document becomes a vector of transformed statistics. For every (language, source) the location and scatter of
-the half of the documents that lie closest together are estimated (minimum covariance determinant): from
-medians and median deviations, then by concentration steps that take the moments of the closest half again.
-A document whose squared Mahalanobis distance is beyond the cutoff is rejected.
+the three quarters of the documents that lie closest together are estimated (minimum covariance determinant). As in
+Rousseeuw and Van Driessen (1999) several starts take a few concentration steps, each the moments of the documents
+closest to the estimate before; the start with the lowest determinant goes on until its determinant stands still. A
+document whose squared Mahalanobis distance is beyond the cutoff is rejected.
+
+Documents meet the estimates of their group in joins whose keys carry a salt, so that a hot group is dealt to many
+tasks, and leave them as counts per bin and as partial moments.
 """
 
 from __future__ import annotations
@@ -77,29 +81,36 @@ def _repeat_words(column: str) -> Column:
 
 # Robust estimates ---------------------------------------------------------------------------------------
 
-VECTOR = ("x1", "x2", "x3", "x4")
-#: A deviation in each statistic that is never taken for unusual by itself: added to the scatter.
-FLOORS = (0.1, 0.06, 0.5, 1.0)
+VECTOR = ("x1", "x2", "x3", "x4", "x5")
+#: A deviation in each statistic that is never taken for unusual by itself: added to the scatter. One repeated line or
+#: a few repeated words are usual in any source; an eighth of all words, or a repeated line in fifteen words, is not.
+FLOORS = (0.1, 0.06, 0.5, 0.45, 0.35)
 #: Share of a group's documents that the estimate rests on.
 CORE = 0.75
-STEPS = 3
+#: Starts, steps that each of them takes, and steps that the best one takes at most.
+STARTS, FIRST_STEPS, MAX_STEPS = 4, 2, 15
+#: Change of the determinant's logarithm that ends the steps; the core is counted in bins, which leaves as much open.
+STANDS_STILL = 0.01
 #: Documents a group needs for an estimate of its own.
 MIN_GROUP = 40
-#: Squared distance beyond which a document is rejected: chi-square with 4 degrees at 1 - 5e-6.
-CUTOFF = 30.0
-#: Fixed values for 4 dimensions: the median of chi-square, and what makes the scatter of the inner 75 % unbiased.
-CHI_MEDIAN = 3.357
-CORE_FACTOR = 1.485
+#: Squared distance beyond which a document is rejected: chi-square with 5 degrees at 1 - 5e-6.
+CUTOFF = 32.4
+#: Fixed values for 5 dimensions: the median of chi-square, and what makes the scatter of the inner 75 % unbiased.
+CHI_MEDIAN = 4.351
+CORE_FACTOR = 1.412
+#: Parts a group is dealt in.
+SALTS = 32
 
 
 def _transformed() -> list[Column]:
-    """Length, word length, symbols and repeated words per word, on logarithmic scales."""
+    """Length, word length, symbols, repeated words and repeated lines per word, on logarithmic scales."""
     n = F.greatest(F.col("n_words"), F.lit(1)).cast("double")
     return [
         F.log1p(F.col("n_words").cast("double")).alias("x1"),
         F.log(F.col("word_chars").cast("double") / n + 0.01).alias("x2"),
         F.log(F.col("n_symbols") / n + 0.01).alias("x3"),
         F.log(F.col("n_repeat_words") / n + 0.01).alias("x4"),
+        F.log(F.col("n_dup_lines") / n + 0.01).alias("x5"),
     ]
 
 
@@ -135,16 +146,24 @@ def _factor(covariance: dict[tuple[int, int], Column]) -> dict[str, Column]:
     return low
 
 
+def _looked_up(rows: DataFrame, table: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Rows, which have a `_salt`, with the one row of the table for their keys."""
+    salted = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.join(salted, [*keys, "_salt"], how)
+
+
 def _with_factor(moments: DataFrame, covariance: dict[tuple[int, int], Column]) -> DataFrame:
     for name, column in _factor(covariance).items():
         moments = moments.withColumn(name, column)
     d = len(VECTOR)
-    return moments.select("group", *[f"m{i}" for i in range(d)], *[f"l{i}{j}" for j in range(d) for i in range(j, d)])
+    size = sum(F.log(F.col(f"l{i}{i}")) for i in range(d))
+    factor = [f"l{i}{j}" for j in range(d) for i in range(j, d)]
+    return moments.select("group", *[f"m{i}" for i in range(d)], *factor, (2 * size).alias("log_det"))
 
 
 def _distance(vectors: DataFrame, estimates: DataFrame) -> DataFrame:
     """The vectors with `distance`, the squared Mahalanobis distance to their group's estimate (NULL without one)."""
-    joined = vectors.join(estimates, "group", "left")
+    joined = _looked_up(vectors, estimates, ["group"], "left")
     for i, x in enumerate(VECTOR):
         rest = F.col(x) - F.col(f"m{i}")
         for k in range(i):
@@ -154,31 +173,77 @@ def _distance(vectors: DataFrame, estimates: DataFrame) -> DataFrame:
 
 
 def _distance_bin() -> Column:
-    return F.floor(F.log2(F.col("distance") + 0.001) * 32)
+    return F.floor(F.log2(F.col("distance") + 0.001) * 256)
 
 
-def estimate(vectors: DataFrame) -> DataFrame:
-    """Location m and the Cholesky factor l of the scatter of each group, from stored (group, x1, ...)."""
+def _moments(rows: DataFrame) -> DataFrame:
+    """Means m and covariances c of each group."""
+    d = len(VECTOR)
+    means = [F.avg(x).alias(f"m{i}") for i, x in enumerate(VECTOR)]
+    products = [F.covar_pop(VECTOR[i], VECTOR[j]).alias(f"c{i}{j}") for j in range(d) for i in range(j, d)]
+    return rows.groupBy("group").agg(*means, *products)
+
+
+def _estimate_of(moments: DataFrame, factor: float) -> DataFrame:
+    d = len(VECTOR)
+    covariance = {
+        (i, j): F.col(f"c{i}{j}") * factor + (FLOORS[i] ** 2 if i == j else 0.0) for j in range(d) for i in range(j, d)
+    }
+    return _with_factor(moments, covariance)
+
+
+def _from_medians(vectors: DataFrame) -> DataFrame:
+    """Medians, and median deviations without correlations."""
     d = len(VECTOR)
     middle = store(_medians(vectors), "medians")
-    apart = vectors.join(middle.select("group", *[F.col(x).alias(f"_{x}") for x in VECTOR]), "group")
+    apart = _looked_up(vectors, middle.select("group", *[F.col(x).alias(f"_{x}") for x in VECTOR]), ["group"])
     spread = _medians(apart.select("group", *[F.abs(F.col(x) - F.col(f"_{x}")).alias(x) for x in VECTOR]))
     first = middle.select("group", *[F.col(x).alias(f"m{i}") for i, x in enumerate(VECTOR)]).join(spread, "group")
     covariance = {
         (i, j): F.pow(1.4826 * F.col(VECTOR[i]), 2) + FLOORS[i] ** 2 if i == j else F.lit(0.0) for j in range(d) for i in range(j, d)
     }
-    estimates = store(_with_factor(first, covariance), "estimates")
-    for _ in range(STEPS):
-        placed = _distance(vectors, estimates).withColumn("bin", _distance_bin())
-        limits = store(_quantile(placed.select("group", "bin"), ["group"], CORE), "limits")
-        core = placed.join(limits.withColumnRenamed("bin", "_limit"), "group").where(F.col("bin") <= F.col("_limit"))
-        means = [F.avg(x).alias(f"m{i}") for i, x in enumerate(VECTOR)]
-        products = [F.covar_pop(VECTOR[i], VECTOR[j]).alias(f"c{i}{j}") for j in range(d) for i in range(j, d)]
-        moments = core.groupBy("group").agg(*means, *products)
-        covariance = {
-            (i, j): F.col(f"c{i}{j}") * CORE_FACTOR + (FLOORS[i] ** 2 if i == j else 0.0) for j in range(d) for i in range(j, d)
-        }
-        estimates = store(_with_factor(moments, covariance), "estimates")
+    return _with_factor(first, covariance)
+
+
+def step(vectors: DataFrame, estimates: DataFrame) -> DataFrame:
+    """A concentration step: the moments of each group's documents closest to its estimate."""
+    placed = _distance(vectors, estimates).withColumn("bin", _distance_bin())
+    limits = _quantile(placed.select("group", "bin"), ["group"], CORE).withColumnRenamed("bin", "_limit")
+    core = _looked_up(placed.select("group", "_salt", *VECTOR, "bin"), store(limits, "limits"), ["group"])
+    return store(_estimate_of(_moments(core.where(F.col("bin") <= F.col("_limit"))), CORE_FACTOR), "estimates")
+
+
+def estimate(vectors: DataFrame) -> DataFrame:
+    """Location m, the Cholesky factor l of the scatter and its `log_det` for each group, from stored (group, _salt,
+    _part, x1, ...).
+
+    The starts are the medians, the plain moments, and the moments of two eighths of a group's documents.
+    """
+    begin = [
+        _from_medians(vectors),
+        _estimate_of(_moments(vectors), 1.0),
+        *[_estimate_of(_moments(vectors.where(F.col("_part") == k)), 1.0) for k in range(STARTS - 2)],
+    ]
+    start = lambda k: F.concat(F.col("group"), F.lit(f"\n{k}")).alias("group")
+    rest = [c for c in vectors.columns if c != "group"]
+    several = vectors.select(F.explode(F.array(*[start(k) for k in range(STARTS)])).alias("group"), *rest)
+    estimates = begin[0].withColumn("group", start(0))
+    for k, one in enumerate(begin[1:], 1):
+        estimates = estimates.unionByName(one.withColumn("group", start(k)))
+    estimates = store(estimates, "starts")
+    for _ in range(FIRST_STEPS):
+        estimates = step(several, estimates)
+    columns = [c for c in estimates.columns if c != "group"]
+    named = estimates.withColumn("group", F.regexp_replace("group", r"\n\d$", ""))
+    chosen = named.groupBy("group").agg(F.min_by(F.struct(*columns), F.struct("log_det", "m0")).alias("_best"))
+    estimates = store(chosen.select("group", "_best.*"), "chosen")
+    for _ in range(MAX_STEPS):
+        before = estimates.select("group", F.col("log_det").alias("_before"))
+        after = step(vectors, estimates)
+        moved = after.join(before, "group").agg(F.max(F.abs(F.col("log_det") - F.col("_before")))).first()[0]
+        estimates = after
+        if moved is None or moved < STANDS_STILL:
+            break
     return estimates
 
 
@@ -213,19 +278,23 @@ def judge(docs: DataFrame) -> DataFrame:
     )
     groups = store(counts.withColumn("group", group).select("_lang", "_source", "group", "_n"), "groups")
     table = lookup_table(groups, ["_lang", "_source"], F.max("group").alias("group"))
-    vectors = store(rows.join(table, ["_lang", "_source"], "left"), "vectors")
+    # Which documents are together in a part, and in an eighth, follows from what they are.
+    mixed = F.xxhash64("doc_id", *VECTOR)
+    salted = rows.withColumns({"_salt": F.pmod(mixed, F.lit(SALTS)).cast("int"), "_part": F.pmod(F.shiftright(mixed, 20), F.lit(8))})
+    vectors = store(_looked_up(salted, table, ["_lang", "_source"], "left"), "vectors")
 
     enough = groups.groupBy("group").agg(F.sum("_n").alias("_n")).where(F.col("_n") >= MIN_GROUP).select("group")
-    fitted = vectors.where("NOT base_failed").join(enough, "group", "left_semi").select("group", *VECTOR)
+    judged = vectors.where("NOT base_failed")
+    fitted = _looked_up(judged, enough, ["group"]).select("group", "_salt", "_part", *VECTOR)
     estimates = estimate(store(fitted, "fitted"))
     placed = _distance(vectors, estimates)
     inside = placed.where("NOT base_failed AND distance IS NOT NULL").select("group", _distance_bin().alias("bin"))
     middle = _quantile(inside, ["group"], 0.5)
-    wider = F.greatest(F.lit(1.0), F.pow(F.lit(2.0), (F.col("bin") + 1) / 32) / CHI_MEDIAN)
+    wider = F.greatest(F.lit(1.0), F.pow(F.lit(2.0), (F.col("bin") + 1) / 256) / CHI_MEDIAN)
     limits = store(middle.select("group", (F.lit(CUTOFF) * wider).alias("_limit")), "cutoffs")
     distance = F.when(~F.col("base_failed"), F.col("distance"))
     kept = ~F.col("base_failed") & F.coalesce(F.col("distance") <= F.col("_limit"), F.lit(True))
-    return placed.join(limits, "group", "left").select(
+    return _looked_up(placed, limits, ["group"], "left").select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         distance.alias("distance"), kept.alias("kept"),
     )

@@ -5,6 +5,7 @@ import re
 import time
 from collections import Counter
 
+import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -198,6 +199,63 @@ def test_outliers_go_and_clean_documents_stay(docs_of, rng):
     assert [i for i, r in out.items() if not r.kept and not r.base_failed] and all(out[i].kept == (i % 20 != 0) for i in out)
 
 
+def numpy_mcd(x, share=0.75):
+    """The lowest determinant over many starts, by steps to convergence with the closest documents counted exactly."""
+    floors = np.diag(np.array(robust_outliers.FLOORS) ** 2)
+    h, best = int(np.ceil(share * len(x))), None
+    rng = np.random.default_rng(0)
+    starts = [(np.median(x, axis=0), np.diag((1.4826 * np.median(np.abs(x - np.median(x, axis=0)), axis=0)) ** 2) + floors)]
+    starts += [(c.mean(axis=0), np.cov(c.T, bias=True) + floors) for c in [x] + [x[rng.choice(len(x), 20)] for _ in range(20)]]
+    for mean, cov in starts:
+        for _ in range(60):
+            d = np.einsum("ij,jk,ik->i", x - mean, np.linalg.inv(cov), x - mean)
+            core = x[np.argsort(d, kind="stable")[:h]]
+            mean, cov = core.mean(axis=0), np.cov(core.T, bias=True) * robust_outliers.CORE_FACTOR + floors
+        det = np.linalg.slogdet(cov)[1]
+        if best is None or det < best[0]:
+            best = (det, mean)
+    return best
+
+
+def test_estimates_are_those_of_the_lowest_determinant(spark):
+    rng = np.random.default_rng(3)
+    groups = {}
+    for k in range(6):
+        mix = rng.normal(size=(5, 5))
+        x = rng.normal(size=(400, 5)) @ mix + rng.normal(size=5) * 3
+        x[: 20 * k] = rng.normal(size=5) * 12 + rng.normal(size=(20 * k, 5))  # up to a quarter lies elsewhere
+        groups[f"g{k}"] = x
+    rows = [(g, i % 32, i % 8, *map(float, v)) for g, x in groups.items() for i, v in enumerate(x)]
+    vectors = spark.createDataFrame(rows, "`group` string, _salt int, _part int, x1 double, x2 double, x3 double, x4 double, x5 double")
+    found = {r.group: r for r in robust_outliers.estimate(vectors).collect()}
+    assert len(found) == len(groups)
+    for g, x in groups.items():
+        det, mean = numpy_mcd(x)
+        assert found[g].log_det == pytest.approx(det, abs=0.15)
+        assert [found[g][f"m{i}"] for i in range(5)] == pytest.approx(list(mean), abs=0.3)
+
+
+def test_repetition_alone_rejects(docs_of, rng):
+    def words(n):
+        return ["".join(rng.choices("abcdefgh", k=rng.randint(2, 9))) for _ in range(n)]
+
+    def lines(found):
+        return "\n".join(" ".join(found[i : i + 10]) for i in range(0, len(found), 10))
+
+    rows = [(i, lines(words(rng.randint(150, 400)))) for i in range(600)]
+    for i in range(1000, 1020):  # a seventh of the words is repeated, less than the base rule forbids
+        found = words(250)
+        rows.append((i, lines(found + found[:20])))
+    for i in range(2000, 2020):  # a short line again and again
+        found = words(250)
+        rows.append((i, "\n".join([lines(found)] + ["x"] * 30)))
+    rows += [(3000 + i, lines(words(250)) + "\nx\nx") for i in range(20)]  # one line twice is usual
+    out = {r.doc_id: r for r in robust_outliers.judge(docs_of(rows)).collect()}
+    assert not any(out[i].base_failed for i in out)
+    assert not any(out[i].kept for i in range(1000, 1020)) and not any(out[i].kept for i in range(2000, 2020))
+    assert sum(out[i].kept for i in range(600)) >= 597 and sum(out[i].kept for i in range(3000, 3020)) >= 19
+
+
 def test_secret_spans():
     key = "AKIA" + "Z9" * 8
     text = f"é password: 'abcdefghijklmnop' {key} secret=short TOKEN = \"{'0f' * 10}\" pwd=\"xK9!vQ2#zR\" pass=password1 AKIAX"
