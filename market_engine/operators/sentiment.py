@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,9 +19,9 @@ LEXICON_COLUMNS = ("vader_compound", "vader_pos", "vader_neu", "vader_neg")
 def lexicon_scores(articles: DataFrame, lexicon: DataFrame, keys: Sequence[str], column: str = "sentiment_text") -> DataFrame:
     """Scores per ``keys``, which must identify an article; ``lexicon`` holds (word, valence).
 
-    Tokens are folded into one row per article before anything is shuffled. The lexicon join carries no
-    hint: Spark broadcasts the table if it is small and otherwise shuffles both sides by word, splitting
-    the partitions of frequent words. NULL or empty text gives NULL scores.
+    The lexicon join carries no hint. If Spark broadcasts the table, tokens are folded into one row per article
+    before anything is shuffled; otherwise both sides are shuffled by word, a row per token, and the partitions of
+    frequent words are split. ``emphasis`` looks up each word of an article once. NULL or empty text gives NULL scores.
     """
     # An empty array still has to yield a row, hence the outer explode.
     tokens = F.regexp_extract_all(F.lower(F.col(column)), F.lit(TOKEN), F.lit(0))
@@ -74,8 +75,9 @@ def model_scores(
             filled = texts.notna() & (texts != "")
             logits = pd.Series([None] * len(texts), index=texts.index, dtype=object)
             if filled.any():
-                rows = model(texts[filled])
-                logits[filled] = pd.Series([[float(x) for x in row] for row in rows], index=texts.index[filled])
+                # One array of a row per text; its rows go on without a Python number in between.
+                rows = np.asarray(model(texts[filled]), dtype="float64").reshape(int(filled.sum()), -1)
+                logits[filled] = pd.Series(list(rows), index=texts.index[filled])
             yield logits
 
     scorer = F.pandas_udf(predict, "array<double>")
