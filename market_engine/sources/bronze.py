@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +22,8 @@ TICKER_HEADINGS = {
     "Abbreviated Secondary Company Name": "abbrev2",
 }
 PRICE_FILES = "prices_*.parquet"
+#: The longest file that a probe opens.
+PROBED_BYTES = 256 << 20
 NANOS_AS_LONG = "spark.sql.legacy.parquet.nanosAsLong"
 
 
@@ -94,6 +99,52 @@ def files_without_rows(rows: DataFrame, root: str, pattern: str = "*.parquet") -
     return files.select(F.col("_metadata.file_path").alias("path"), "length").join(used, "path", "left_anti")
 
 
+def probe_files(spark: SparkSession, root: str, pattern: str = "*.parquet", max_bytes: int = PROBED_BYTES) -> DataFrame:
+    """path, length, rows, lost_rows and error of each file below ``root``; whole files have no error.
+
+    Every file is opened in a task and its row groups are read one by one, so damage inside a file is found too. Of a
+    file whose footer cannot be read the rows are unknown (NULL). Files beyond ``max_bytes``, which would fill a
+    task's memory, are not opened; they are listed with that as their error.
+    """
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(root)
+    files = listing.select(F.col("_metadata.file_path").alias("path"), "length", "content")
+
+    # Functions made here travel to the tasks whole, which then need not have this package.
+    def said(error: Exception) -> str:
+        return f"{type(error).__name__}: {error}"[:300]
+
+    def probe(content: pa.Scalar) -> tuple[int | None, int | None, str | None]:
+        try:
+            file = pq.ParquetFile(pa.BufferReader(content.as_buffer()))
+        except Exception as error:  # whatever the reader cannot take is what is asked for
+            return None, None, said(error)
+        lost, first = 0, None
+        for group in range(file.num_row_groups):
+            try:
+                file.read_row_group(group)
+            except Exception as error:
+                lost += file.metadata.row_group(group).num_rows
+                first = first or said(error)
+        return file.metadata.num_rows, lost, first
+
+    def probed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [probe(content) for content in batch.column("content")]
+            columns = [pa.array([f[i] for f in found], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.string()))]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("path"), batch.column("length"), *columns], names=["path", "length", "rows", "lost_rows", "error"]
+            )
+
+    opened = files.where(F.col("length") <= max_bytes).mapInArrow(
+        probed, "path string, length long, rows long, lost_rows long, error string"
+    )
+    unknown = F.lit(None).cast("long")
+    left = files.where(F.col("length") > max_bytes).select(
+        "path", "length", unknown.alias("rows"), unknown.alias("lost_rows"), F.lit(f"longer than {max_bytes} bytes").alias("error")
+    )
+    return opened.unionByName(left)
+
+
 def read_tickers(spark: SparkSession, path: str) -> DataFrame:
     """The ticker list; blank abbreviations are NULL."""
     raw = spark.read.option("header", True).csv(path)

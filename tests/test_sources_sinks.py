@@ -157,6 +157,25 @@ def test_price_files_by_name_and_damage(spark, tmp_path):
         bronze.read_price_files(spark, str(empty), BARS_BRONZE, skip_unreadable=True)
 
 
+def test_probed_files_tell_what_is_lost(spark, tmp_path):
+    frame = pd.DataFrame({"symbol": ["A"] * 3000, "close": [i * 0.37 % 7 for i in range(3000)]})
+    for name in ("whole", "inside", "footer", "long"):
+        frame.to_parquet(tmp_path / f"{name}.parquet", row_group_size=1000, index=False)
+    (tmp_path / "text.parquet").write_text("no table")
+    data = bytearray((tmp_path / "inside.parquet").read_bytes())
+    data[200:400] = b"\xff" * 200
+    (tmp_path / "inside.parquet").write_bytes(data)
+    (tmp_path / "footer.parquet").write_bytes((tmp_path / "footer.parquet").read_bytes()[:-20])
+    pd.concat([frame] * 20).to_parquet(tmp_path / "long.parquet", index=False, compression=None)
+    limit = (tmp_path / "whole.parquet").stat().st_size * 4
+    out = {r.path.rsplit("/", 1)[1]: r for r in bronze.probe_files(spark, str(tmp_path), max_bytes=limit).collect()}
+    assert (out["whole.parquet"].rows, out["whole.parquet"].lost_rows, out["whole.parquet"].error) == (3000, 0, None)
+    assert (out["inside.parquet"].rows, out["inside.parquet"].lost_rows) == (3000, 1000) and out["inside.parquet"].error
+    for name in ("footer.parquet", "text.parquet"):
+        assert out[name].rows is None and out[name].error
+    assert "longer" in out["long.parquet"].error and len(out) == 5
+
+
 def test_whole_numbers_are_no_nanoseconds(spark, tmp_path):
     spark.conf.set(bronze.NANOS_AS_LONG, "false")
     pd.DataFrame({"ticker": ["A"], "date": [20240102]}).to_parquet(tmp_path / "a.parquet")
