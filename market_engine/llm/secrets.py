@@ -44,11 +44,13 @@ KINDS = ("assign", "access", "hex", "guess")
 
 # Common passwords, and the rows of a keyboard.
 COMMON = (
-    "password 123456 12345678 qwerty abc123 letmein monkey dragon iloveyou trustno1 sunshine master welcome shadow ashley"
-    " football jesus michael ninja mustang admin administrator root user guest test demo default changeme secret login"
-    " princess flower hello freedom whatever starwars passw0rd pass token access manager oracle mysql postgres public"
-    " private temp temporary example sample server system summer winter spring autumn"
-).split()
+    "password", "123456", "12345678", "qwerty", "abc123", "letmein", "monkey", "dragon", "iloveyou", "trustno1",
+    "sunshine", "master", "welcome", "shadow", "ashley", "football", "jesus", "michael", "ninja", "mustang",
+    "admin", "administrator", "root", "user", "guest", "test", "demo", "default", "changeme", "secret", "login",
+    "princess", "flower", "hello", "freedom", "whatever", "starwars", "passw0rd", "pass", "token", "access",
+    "manager", "oracle", "mysql", "postgres", "public", "private", "temp", "temporary", "example", "sample",
+    "server", "system", "summer", "winter", "spring", "autumn",
+)
 KEYBOARD = ("`1234567890-=", "qwertyuiop[]", "asdfghjkl;'", "zxcvbnm,./")
 LOOKALIKES = str.maketrans("4@310$57!", "aaeiossti")
 
