@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 PRICES = ("open", "high", "low", "close")
 
-# Rule label and the columns it compares; both sides of each pair are (upper, lower).
+# Rule label and the columns it compares; both sides of each pair are (upper, lower).
 ORDER_RULES = {
     "high < low": ("high", "low"),
     "high < open": ("high", "open"),

@@ -83,18 +83,17 @@ NEWS_PAYLOAD = _struct(
 
 # The Silver tables as their consumers expect them.
 FLAGS = ("is_doji", "is_hammer", "is_bullish_engulfing", "is_bearish_engulfing")
-PRICE_COLUMNS = """
-    open high low close volume prev_close price_change price_change_pct
-    sma_5 sma_10 sma_20 sma_50 ema_5 ema_10 ema_20 ema_50
-    daily_range daily_range_pct volatility_5d volatility_10d volatility_20d
-    volume_sma_5 volume_sma_10 volume_sma_20 volume_ratio vwap_cumulative vwap_20d rsi_14
-    momentum_5d momentum_5d_pct momentum_20d momentum_20d_pct
-    bb_middle bb_upper bb_lower bb_width bb_percent_b macd macd_signal macd_histogram
-    log_return cumulative_return sharpe_ratio_20d sharpe_ratio_60d drawdown drawdown_pct
-    is_doji is_hammer is_bullish_engulfing is_bearish_engulfing price_position
-    support_20d resistance_20d distance_to_support_20d distance_to_resistance_20d
-    support_50d resistance_50d distance_to_support_50d distance_to_resistance_50d
-""".split()
+PRICE_COLUMNS = (
+    "open", "high", "low", "close", "volume", "prev_close", "price_change", "price_change_pct", "sma_5", "sma_10",
+    "sma_20", "sma_50", "ema_5", "ema_10", "ema_20", "ema_50", "daily_range", "daily_range_pct", "volatility_5d",
+    "volatility_10d", "volatility_20d", "volume_sma_5", "volume_sma_10", "volume_sma_20", "volume_ratio",
+    "vwap_cumulative", "vwap_20d", "rsi_14", "momentum_5d", "momentum_5d_pct", "momentum_20d", "momentum_20d_pct",
+    "bb_middle", "bb_upper", "bb_lower", "bb_width", "bb_percent_b", "macd", "macd_signal", "macd_histogram",
+    "log_return", "cumulative_return", "sharpe_ratio_20d", "sharpe_ratio_60d", "drawdown", "drawdown_pct",
+    "is_doji", "is_hammer", "is_bullish_engulfing", "is_bearish_engulfing", "price_position", "support_20d",
+    "resistance_20d", "distance_to_support_20d", "distance_to_resistance_20d", "support_50d", "resistance_50d",
+    "distance_to_support_50d", "distance_to_resistance_50d",
+)
 SILVER_PRICES = _struct(
     {
         "ticker": STRING,

@@ -228,6 +228,7 @@ def _average_sql(columns: str) -> str:
     return f"WITH RECURSIVE {BARS}, {FEATURES}, {RECURSION} SELECT ticker, date, {_round(columns)} FROM averaged"
 
 
+# The columns of the Silver price table, as SQL lists them.
 PRICE_NUMBERS = """
     open high low close volume prev_close price_change price_change_pct sma_5 sma_10 sma_20 sma_50
     daily_range daily_range_pct volatility_5d volatility_10d volatility_20d
