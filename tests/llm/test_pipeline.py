@@ -4,6 +4,7 @@ import math
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -122,6 +123,31 @@ def test_very_long_and_very_many(docs_of, rng):
     assert sorted(r[0] for r in rows_of(near_copies.keep_one(docs_of(rows)))) == [1, 3, 10]
 
 
+@pytest.mark.parametrize("n", [10, 64, 65, 700])
+def test_pivots_find_close_fingerprints(n):
+    """Clusters, scattered prints and repeated ids; every member of a cluster is linked to the rest of it."""
+    numbers = np.random.default_rng(n)
+    prints = numbers.integers(0, 256, (n, 64), dtype=np.uint8)
+    cluster = numbers.permutation(n)[: n // 2]
+    flips = np.packbits(numbers.random((len(cluster), 512)) < 0.05, axis=1)
+    prints[cluster] = prints[cluster[0]] ^ flips
+    ids = numbers.permutation(10 * n)[:n].astype(np.int64)
+    found = near_copies.close_pairs(ids, prints.view(np.uint64))
+    parent = {int(i): int(i) for i in ids}
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for a, b in found:
+        assert a < b
+        parent[root(a)] = root(b)
+    inside = {int(ids[c]) for c in cluster}
+    assert all({a, b} <= inside for a, b in found) and len({root(i) for i in inside}) == 1
+    assert len(found) <= n * n / 2 if n <= 64 else len(found) < 40 * n
+
+
 def words_by_source(rows):
     out = Counter()
     for r in rows:
