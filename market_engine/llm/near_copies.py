@@ -9,14 +9,18 @@ in 10 %; the README has the recall measured.
 A listing of few texts gives its pairs. In a larger one, as variants of a text or a passage that many texts share make
 it, all are compared with a number of them (pivots), the square root of their own number. Texts close to a pivot are linked to
 it; the others are compared among those with the same nearest pivot, and among those with the same second nearest
-one, again with pivots where they are many. So the work in a listing of n texts grows with the power 1.5 of n and
-not with its pairs, and every text is compared again under its other choices.
+one, again with pivots where they are many. So this work in a listing of n texts grows with the power 1.5 of n and
+not with its pairs.
+
+The closest pairs are compared by shingles first and make groups. Then comes the rest, with nothing left out: all close
+pairs whose texts are not in one group yet. In a large listing these are the pairs of the texts outside its largest
+group with all others, compared bit by bit in tiles. A pair within a group can link nothing new.
 """
 
 from __future__ import annotations
 
 import random
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 from itertools import accumulate
 from operator import add
@@ -40,6 +44,8 @@ DISTANCE = 128
 PAIR_LIMIT = 16
 #: Texts that one task compares together, about; a larger listing is dealt by a further block, and so is held in no task.
 TOGETHER = 1 << 16
+#: Texts on either side of a tile.
+TILE = 2048
 
 _rng = random.Random(1)
 #: The blocks of each choice, fixed by the seed.
@@ -63,6 +69,11 @@ def shingles(text: str, size: int = SHINGLE) -> set[bytes]:
     return {joined[a : b - 1] for a, b in zip(starts, ends[size - 1 :])}
 
 
+def similar_sizes(left: Column, right: Column, similarity: float) -> Column:
+    """Whether sets of so many shingles can be that similar: the smaller one may be all they share."""
+    return F.least(left, right) / F.greatest(left, right) >= similarity
+
+
 def fingerprint(found: set[bytes]) -> np.ndarray:
     """The blocks, each a byte. A shingle's hash is mixed (splitmix64) into the 64 bits of each part."""
     digest = xxhash.xxh3_64_intdigest
@@ -78,17 +89,18 @@ def fingerprint(found: set[bytes]) -> np.ndarray:
 
 
 def _prints(docs: DataFrame) -> DataFrame:
-    """id (a hash of the text) and the fingerprint in eight numbers, a row per text; those without words have none."""
+    """id (a hash of the text), the fingerprint in eight numbers and how many shingles, a row per text with words."""
+    columns = [*_PARTS, "shingles"]
 
-    @F.pandas_udf(", ".join(f"{p} bigint" for p in _PARTS))
+    @F.pandas_udf(", ".join(f"{c} bigint" for c in columns))
     def printed(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
             found = map(shingles, texts)
-            rows = [fingerprint(f).view("<i8").tolist() if f else [None] * len(_PARTS) for f in found]
-            yield pd.DataFrame(rows, columns=list(_PARTS), dtype="Int64")
+            rows = [[*fingerprint(f).view("<i8").tolist(), len(f)] if f else [None] * len(columns) for f in found]
+            yield pd.DataFrame(rows, columns=columns, dtype="Int64")
 
     found = docs.select(F.xxhash64(text_of()).alias("id"), printed(text_of()).alias("_p")).select("id", "_p.*")
-    return found.where(f"{_PARTS[0]} IS NOT NULL").groupBy("id").agg(*[F.min(p).alias(p) for p in _PARTS])
+    return found.where(f"{_PARTS[0]} IS NOT NULL").groupBy("id").agg(*[F.min(c).alias(c) for c in columns])
 
 
 def _listings() -> Column:
@@ -113,15 +125,20 @@ def _differing(left: str, right: str) -> Column:
 # Candidates ---------------------------------------------------------------------------------------------
 
 
+def differing_bits(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """The number of differing bits of each row on the left with each on the right."""
+    bits = np.zeros((len(left), len(right)), np.int32)
+    for part in range(left.shape[1]):
+        bits += np.bitwise_count(left[:, None, part] ^ right[None, :, part])
+    return bits
+
+
 def close_pairs(ids: np.ndarray, prints: np.ndarray) -> set[tuple[int, int]]:
     """Pairs (a, b), a < b, of texts with few differing bits, by pivots; `prints` has a row of numbers per text."""
     found: set[tuple[int, int]] = set()
 
     def differing(rows: np.ndarray, others: np.ndarray) -> np.ndarray:
-        bits = np.zeros((len(rows), len(others)), np.int32)
-        for part in range(prints.shape[1]):
-            bits += np.bitwise_count(prints[rows, None, part] ^ prints[None, others, part])
-        return bits
+        return differing_bits(prints[rows], prints[others])
 
     def link(rows: np.ndarray, others: np.ndarray) -> None:
         for a, b in zip(ids[rows].tolist(), ids[others].tolist()):
@@ -164,18 +181,24 @@ def _of_crowded(many: DataFrame) -> DataFrame:
     # A listing beyond what a task holds is dealt by one of the other blocks.
     block = F.shiftrightunsigned(_PARTS[-1], 56)
     dealt = many.withColumn("part", F.when(F.col("members") > TOGETHER, block).otherwise(F.lit(-1).cast("long")))
-    keys = ["listing", "part"]
-    sorted_rows = dealt.repartition(*keys).sortWithinPartitions(*keys).select(*keys, "id", *_PARTS)
+    rows = dealt.select("listing", "part", "id", *_PARTS)
+
+    def pairs(rows: pd.DataFrame) -> set[tuple[int, int]]:
+        return close_pairs(rows["id"].to_numpy(), rows[list(_PARTS)].to_numpy().view(np.uint64))
+
+    return _pairs_by(rows, ["listing", "part"], pairs)
+
+
+def _pairs_by(rows: DataFrame, keys: list[str], pairs: Callable[[pd.DataFrame], set[tuple[int, int]]]) -> DataFrame:
+    """The pairs (a, b) that a function finds among the rows of each key."""
+    sorted_rows = rows.repartition(*keys).sortWithinPartitions(*keys)
 
     def compared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def pairs(rows: pd.DataFrame) -> pd.DataFrame:
+        def found(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
             key = rows[keys].to_numpy()
-            ids, prints = rows["id"].to_numpy(), rows[list(_PARTS)].to_numpy().view(np.uint64)
-            found: set[tuple[int, int]] = set()
             ends = np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1
             for a, b in zip([0, *ends], [*ends, len(rows)]):
-                found |= close_pairs(ids[a:b], prints[a:b])
-            return pd.DataFrame(sorted(found), columns=["a", "b"], dtype="int64")
+                yield pd.DataFrame(sorted(pairs(rows[a:b])), columns=["a", "b"], dtype="int64")
 
         held: pd.DataFrame | None = None
         for batch in batches:
@@ -183,30 +206,47 @@ def _of_crowded(many: DataFrame) -> DataFrame:
             last = (rows[keys] == rows[keys].iloc[-1]).all(axis=1)
             held = rows[last].reset_index(drop=True)
             if not last.all():
-                yield pairs(rows[~last])
+                yield from found(rows[~last])
         if held is not None:
-            yield pairs(held)
+            yield from found(held)
 
     return sorted_rows.mapInPandas(compared, "a long, b long")
 
 
-def candidates(prints: DataFrame, pair_limit: int = PAIR_LIMIT) -> DataFrame:
-    """Pairs (a, b), a < b, of texts that share a listing and differ in few bits, with `bits`.
+def shared_listings(prints: DataFrame) -> DataFrame:
+    """(id, listing, members) of the listings of several texts.
 
     Counting in a window takes one shuffle of the listings. None of them can be hot beside the others: a text has one
     row in a listing, of `CHOICES` in all.
     """
     listed = prints.select("id", F.explode(_listings()).alias("listing"))
     members = F.count(F.lit(1)).over(Window.partitionBy("listing"))
-    crowd = store(listed.withColumn("members", members).where("members > 1"), "shared-listings")
+    return store(listed.withColumn("members", members).where("members > 1"), "shared-listings")
+
+
+def candidates(
+    prints: DataFrame, crowd: DataFrame, pair_limit: int = PAIR_LIMIT, similarity: float = SIMILARITY
+) -> DataFrame:
+    """Pairs (a, b), a < b, of texts that share a listing and differ in few bits, with `bits`.
+
+    All pairs of listings up to `pair_limit`, those that pivots find in larger ones. Pairs whose numbers of shingles
+    are too far apart for the similarity are none.
+    """
     few = crowd.where(F.col("members") <= pair_limit)
     left, right = (few.select("listing", F.col("id").alias(n)) for n in ("a", "b"))
     of_few = left.join(right, "listing").where("a < b").select("a", "b")
     many = crowd.where(F.col("members") > pair_limit).join(prints, "id")
     pairs = store(of_few.unionByName(_of_crowded(many)).distinct(), "pairs")
-    sides = [prints.select(F.col("id").alias(n), *[F.col(p).alias(f"{n}_{p}") for p in _PARTS]) for n in ("a", "b")]
-    both = pairs.join(sides[0], "a").join(sides[1], "b")
-    return both.withColumn("bits", _differing("a_", "b_")).where(F.col("bits") <= DISTANCE).select("a", "b", "bits")
+    return _with_bits(pairs, prints, similarity)
+
+
+def _with_bits(pairs: DataFrame, prints: DataFrame, similarity: float) -> DataFrame:
+    """The pairs that differ in few bits and are of similar size, with `bits`."""
+    columns = [*_PARTS, "shingles"]
+    sides = [prints.select(F.col("id").alias(n), *[F.col(c).alias(f"{n}_{c}") for c in columns]) for n in ("a", "b")]
+    both = pairs.join(sides[0], "a").join(sides[1], "b").withColumn("bits", _differing("a_", "b_"))
+    sizes = similar_sizes(F.col("a_shingles"), F.col("b_shingles"), similarity)
+    return both.where((F.col("bits") <= DISTANCE) & sizes).select("a", "b", "bits")
 
 
 def _nearest(pairs: DataFrame) -> DataFrame:
@@ -217,6 +257,74 @@ def _nearest(pairs: DataFrame) -> DataFrame:
     return best.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
+def _grouped(rows: DataFrame, found: DataFrame, key: str, group: str) -> DataFrame:
+    """The rows with the group of the text in the column `key`; a text without one is a group of its own."""
+    names = found.select(F.col("node").alias(key), F.col("label").alias(group))
+    return rows.join(names, key, "left").withColumn(group, F.coalesce(group, key))
+
+
+def _rest(
+    prints: DataFrame,
+    crowd: DataFrame,
+    close: DataFrame,
+    nearest: DataFrame,
+    found: DataFrame,
+    pair_limit: int = PAIR_LIMIT,
+    similarity: float = SIMILARITY,
+) -> DataFrame:
+    """All close pairs (a, b) not compared yet whose texts are not in one group; `found` names the groups."""
+    left_over = close.select("a", "b").unionByName(
+        _across(prints, crowd.where(F.col("members") > pair_limit), found, similarity)
+    )
+    new = left_over.distinct().join(nearest, ["a", "b"], "left_anti")
+    return _grouped(_grouped(new, found, "a", "_of_a"), found, "b", "_of_b").where("_of_a <> _of_b").select("a", "b")
+
+
+def _across(prints: DataFrame, many: DataFrame, found: DataFrame, similarity: float) -> DataFrame:
+    """Close pairs in each large listing of a text outside the listing's largest group with one of another group.
+
+    The outsiders are dealt into columns and all texts into rows of tiles, so a task holds the texts of one tile only,
+    and a listing whose texts are all in one group takes no further part.
+    """
+    grouped = _grouped(many, found, "id", "_group")
+    counts = grouped.groupBy("listing", "_group").agg(F.count(F.lit(1)).alias("_n"))
+    largest = counts.groupBy("listing").agg(
+        F.max_by("_group", F.struct("_n", "_group")).alias("_largest"), (F.sum("_n") - F.max("_n")).alias("_outside")
+    )
+    open_listings = largest.where(F.col("_outside") > 0)
+    rows = store(grouped.join(open_listings, "listing").join(prints, "id"), "open-listings")
+    number = F.shiftrightunsigned(F.xxhash64("id"), 1)
+    across = F.ceil(F.col("_outside") / TILE)
+    down = F.ceil(F.col("members") / TILE)
+    outside = F.col("_group") != F.col("_largest")
+    columns = ["listing", "id", "_group", "shingles", *_PARTS]
+    first = F.lit(0).cast("long")
+    each_row, each_column = F.explode(F.sequence(first, down - 1)), F.explode(F.sequence(first, across - 1))
+    left = rows.where(outside).select(
+        F.pmod(number, across).alias("column"), each_row.alias("row"), F.lit(True).alias("left"), *columns
+    )
+    right = rows.select(each_column.alias("column"), F.pmod(number, down).alias("row"), F.lit(False).alias("left"), *columns)
+
+    def pairs(rows: pd.DataFrame) -> set[tuple[int, int]]:
+        sides = [rows[rows["left"]], rows[~rows["left"]]]
+        prints = [side[list(_PARTS)].to_numpy().view(np.uint64) for side in sides]
+        ids, groups, sizes = ([side[name].to_numpy() for side in sides] for name in ("id", "_group", "shingles"))
+        found: set[tuple[int, int]] = set()
+        for at in range(0, len(ids[0]), 256):  # bounded memory
+            here = slice(at, at + 256)
+            near = differing_bits(prints[0][here], prints[1]) <= DISTANCE
+            near &= groups[0][here, None] != groups[1][None, :]
+            a, b = np.nonzero(near)
+            a += at
+            small, large = np.minimum(sizes[0][a], sizes[1][b]), np.maximum(sizes[0][a], sizes[1][b])
+            kept = small / large >= similarity
+            x, y = ids[0][a[kept]], ids[1][b[kept]]
+            found.update(zip(np.minimum(x, y).tolist(), np.maximum(x, y).tolist()))
+        return found
+
+    return _pairs_by(left.unionByName(right), ["listing", "column", "row"], pairs)
+
+
 def links(docs: DataFrame, pairs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """The pairs whose shingles are that similar (Jaccard), from the whole texts."""
 
@@ -244,8 +352,16 @@ def links(docs: DataFrame, pairs: DataFrame, similarity: float = SIMILARITY) ->
 def groups(docs: DataFrame, pair_limit: int = PAIR_LIMIT) -> DataFrame:
     """id (a hash of the text) and group, for texts that have a near copy with another text."""
     prints = store(_prints(docs), "wide-fingerprints")
-    pairs = store(_nearest(candidates(prints, pair_limit)), "nearest")
-    return store(components(links(docs, pairs)), "groups").select(F.col("node").alias("id"), F.col("label").alias("group"))
+    crowd = shared_listings(prints)
+    close = store(candidates(prints, crowd, pair_limit), "close-pairs")
+    nearest = store(_nearest(close), "nearest")
+    found = store(components(links(docs, nearest)), "groups")
+    rest = store(_rest(prints, crowd, close, nearest, found, pair_limit), "rest")
+    more = store(links(docs, rest), "more-links")
+    if not more.isEmpty():
+        edges = found.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(more)
+        found = store(components(edges), "groups")
+    return found.select(F.col("node").alias("id"), F.col("label").alias("group"))
 
 
 def keep_one(docs: DataFrame, pair_limit: int = PAIR_LIMIT) -> DataFrame:

@@ -108,6 +108,15 @@ def test_near_copies_leave_one_of_each_group(docs_of, corpus, limit):
     assert out.columns == extra.columns and ids(rows_of(out)) == ids(kept)
 
 
+def test_all_links_are_found_whatever_is_compared_first(docs_of, corpus, monkeypatch):
+    """With no pairs from pivots and few from the first comparison, the pairs of the rest make the same groups."""
+    rows, _ = corpus
+    monkeypatch.setattr(near_copies, "_nearest", lambda pairs: pairs.where("a % 5 = 0").select("a", "b"))
+    monkeypatch.setattr(near_copies, "close_pairs", lambda ids, prints: set())
+    monkeypatch.setattr(near_copies, "TILE", 16, raising=False)
+    same_survivors(rows_of(near_copies.keep_one(docs_of(rows), 2)), one_of_each_group(rows))
+
+
 def test_unrelated_documents_without_ids_all_stay(docs_of, rng):
     rows = [(i, " ".join(prose(rng, 30))) for i in [None] * 5 + [3, 3, 4]]
     assert ids(rows_of(near_copies.keep_one(docs_of(rows)))) == ids(rows)
