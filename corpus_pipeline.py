@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from market_engine.llm import exact_dedup, mixing, near_copies, packing, toxicity  # noqa: E402
-from market_engine.llm.common import read, store  # noqa: E402
+from market_engine.llm.common import read, small_batches, store  # noqa: E402
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,6 +56,8 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = store(stage(spark, docs, sf_dir), f"stage-{name}")
+    # The workers of one stage live on into the next, beside a heap that has grown.
+    with small_batches(spark):
+        for name, stage in STAGES:
+            docs = store(stage(spark, docs, sf_dir), f"stage-{name}")
     return docs

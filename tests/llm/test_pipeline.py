@@ -117,6 +117,20 @@ def test_all_links_are_found_whatever_is_compared_first(docs_of, corpus, monkeyp
     same_survivors(rows_of(near_copies.keep_one(docs_of(rows), 2)), one_of_each_group(rows))
 
 
+def test_the_pipeline_hands_python_small_batches(spark, docs_of, monkeypatch):
+    name, seen = "spark.sql.execution.arrow.maxRecordsPerBatch", []
+    before = spark.conf.get(name)
+
+    def stage(session, docs, folder):
+        seen.append(int(session.conf.get(name)))
+        return docs
+
+    monkeypatch.setattr(corpus_pipeline, "read", lambda *_: docs_of([(1, "a text")]))
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("one", stage)])
+    assert corpus_pipeline.run(spark, "").count() == 1
+    assert seen == [1000] and spark.conf.get(name) == before
+
+
 def test_unrelated_documents_without_ids_all_stay(docs_of, rng):
     rows = [(i, " ".join(prose(rng, 30))) for i in [None] * 5 + [3, 3, 4]]
     assert ids(rows_of(near_copies.keep_one(docs_of(rows)))) == ids(rows)
