@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import chunk_count, chunk_of, hash31, running_total, store, text_of
-from .tokens import Encoder
+from .tokens import shared_encoder
 
 CAPACITY = 1024
 END_ID = 2
@@ -54,7 +54,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encoder = Encoder(tokenizer)
+        encoder = shared_encoder(tokenizer)
         for batch in batches:
             out = []
             for doc_id, text in zip(batch["doc_id"], batch["text"]):

@@ -1,9 +1,10 @@
-"""Token ids of texts, with the pieces between the pattern's cuts encoded once per task and remembered."""
+"""Token ids of texts, by a library that cuts and merges plain texts fast, if the vocabulary allows it."""
 
 from __future__ import annotations
 
 import json
 import re
+from functools import lru_cache
 
 import numpy as np
 import tiktoken
@@ -21,7 +22,16 @@ _CUTS = re.compile(
     f"| ?[{_LETTERS}]+| ?[{_NUMBERS}]+| ?[^{_SPACES}{_LETTERS}{_NUMBERS}]+"
     f"|[{_SPACES}]+(?![^{_SPACES}])|[{_SPACES}]+"
 )
-#: Remembered pieces; the memory starts anew beyond.
+# A run of white space leaves its last character to what follows. Texts are split there, so that the pattern below needs
+# no look ahead, which makes it slow.
+_RUN = re.compile(f"[{_SPACES}][{_SPACES}]")
+_LAST_OF_RUN = re.compile(f"(?<=[{_SPACES}])(?=[{_SPACES}][^{_SPACES}])")
+_SPLIT_CUTS = (
+    "'(?:s|t|re|ve|m|ll|d)"
+    f"| ?(?:[{_LETTERS}]+|[{_NUMBERS}]+|[^{_SPACES}{_LETTERS}{_NUMBERS}]+)"
+    f"|[{_SPACES}]+"
+)
+#: Remembered pieces, where the vocabulary has merges in another order; the memory starts anew beyond.
 REMEMBERED = 400_000
 
 
@@ -33,7 +43,7 @@ def _as_bytes() -> dict[str, int]:
 
 
 def _piece_encoder(path: str) -> tiktoken.Encoding | None:
-    """The same merges in a library that takes short pieces faster, if they are in the order of their ids."""
+    """The same merges in a library that takes plain texts faster, if they are in the order of their ids."""
     with open(path, encoding="utf-8") as file:
         model = json.load(file)["model"]
     vocabulary, codes = model["vocab"], _as_bytes()
@@ -44,7 +54,7 @@ def _piece_encoder(path: str) -> tiktoken.Encoding | None:
         return None
     made = {a + b for a, b in pairs} | set(codes)
     ranks = {bytes(codes[c] for c in token): vocabulary[token] for token in made}
-    return tiktoken.Encoding("pieces", pat_str="[^\n]+|\n", mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("pieces", pat_str=_SPLIT_CUTS, mergeable_ranks=ranks, special_tokens={})
 
 
 class Encoder:
@@ -58,7 +68,6 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [str(t) for t in (x.content for x in self.tokenizer.get_added_tokens_decoder().values())]
         self.pieces = _piece_encoder(path)
-        self.line_end = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.memory: dict[str, bytes] = {}
 
     def _whole(self, text: str) -> bytes:
@@ -68,6 +77,9 @@ class Encoder:
     def ids(self, text: str) -> bytes:
         if _PLAIN.search(text) or any(s in text for s in self.special):
             return self._whole(text)
+        if self.pieces:
+            parts = _LAST_OF_RUN.split(text) if _RUN.search(text) else [text]
+            return b"".join(np.array(self.pieces.encode_ordinary(part), dtype="<u4").tobytes() for part in parts)
         pieces, memory = _CUTS.findall(text), self.memory
         try:
             return b"".join(map(memory.__getitem__, pieces))
@@ -79,14 +91,12 @@ class Encoder:
         return b"".join(map(memory.__getitem__, pieces))
 
     def _learn(self, unknown: set[str]) -> None:
-        """Encode pieces; those without a line end in one text, a line each."""
-        lines = [p for p in unknown if "\n" not in p] if self.pieces and len(self.line_end) == 1 else []
-        if lines:
-            ids = self.pieces.encode_to_numpy("\n".join(lines) + "\n", disallowed_special=()).astype("<u4")
-            ends = np.flatnonzero(ids == self.line_end[0])
-            starts = [0, *(ends[:-1] + 1).tolist()]
-            for piece, a, b in zip(lines, starts, ends.tolist(), strict=True):
-                self.memory[piece] = ids[a:b].tobytes()
-        rest = [p for p in unknown if p not in self.memory]
+        rest = list(unknown)
         for piece, found in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
             self.memory[piece] = np.array(found.ids, dtype="<u4").tobytes()
+
+
+@lru_cache(maxsize=1)
+def shared_encoder(path: str) -> Encoder:
+    """The encoder of a vocabulary, made once in a Python worker and not for each of its tasks."""
+    return Encoder(path)

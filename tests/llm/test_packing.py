@@ -11,7 +11,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from market_engine.llm import packing
-from market_engine.llm.tokens import Encoder
+from market_engine.llm.tokens import Encoder, shared_encoder
 
 PATH = packing.default_tokenizer()
 
@@ -49,6 +49,22 @@ def test_memory_starts_anew(monkeypatch):
         assert encoder.ids(text) == np.array(encoder.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
 
+@pytest.mark.parametrize(
+    "text", ["a  b", "a \n\n b \t\n", "\n\n\n", "  a's  'tis ", "a\u00a0\u00a0b", "it'll  \r\n9  --", "", " ", "x\n y\x85  z" * 50]
+)
+@pytest.mark.parametrize("fast", [True, False])
+def test_runs_of_white_space(text, fast):
+    encoder = Encoder(PATH)
+    encoder.pieces = encoder.pieces if fast else None
+    assert encoder.ids(text) == np.array(encoder.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
+def test_plain_texts_leave_no_memory_and_workers_share_an_encoder():
+    encoder = shared_encoder(PATH)
+    encoder.ids("these words are not remembered")
+    assert not encoder.memory and shared_encoder(PATH) is encoder
+
+
 @pytest.mark.parametrize("tokens, expected", [(1, [(0, 1)]), (8, [(0, 8)]), (9, [(0, 1), (1, 8)]), (16, [(0, 8), (8, 8)])])
 def test_cuts(tokens, expected):
     assert packing.cuts(tokens, 8) == expected
