@@ -20,7 +20,7 @@ group with all others, compared bit by bit in tiles. A pair within a group can l
 from __future__ import annotations
 
 import random
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 from itertools import accumulate
 from operator import add
@@ -176,21 +176,44 @@ def close_pairs(ids: np.ndarray, prints: np.ndarray) -> set[tuple[int, int]]:
     return found
 
 
-def _of_crowded(many: DataFrame) -> DataFrame:
-    """Close pairs (a, b) within each listing, from rows (listing, id, members, the fingerprint)."""
+def _nearest_of_crowded(many: DataFrame, similarity: float) -> DataFrame:
+    """Close pairs (a, b, bits) within each listing, from rows (listing, id, members, shingles, the fingerprint).
+
+    Of those that pivots find the closest pair of each text with an earlier and with a later one, so that a listing
+    gives no more than twice its rows.
+    """
     # A listing beyond what a task holds is dealt by one of the other blocks.
     block = F.shiftrightunsigned(_PARTS[-1], 56)
     dealt = many.withColumn("part", F.when(F.col("members") > TOGETHER, block).otherwise(F.lit(-1).cast("long")))
-    rows = dealt.select("listing", "part", "id", *_PARTS)
+    rows = dealt.select("listing", "part", "id", "shingles", *_PARTS)
 
-    def pairs(rows: pd.DataFrame) -> set[tuple[int, int]]:
-        return close_pairs(rows["id"].to_numpy(), rows[list(_PARTS)].to_numpy().view(np.uint64))
+    def pairs(rows: pd.DataFrame) -> set[tuple[int, ...]]:
+        ids, prints = rows["id"].to_numpy(), rows[list(_PARTS)].to_numpy().view(np.uint64)
+        return nearest_pairs(ids, prints, rows["shingles"].to_numpy(), similarity)
 
-    return _pairs_by(rows, ["listing", "part"], pairs)
+    return _pairs_by(rows, ["listing", "part"], pairs, ["a", "b", "bits"])
 
 
-def _pairs_by(rows: DataFrame, keys: list[str], pairs: Callable[[pd.DataFrame], set[tuple[int, int]]]) -> DataFrame:
-    """The pairs (a, b) that a function finds among the rows of each key."""
+def nearest_pairs(ids: np.ndarray, prints: np.ndarray, sizes: np.ndarray, similarity: float) -> set[tuple[int, ...]]:
+    """(a, b, bits) of `close_pairs` of similar size: the closest of each text with a later and with an earlier one."""
+    found = np.array(sorted(close_pairs(ids, prints)), dtype=np.int64).reshape(-1, 2)
+    order = np.argsort(ids, kind="stable")
+    left, right = (order[np.searchsorted(ids[order], found[:, side])] for side in (0, 1))
+    similar = np.minimum(sizes[left], sizes[right]) / np.maximum(sizes[left], sizes[right]) >= similarity
+    found, left, right = found[similar], left[similar], right[similar]
+    bits = np.bitwise_count(prints[left] ^ prints[right]).sum(axis=1, dtype=np.int64)
+    kept: set[tuple[int, ...]] = set()
+    for side in (0, 1):
+        closest = np.lexsort((found[:, 1 - side], bits, found[:, side]))
+        first = closest[np.unique(found[closest, side], return_index=True)[1]]
+        kept.update((a, b, n) for (a, b), n in zip(found[first].tolist(), bits[first].tolist()))
+    return kept
+
+
+def _pairs_by(
+    rows: DataFrame, keys: list[str], pairs: Callable[[pd.DataFrame], set[tuple[int, ...]]], columns: Sequence[str] = ("a", "b")
+) -> DataFrame:
+    """The pairs (a, b), with further columns, that a function finds among the rows of each key."""
     sorted_rows = rows.repartition(*keys).sortWithinPartitions(*keys)
 
     def compared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -198,7 +221,7 @@ def _pairs_by(rows: DataFrame, keys: list[str], pairs: Callable[[pd.DataFrame],
             key = rows[keys].to_numpy()
             ends = np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1
             for a, b in zip([0, *ends], [*ends, len(rows)]):
-                yield pd.DataFrame(sorted(pairs(rows[a:b])), columns=["a", "b"], dtype="int64")
+                yield pd.DataFrame(sorted(pairs(rows[a:b])), columns=list(columns), dtype="int64")
 
         held: pd.DataFrame | None = None
         for batch in batches:
@@ -210,7 +233,7 @@ def _pairs_by(rows: DataFrame, keys: list[str], pairs: Callable[[pd.DataFrame],
         if held is not None:
             yield from found(held)
 
-    return sorted_rows.mapInPandas(compared, "a long, b long")
+    return sorted_rows.mapInPandas(compared, ", ".join(f"{c} long" for c in columns))
 
 
 def shared_listings(prints: DataFrame) -> DataFrame:
@@ -224,20 +247,21 @@ def shared_listings(prints: DataFrame) -> DataFrame:
     return store(listed.withColumn("members", members).where("members > 1"), "shared-listings")
 
 
-def candidates(
-    prints: DataFrame, crowd: DataFrame, pair_limit: int = PAIR_LIMIT, similarity: float = SIMILARITY
-) -> DataFrame:
-    """Pairs (a, b), a < b, of texts that share a listing and differ in few bits, with `bits`.
+def _of_few(prints: DataFrame, crowd: DataFrame, pair_limit: int, similarity: float) -> DataFrame:
+    """Pairs (a, b), a < b, of texts that share a listing of up to `pair_limit` and differ in few bits, with `bits`.
 
-    All pairs of listings up to `pair_limit`, those that pivots find in larger ones. Pairs whose numbers of shingles
-    are too far apart for the similarity are none.
+    Pairs whose numbers of shingles are too far apart for the similarity are none.
     """
     few = crowd.where(F.col("members") <= pair_limit)
     left, right = (few.select("listing", F.col("id").alias(n)) for n in ("a", "b"))
-    of_few = left.join(right, "listing").where("a < b").select("a", "b")
+    pairs = left.join(right, "listing").where("a < b").select("a", "b").distinct()
+    return _with_bits(store(pairs, "pairs"), prints, similarity)
+
+
+def _of_many(prints: DataFrame, crowd: DataFrame, pair_limit: int, similarity: float) -> DataFrame:
+    """Of larger listings such pairs that pivots find, the closest of each text in each listing."""
     many = crowd.where(F.col("members") > pair_limit).join(prints, "id")
-    pairs = store(of_few.unionByName(_of_crowded(many)).distinct(), "pairs")
-    return _with_bits(pairs, prints, similarity)
+    return _nearest_of_crowded(many, similarity)
 
 
 def _with_bits(pairs: DataFrame, prints: DataFrame, similarity: float) -> DataFrame:
@@ -246,7 +270,7 @@ def _with_bits(pairs: DataFrame, prints: DataFrame, similarity: float) -> DataFr
     sides = [prints.select(F.col("id").alias(n), *[F.col(c).alias(f"{n}_{c}") for c in columns]) for n in ("a", "b")]
     both = pairs.join(sides[0], "a").join(sides[1], "b").withColumn("bits", _differing("a_", "b_"))
     sizes = similar_sizes(F.col("a_shingles"), F.col("b_shingles"), similarity)
-    return both.where((F.col("bits") <= DISTANCE) & sizes).select("a", "b", "bits")
+    return both.where((F.col("bits") <= DISTANCE) & sizes).select("a", "b", F.col("bits").cast("long").alias("bits"))
 
 
 def _nearest(pairs: DataFrame) -> DataFrame:
@@ -272,7 +296,10 @@ def _rest(
     pair_limit: int = PAIR_LIMIT,
     similarity: float = SIMILARITY,
 ) -> DataFrame:
-    """All close pairs (a, b) not compared yet whose texts are not in one group; `found` names the groups."""
+    """All close pairs (a, b) not compared yet whose texts are not in one group; `found` names the groups.
+
+    `close` has all close pairs of the small listings; those of the large ones are found here.
+    """
     left_over = close.select("a", "b").unionByName(
         _across(prints, crowd.where(F.col("members") > pair_limit), found, similarity)
     )
@@ -353,8 +380,9 @@ def groups(docs: DataFrame, pair_limit: int = PAIR_LIMIT) -> DataFrame:
     """id (a hash of the text) and group, for texts that have a near copy with another text."""
     prints = store(_prints(docs), "wide-fingerprints")
     crowd = shared_listings(prints)
-    close = store(candidates(prints, crowd, pair_limit), "close-pairs")
-    nearest = store(_nearest(close), "nearest")
+    # Of large listings only the closest pairs are needed here, as the rest takes all their pairs between groups.
+    close = store(_of_few(prints, crowd, pair_limit, SIMILARITY), "close-pairs")
+    nearest = store(_nearest(close.unionByName(_of_many(prints, crowd, pair_limit, SIMILARITY))), "nearest")
     found = store(components(links(docs, nearest)), "groups")
     rest = store(_rest(prints, crowd, close, nearest, found, pair_limit), "rest")
     more = store(links(docs, rest), "more-links")

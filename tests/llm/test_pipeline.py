@@ -202,6 +202,30 @@ def test_the_mix_meets_its_targets_with_whole_documents(docs_of, rng):
     assert mixing.mixed_documents(docs.limit(0)).count() == 0
 
 
+def test_a_crowded_listing_gives_no_more_than_two_pairs_a_text():
+    """Copies of three texts in one listing: each gives its closest pairs, with their bits, and none of unlike size."""
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 2**63, (3, 8), dtype=np.uint64)
+    of = np.arange(600) % 3
+    prints = base[of].copy()
+    prints[np.arange(600), rng.integers(0, 8, 600)] ^= np.uint64(1) << rng.integers(0, 63, 600).astype(np.uint64)
+    ids = rng.permutation(600) - 300
+    sizes = np.where(np.arange(600) < 300, 100, 50)
+    every = near_copies.close_pairs(ids, prints)
+    found = near_copies.nearest_pairs(ids, prints, sizes, 0.8)
+    at = {v: i for i, v in enumerate(ids.tolist())}
+    alike = {(a, b) for a, b in every if sizes[at[a]] == sizes[at[b]]}
+    assert {(a, b) for a, b, _ in found} <= alike < every
+    assert {v for p in alike for v in p} == {v for a, b, _ in found for v in (a, b)}
+    bits = {(a, b): int(np.bitwise_count(prints[at[a]] ^ prints[at[b]]).sum()) for a, b in alike}
+    assert all(bits[a, b] == n for a, b, n in found) and len(found) <= 2 * len(ids)
+    for v in ids.tolist():
+        for side in (0, 1):
+            mine = [bits[p] for p in alike if p[side] == v]
+            assert not mine or min(mine) in {n for *p, n in found if p[side] == v}
+    assert near_copies.nearest_pairs(ids[:1], prints[:1], sizes[:1], 0.8) == set()
+
+
 def test_a_small_target_leaves_one_document(docs_of):
     """A source whose target is less than half of its first document."""
     rows = [(1, "long " * 5000, "en", "b")] + [(i, "w " * 20, "en", "a") for i in range(2, 60)]
