@@ -20,10 +20,28 @@ from pyspark.sql import functions as F
 from ..functions import ohlc
 from . import recurrence
 from .recurrence import Scan
-from .windows import block_window, checked_date, cumulative, lagged, repeated_day, rolling, ticker_window, with_blocks
+from .windows import (
+    block_window,
+    centre_of_parts,
+    checked_date,
+    cumulative,
+    deviation_of_parts,
+    earlier_parts,
+    extreme_of_parts,
+    in_parts,
+    lagged,
+    mean_of_parts,
+    parts,
+    repeated_day,
+    rolling,
+    sum_of_parts,
+    ticker_window,
+    with_blocks,
+)
 
-# Dependency levels, in order of evaluation.
-BARS, RETURNS, RETURN_WINDOWS, INDICATORS, SIGNAL, FINAL = range(6)
+# Dependency levels, in order of evaluation; the recurrences are worked out before LINES. What no window needs comes
+# late, so that the windows hand on few columns.
+BARS, RETURNS, RETURN_WINDOWS, LINES, PIECES, PARTS, CENTRES, FRAMES, INDICATORS, SIGNAL, FINAL = range(11)
 
 SMA_DAYS = (5, 10, 20, 50)
 EMA_DAYS = (5, 10, 20, 50)
@@ -69,6 +87,52 @@ def _previous_close() -> dict:
     return {BARS: {"prev_close": F.expr(f"lag(close, 1, {CARRY}.close)").over(ticker_window())}}
 
 
+def _levels(*found: dict[int, dict[str, Column]]) -> dict[int, dict[str, Column]]:
+    """The columns of each level together."""
+    merged: dict[int, dict[str, Column]] = {}
+    for levels in found:
+        for level, columns in levels.items():
+            merged.setdefault(level, {}).update(columns)
+    return merged
+
+
+def _pieces(value: Column | str, name: str, kinds: list[str], n: int) -> dict[int, dict[str, Column]]:
+    return {PIECES: parts(value, name, kinds), PARTS: earlier_parts(name, kinds, n)}
+
+
+def _average(name: str, value: str, n: int, min_periods: int = 1) -> dict[int, dict[str, Column]]:
+    """The average of the last n bars. A long frame is not added up row by row but from its parts, as those below."""
+    if not in_parts(n):
+        return {PIECES: {name: rolling(F.avg, value, n, min_periods)}}
+    return _levels(
+        _pieces(value, value, ["count", "sum"], n), {FRAMES: {name: mean_of_parts(value, n, min_periods)}}
+    )
+
+
+def _sum(name: str, value: Column, label: str, n: int) -> dict[int, dict[str, Column]]:
+    if not in_parts(n):
+        return {PIECES: {name: rolling(F.sum, value, n)}}
+    return _levels(_pieces(value, label, ["sum"], n), {FRAMES: {name: sum_of_parts(label, n)}})
+
+
+def _extreme(name: str, kind: str, value: str, n: int) -> dict[int, dict[str, Column]]:
+    if not in_parts(n):
+        return {PIECES: {name: rolling(F.min if kind == "min" else F.max, value, n)}}
+    return _levels(_pieces(value, value, [kind], n), {FRAMES: {name: extreme_of_parts(kind, value, n)}})
+
+
+def _spread(deviation: str, value: str, n: int, mean: str | None = None) -> dict[int, dict[str, Column]]:
+    """The sample deviation, and under the name ``mean`` the average if it is asked for."""
+    if not in_parts(n):
+        plain = {deviation: rolling(F.stddev_samp, value, n)}
+        return {PIECES: plain | {mean: rolling(F.avg, value, n)} if mean else plain}
+    centre = mean or f"_centre_{value}_{n}"
+    return _levels(
+        _pieces(value, value, ["count", "mean", "var"], n),
+        {CENTRES: {centre: centre_of_parts(value, n)}, FRAMES: {deviation: deviation_of_parts(value, n, centre)}},
+    )
+
+
 def _ratio(top: Column, bottom: Column) -> Column:
     return F.try_divide(top, bottom)
 
@@ -87,10 +151,8 @@ def price_change() -> Feature:
         ["prev_close", "price_change", "price_change_pct"],
         {
             BARS: {"prev_close": lagged("close")},
-            RETURNS: {
-                "price_change": F.col("close") - F.col("prev_close"),
-                "price_change_pct": _price_change_pct(),
-            },
+            RETURNS: {"price_change_pct": _price_change_pct()},
+            INDICATORS: {"price_change": F.col("close") - F.col("prev_close")},
         },
         state={"close": F.col("close")},
         carried=_previous_close(),
@@ -98,8 +160,8 @@ def price_change() -> Feature:
 
 
 def sma(days: Iterable[int] = SMA_DAYS, min_periods: int = 1) -> Feature:
-    columns = {f"sma_{n}": rolling(F.avg, "close", n, min_periods) for n in days}
-    return Feature(list(columns), {BARS: columns})
+    days = list(days)
+    return Feature([f"sma_{n}" for n in days], _levels(*[_average(f"sma_{n}", "close", n, min_periods) for n in days]))
 
 
 def _ema_scan(n: int) -> Scan:
@@ -143,51 +205,59 @@ def ema(days: Iterable[int] = EMA_DAYS) -> Feature:
 
 
 def volatility(days: Iterable[int] = VOLATILITY_DAYS) -> Feature:
-    rolled = {f"volatility_{n}d": rolling(F.stddev_samp, "price_change_pct", n) for n in days}
+    rolled = {f"volatility_{n}d": _spread(f"volatility_{n}d", "price_change_pct", n) for n in days}
     ranges = {
         "daily_range": F.col("high") - F.col("low"),
         "daily_range_pct": _ratio(F.col("high") - F.col("low"), F.col("close")) * 100,
     }
     return Feature(
         [*ranges, *rolled],
-        {
-            BARS: {"prev_close": lagged("close"), **ranges},
-            RETURNS: {"price_change_pct": _price_change_pct()},
-            RETURN_WINDOWS: rolled,
-        },
+        _levels(
+            {
+                BARS: {"prev_close": lagged("close")},
+                RETURNS: {"price_change_pct": _price_change_pct()},
+                INDICATORS: ranges,
+            },
+            *rolled.values(),
+        ),
         state={"close": F.col("close")},
         carried=_previous_close(),
     )
 
 
 def volume(days: Iterable[int] = VOLUME_DAYS) -> Feature:
-    averages = {f"volume_sma_{n}": rolling(F.avg, "volume", n) for n in days}
-    averages["volume_sma_20"] = rolling(F.avg, "volume", 20)
+    averages = {f"volume_sma_{n}": _average(f"volume_sma_{n}", "volume", n) for n in [*days, 20]}
+    turnover = F.col("close") * F.col("volume")
     # A NULL close still adds its volume below the line.
-    sums = {"_traded": cumulative(F.sum, F.col("close") * F.col("volume")), "_volume": cumulative(F.sum, "volume")}
-    recent = _ratio(rolling(F.sum, F.col("close") * F.col("volume"), 20), rolling(F.sum, "volume", 20))
+    sums = {"_traded": cumulative(F.sum, turnover), "_volume": cumulative(F.sum, "volume")}
+    recent = [_sum("_traded_20", turnover, "turnover", 20), _sum("_volume_20", F.col("volume"), "volume", 20)]
     return Feature(
         [*averages, "volume_ratio", "vwap_cumulative", "vwap_20d"],
-        {
-            BARS: {**averages, "vwap_20d": recent, **sums},
-            RETURNS: {
-                "volume_ratio": _ratio(F.col("volume"), F.col("volume_sma_20")),
-                "vwap_cumulative": _ratio(F.col("_traded"), F.col("_volume")),
+        _levels(
+            {
+                BARS: sums,
+                INDICATORS: {
+                    "vwap_cumulative": _ratio(F.col("_traded"), F.col("_volume")),
+                    "volume_ratio": _ratio(F.col("volume"), F.col("volume_sma_20")),
+                    "vwap_20d": _ratio(F.col("_traded_20"), F.col("_volume_20")),
+                },
             },
-        },
+            *averages.values(),
+            *recent,
+        ),
         state={"traded": F.col("_traded"), "volume": F.col("_volume")},
         carried={BARS: {name: _added(total, _carry(name[1:])) for name, total in sums.items()}},
     )
 
 
 def momentum(days: Iterable[int] = MOMENTUM_DAYS) -> Feature:
-    levels: dict[int, dict[str, Column]] = {BARS: {}, RETURNS: {}}
+    levels: dict[int, dict[str, Column]] = {PARTS: {}, INDICATORS: {}}
     for n in days:
         before = F.col(f"_close_{n}")
-        levels[BARS][f"_close_{n}"] = lagged("close", n)
-        levels[RETURNS][f"momentum_{n}d"] = F.col("close") - before
-        levels[RETURNS][f"momentum_{n}d_pct"] = _ratio(F.col("close") - before, before) * 100
-    return Feature(list(levels[RETURNS]), levels)
+        levels[PARTS][f"_close_{n}"] = lagged("close", n)
+        levels[INDICATORS][f"momentum_{n}d"] = F.col("close") - before
+        levels[INDICATORS][f"momentum_{n}d_pct"] = _ratio(F.col("close") - before, before) * 100
+    return Feature(list(levels[INDICATORS]), levels)
 
 
 def bollinger(days: int = BOLLINGER_DAYS, width: float = 2.0) -> Feature:
@@ -195,15 +265,18 @@ def bollinger(days: int = BOLLINGER_DAYS, width: float = 2.0) -> Feature:
     upper, lower = F.col("bb_upper"), F.col("bb_lower")
     return Feature(
         ["bb_middle", "bb_upper", "bb_lower", "bb_width", "bb_percent_b"],
-        {
+        _levels(
             # The middle band is the simple average, under the name the averages use so that both share it.
-            BARS: {f"sma_{days}": rolling(F.avg, "close", days), "bb_std": rolling(F.stddev_samp, "close", days)},
-            RETURNS: {"bb_middle": middle, "bb_upper": middle + width * std, "bb_lower": middle - width * std},
-            RETURN_WINDOWS: {
-                "bb_width": upper - lower,
-                "bb_percent_b": F.when(upper != lower, (F.col("close") - lower) / (upper - lower)),
+            _average(f"sma_{days}", "close", days),
+            _spread("bb_std", "close", days),
+            {
+                INDICATORS: {"bb_middle": middle, "bb_upper": middle + width * std, "bb_lower": middle - width * std},
+                SIGNAL: {
+                    "bb_width": upper - lower,
+                    "bb_percent_b": F.when(upper != lower, (F.col("close") - lower) / (upper - lower)),
+                },
             },
-        },
+        ),
         intermediate=["bb_std"],
     )
 
@@ -214,8 +287,8 @@ def macd(fast: int = 12, slow: int = 26, signal_days: int = SIGNAL_DAYS) -> Feat
         ["macd", "macd_signal", "macd_histogram"],
         {
             **_ema_levels([fast, slow]),
-            INDICATORS: {"macd": F.col(f"ema_{fast}") - F.col(f"ema_{slow}")},
-            SIGNAL: {"macd_signal": rolling(F.avg, "macd", signal_days)},
+            LINES: {"macd": F.col(f"ema_{fast}") - F.col(f"ema_{slow}")},
+            PIECES: {"macd_signal": rolling(F.avg, "macd", signal_days)},
             FINAL: {"macd_histogram": F.col("macd") - F.col("macd_signal")},
         },
         [_ema_scan(fast), _ema_scan(slow), _ema_scan(signal_days)],
@@ -260,8 +333,9 @@ def rsi(days: int = RSI_DAYS) -> Feature:
                 "_loss": loss,
                 "_wilder_steps": F.count(F.when(F.col("_row") >= days, 1)).over(block_window()),
             },
-            RETURN_WINDOWS: {f"_{side}_mean": rolling(F.avg, f"_{side}", days) for side in ("gain", "loss")},
-            INDICATORS: {name: 100 - 100 / (1 + strength)},
+            # Plain averages are used up to row `days` only, and there the frame reaches back to the first row.
+            RETURN_WINDOWS: {f"_{side}_mean": cumulative(F.avg, f"_{side}") for side in ("gain", "loss")},
+            LINES: {name: 100 - 100 / (1 + strength)},
         },
         [scan("gain"), scan("loss")],
         # The averages of a ticker with fewer bars than `days` cannot go on; `carry` does not start from such a state.
@@ -284,8 +358,7 @@ def returns(sharpe_days: Iterable[int] = SHARPE_DAYS) -> Feature:
     }
     for n in sharpe_days:
         mean, std = F.col(f"_return_mean_{n}"), F.col(f"_return_std_{n}")
-        levels[RETURN_WINDOWS][f"_return_mean_{n}"] = rolling(F.avg, "log_return", n)
-        levels[RETURN_WINDOWS][f"_return_std_{n}"] = rolling(F.stddev_samp, "log_return", n)
+        levels = _levels(levels, _spread(f"_return_std_{n}", "log_return", n, f"_return_mean_{n}"))
         levels[INDICATORS][f"sharpe_ratio_{n}d"] = F.when(std != 0, mean / std * math.sqrt(TRADING_DAYS))
     total = _added(cumulative(F.sum, "log_return"), _carry("log_return"))
     return Feature(
@@ -301,7 +374,7 @@ def drawdown() -> Feature:
     fall = _ratio(F.col("close") - peak, peak)
     return Feature(
         ["drawdown", "drawdown_pct"],
-        {BARS: {"running_max": cumulative(F.max, "close")}, RETURNS: {"drawdown": fall, "drawdown_pct": fall * 100}},
+        {BARS: {"running_max": cumulative(F.max, "close")}, INDICATORS: {"drawdown": fall, "drawdown_pct": fall * 100}},
         intermediate=["running_max"],
         state={"peak": peak},
         carried={BARS: {"running_max": F.greatest(cumulative(F.max, "close"), _carry("peak"))}},
@@ -318,22 +391,21 @@ def candles() -> Feature:
     }
     return Feature(
         list(patterns),
-        {BARS: {"prev_close": lagged("close"), "_prev_open": lagged("open")}, RETURNS: patterns},
+        {BARS: {"prev_close": lagged("close"), "_prev_open": lagged("open")}, INDICATORS: patterns},
         state={"close": F.col("close")},
         carried=_previous_close(),
     )
 
 
 def support_resistance(days: Iterable[int] = SUPPORT_DAYS) -> Feature:
-    levels: dict[int, dict[str, Column]] = {BARS: {}, RETURNS: {}}
+    levels: dict[int, dict[str, Column]] = {INDICATORS: {}}
     outputs = []
     for n in days:
         support, resistance = f"support_{n}d", f"resistance_{n}d"
-        levels[BARS][support] = rolling(F.min, "low", n)
-        levels[BARS][resistance] = rolling(F.max, "high", n)
+        levels = _levels(levels, _extreme(support, "min", "low", n), _extreme(resistance, "max", "high", n))
         close = F.col("close")
-        levels[RETURNS][f"distance_to_{support}"] = _ratio(close - F.col(support), close) * 100
-        levels[RETURNS][f"distance_to_{resistance}"] = _ratio(F.col(resistance) - close, close) * 100
+        levels[INDICATORS][f"distance_to_{support}"] = _ratio(close - F.col(support), close) * 100
+        levels[INDICATORS][f"distance_to_{resistance}"] = _ratio(F.col(resistance) - close, close) * 100
         outputs += [support, resistance, f"distance_to_{support}", f"distance_to_{resistance}"]
     return Feature(outputs, levels)
 
@@ -393,7 +465,7 @@ def compute(
         df = df.withColumns(recurrence.local_values(scans))
         df = df.withColumns(recurrence.finished_blocks(scans))
         df = df.withColumns(recurrence.results(scans, CARRY if carried else None))
-    for level in (INDICATORS, SIGNAL, FINAL):
+    for level in (LINES, PIECES, PARTS, CENTRES, FRAMES, INDICATORS, SIGNAL, FINAL):
         df = _extend(df, levels[level])
     if states:
         df = df.withColumn(STATE, _month_end_state(features))

@@ -7,12 +7,18 @@ rows a year whatever the number of source rows, so no ticker can outgrow a task.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+from operator import add
+
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from .clean import as_date
 
 BLOCK = "_block"
+#: Rows of a part; longer frames of whole parts are put together from the parts before each row.
+PART = 5
 
 
 def ticker_window() -> WindowSpec:
@@ -49,6 +55,68 @@ def rolling(agg, value: Column | str, n: int, min_periods: int = 1) -> Column:
     return result
 
 
+def in_parts(n: int) -> bool:
+    return n > PART and n % PART == 0
+
+
+def parts(value: Column | str, name: str, kinds: Sequence[str]) -> dict[str, Column]:
+    """What each row's last ``PART`` rows add up to, for ``of_parts``."""
+    variance = rolling(F.var_pop, value, PART)
+    found = {
+        "count": rolling(F.count, value, PART),
+        "sum": rolling(F.sum, value, PART),
+        "min": rolling(F.min, value, PART),
+        "max": rolling(F.max, value, PART),
+        # A sum of equal values divided by their number need not be that value again.
+        "mean": F.when(variance == 0, rolling(F.max, value, PART)).otherwise(rolling(F.avg, value, PART)),
+        "var": variance,
+    }
+    return {f"_{kind}_{name}": found[kind] for kind in kinds}
+
+
+def earlier_parts(name: str, kinds: Sequence[str], n: int) -> dict[str, Column]:
+    """The parts that a frame of ``n`` rows has before each row's own."""
+    return {f"_{kind}_{name}_{at}": lagged(f"_{kind}_{name}", at) for kind in kinds for at in range(PART, n, PART)}
+
+
+def _frame(kind: str, name: str, n: int) -> list[Column]:
+    return [F.col(f"_{kind}_{name}"), *[F.col(f"_{kind}_{name}_{at}") for at in range(PART, n, PART)]]
+
+
+def _total(columns: list[Column]) -> Column:
+    return reduce(add, [F.coalesce(c, F.lit(0)) for c in columns])
+
+
+def sum_of_parts(name: str, n: int) -> Column:
+    columns = _frame("sum", name, n)
+    return F.when(F.coalesce(*columns).isNotNull(), _total(columns))
+
+
+def extreme_of_parts(kind: str, name: str, n: int) -> Column:
+    return (F.least if kind == "min" else F.greatest)(*_frame(kind, name, n))
+
+
+def mean_of_parts(name: str, n: int, min_periods: int = 1) -> Column:
+    count = _total(_frame("count", name, n))
+    return F.when(count >= max(min_periods, 1), _total(_frame("sum", name, n)) / count)
+
+
+def centre_of_parts(name: str, n: int) -> Column:
+    """The mean, exactly the value where all values are the same."""
+    counts, means = _frame("count", name, n), _frame("mean", name, n)
+    base = F.coalesce(*means)
+    shift = _total([c * (m - base) for c, m in zip(counts, means)])
+    return F.when(base.isNotNull(), base + shift / _total(counts))
+
+
+def deviation_of_parts(name: str, n: int, centre: str) -> Column:
+    """The sample deviation around the mean in the column ``centre``; exactly zero where all values are the same."""
+    counts, means, variances = (_frame(kind, name, n) for kind in ("count", "mean", "var"))
+    squares = [c * (v + (m - F.col(centre)) * (m - F.col(centre))) for c, m, v in zip(counts, means, variances)]
+    count = _total(counts)
+    return F.when(count > 1, F.sqrt(_total(squares) / (count - 1)))
+
+
 def cumulative(agg, value: Column | str) -> Column:
     return agg(value).over(ticker_window().rowsBetween(Window.unboundedPreceding, 0))
 

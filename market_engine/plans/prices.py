@@ -35,7 +35,9 @@ def silver_prices(
     Further columns of the bars follow those of the table. For ``carried`` and ``states`` see ``features.compute``;
     a ticker that goes on from a state has qualified before.
     """
-    enough = qualify.qualified(bars, min_bars, features.CARRY if carried else None)
+    # Bars are few bytes for the work they take: without a number, adaptive execution makes a few large tasks of them.
+    tasks = int(bars.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    enough = qualify.qualified(bars.repartition(tasks, "ticker"), min_bars, features.CARRY if carried else None)
     keyed = features.compute(enough, features.all_features(), keep_intermediate, carried, states)
     rounded = clean.round_numbers(keyed.withColumn("date_key", F.col("date")))
     result = clean.columns_first(rounded, [c for c in SILVER_PRICES.fieldNames() if c != "ingestion_timestamp"])

@@ -6,6 +6,8 @@ from datetime import date, timedelta
 
 import pytest
 from frames import column, plan_of
+from pyspark.sql import Window
+from pyspark.sql import functions as F
 
 from market_engine.operators import clean, features, recurrence, windows
 from market_engine.plans import prices
@@ -234,3 +236,51 @@ def test_single_block_and_many_blocks_agree(make_bars):
     # The same averages with a steeper one alongside, which shortens the blocks of all.
     short = features.compute(make_bars(closes), [features.ema([2, 10])]).orderBy("date").collect()
     near([r.ema_10 for r in short], [r.ema_10 for r in long], 1e-12)
+
+
+def test_long_frames_are_put_together_from_parts(make_bars):
+    """No frame of many rows is added up anew for every row, and enough tasks share the work however few bytes it is."""
+    out = prices.silver_prices(make_bars([1.0, 2.0]), 1)
+    frames = [int(n) for n in re.findall(r"RowFrame, -(\d+), currentrow", plan_of(out))]
+    assert frames and max(frames) < 10
+    assert "REPARTITION_BY_NUM" in plan_of(out)
+
+
+def test_parts_agree_with_plain_frames(make_bars):
+    """With missing closes and volumes, short frames at the start and frames that no part divides."""
+    closes = [None if i % 7 == 3 or 30 <= i < 42 else 100 + (i * 37 % 11) / 7 for i in range(90)]
+    volumes = [None if i % 13 == 5 else float(i * 17 % 23) for i in range(90)]
+    bars = make_bars(closes, volume=volumes)
+    found = features.compute(bars, [*features.all_features(), features.sma((7, 15), 4)], keep_intermediate=True)
+    for name, agg, value, n in (
+        ("sma_7", F.avg, "close", 7),
+        ("sma_15", F.avg, "close", 15),
+        ("sma_10", F.avg, "close", 10),
+        ("sma_50", F.avg, "close", 50),
+        ("volume_sma_20", F.avg, "volume", 20),
+        ("volatility_20d", F.stddev_samp, "price_change_pct", 20),
+        ("support_50d", F.min, "low", 50),
+        ("resistance_20d", F.max, "high", 20),
+        ("bb_std", F.stddev_samp, "close", 20),
+    ):
+        frame = Window.partitionBy("ticker").orderBy("date").rowsBetween(1 - n, 0)
+        plain = agg(value).over(frame)
+        if name in ("sma_7", "sma_15"):
+            plain = F.when(F.count(value).over(frame) >= 4, plain)
+        rows = found.select(F.col(name).alias("got"), plain.alias("want")).collect()
+        near([r.got for r in rows], [r.want for r in rows], 1e-12)
+
+
+def test_equal_values_deviate_by_exactly_nothing(make_bars):
+    rows = features.compute(make_bars([0.1] * 33 + [None, 0.1]), [features.bollinger(), features.returns()]).collect()
+    assert {r.bb_width for r in rows} == {None, 0.0} and {r.bb_percent_b for r in rows} == {None}
+    assert {r.sharpe_ratio_60d for r in rows} == {None}
+
+
+def test_rounding_is_that_of_decimals(spark):
+    values = [None, float("nan"), float("inf"), 0.0, -0.0, 0.00005, -0.00005, 1.00005, 2.00015, -1e-9, 1e300, 1e15 + 0.5, 0.49999999999999994e-4]
+    values += [(i + 0.5) / 10**4 * (1 + e * 2.0**-52) for i in range(-300, 300, 7) for e in (-2, -1, 0, 1, 2)]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    for places in (0, 4, 8):
+        want = df.select(F.round("x", places).cast("string").alias("x")).collect()
+        assert clean.round_numbers(df, places).select(F.col("x").cast("string")).collect() == want
