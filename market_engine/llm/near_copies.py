@@ -6,24 +6,25 @@ and a text is listed under 256 choices of three blocks; texts that share one are
 close there is compared by its shingles. Most pairs that differ in 15 % of the bits share a choice, nearly all that differ
 in 10 %; the README has the recall measured.
 
-A listing of few texts gives its pairs. In a larger one, as variants of a text or a passage that many texts share make
-it, all are compared with a number of them (pivots), the square root of their own number. Texts close to a pivot are linked to
+The texts of a listing are compared in place, next to each other, and it gives each text's closest pairs only. In a large
+listing, as variants of a text or a passage that many texts share make it, all are compared with a number of them (pivots),
+the square root of their own number. Texts close to a pivot are linked to
 it; the others are compared among those with the same nearest pivot, and among those with the same second nearest
 one, again with pivots where they are many. So this work in a listing of n texts grows with the power 1.5 of n and
 not with its pairs.
 
 The closest pairs are compared by shingles first and make groups. Then comes the rest, with nothing left out: all close
-pairs whose texts are not in one group yet. In a large listing these are the pairs of the texts outside its largest
-group with all others, compared bit by bit in tiles. A pair within a group can link nothing new.
+pairs whose texts are not in one group yet. A listing whose texts are all in one group takes no further part; in a large
+one the texts outside its largest group are compared with all others, bit by bit in tiles. A pair within a group can link
+nothing new. Nor can one that is too unlike by the numbers of shingles in each bucket of their hashes: of no bucket can two
+texts share more than the smaller number. So texts are compared only for pairs that are near copies or little less.
 """
 
 from __future__ import annotations
 
 import random
 from collections.abc import Callable, Iterator, Sequence
-from functools import reduce
 from itertools import accumulate
-from operator import add
 
 import numpy as np
 import pandas as pd
@@ -46,6 +47,8 @@ PAIR_LIMIT = 16
 TOGETHER = 1 << 16
 #: Texts on either side of a tile.
 TILE = 2048
+#: Buckets of the hashes of shingles, each with its number in a byte; a full byte says nothing.
+BUCKETS, FULL = 256, 255
 
 _rng = random.Random(1)
 #: The blocks of each choice, fixed by the seed.
@@ -69,15 +72,23 @@ def shingles(text: str, size: int = SHINGLE) -> set[bytes]:
     return {joined[a : b - 1] for a, b in zip(starts, ends[size - 1 :])}
 
 
-def similar_sizes(left: Column, right: Column, similarity: float) -> Column:
+def similar_sizes(left: np.ndarray, right: np.ndarray, similarity: float) -> np.ndarray:
     """Whether sets of so many shingles can be that similar: the smaller one may be all they share."""
-    return F.least(left, right) / F.greatest(left, right) >= similarity
+    return np.minimum(left, right) / np.maximum(left, right) >= similarity
 
 
-def fingerprint(found: set[bytes]) -> np.ndarray:
+def hashes_of(found: set[bytes]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, found), np.uint64, len(found))
+
+
+def bucket_counts(hashes: np.ndarray) -> np.ndarray:
+    """How many of the hashes fall into each bucket, `FULL` also for more."""
+    found = np.bincount((hashes % np.uint64(BUCKETS)).astype(np.int64), minlength=BUCKETS)
+    return np.minimum(found, FULL).astype(np.uint8)
+
+
+def fingerprint(hashes: np.ndarray) -> np.ndarray:
     """The blocks, each a byte. A shingle's hash is mixed (splitmix64) into the 64 bits of each part."""
-    digest = xxhash.xxh3_64_intdigest
-    hashes = np.fromiter(map(digest, found), np.uint64, len(found))
     bits = np.zeros(8 * BLOCKS, dtype=np.int64)
     for at in range(0, len(hashes), 16384):  # bounded memory for the longest texts
         part = hashes[at : at + 16384, None] + _STEP * np.arange(1, len(_PARTS) + 1, dtype=np.uint64)
@@ -89,18 +100,19 @@ def fingerprint(found: set[bytes]) -> np.ndarray:
 
 
 def _prints(docs: DataFrame) -> DataFrame:
-    """id (a hash of the text), the fingerprint in eight numbers and how many shingles, a row per text with words."""
+    """id (a hash of the text), the fingerprint in eight numbers, how many shingles and their `bucket_counts`, a row per text with words."""
     columns = [*_PARTS, "shingles"]
 
-    @F.pandas_udf(", ".join(f"{c} bigint" for c in columns))
+    @F.pandas_udf(", ".join(f"{c} bigint" for c in columns) + ", counts binary")
     def printed(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
-            found = map(shingles, texts)
-            rows = [[*fingerprint(f).view("<i8").tolist(), len(f)] if f else [None] * len(columns) for f in found]
-            yield pd.DataFrame(rows, columns=columns, dtype="Int64")
+            found = [hashes_of(shingles(text)) for text in texts]
+            rows = [[*fingerprint(h).view("<i8").tolist(), len(h)] if len(h) else [None] * len(columns) for h in found]
+            counts = [bucket_counts(h).tobytes() if len(h) else None for h in found]
+            yield pd.DataFrame(rows, columns=columns, dtype="Int64").assign(counts=pd.Series(counts, dtype=object))
 
     found = docs.select(F.xxhash64(text_of()).alias("id"), printed(text_of()).alias("_p")).select("id", "_p.*")
-    return found.where(f"{_PARTS[0]} IS NOT NULL").groupBy("id").agg(*[F.min(c).alias(c) for c in columns])
+    return found.where(f"{_PARTS[0]} IS NOT NULL").groupBy("id").agg(*[F.min(c).alias(c) for c in [*columns, "counts"]])
 
 
 def _listings() -> Column:
@@ -117,11 +129,6 @@ def _listings() -> Column:
     return F.get(F.transform(F.array(F.array(*parts)), numbers), 0)
 
 
-def _differing(left: str, right: str) -> Column:
-    counts = [F.bit_count(F.col(f"{left}{p}").bitwiseXOR(F.col(f"{right}{p}"))) for p in _PARTS]
-    return reduce(add, counts)
-
-
 # Candidates ---------------------------------------------------------------------------------------------
 
 
@@ -133,6 +140,20 @@ def differing_bits(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return bits
 
 
+def differing_bits_by_row(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """The number of differing bits of each row on the left with the same row on the right."""
+    return np.bitwise_count(left ^ right).sum(axis=1, dtype=np.int64)
+
+
+def may_be_similar(
+    left: np.ndarray, right: np.ndarray, left_sizes: np.ndarray, right_sizes: np.ndarray, similarity: float
+) -> np.ndarray:
+    """Whether sets of so many shingles with these `bucket_counts`, row by row, can be that similar."""
+    shared = np.minimum(left, right).sum(axis=1, dtype=np.int64)
+    unknown = (left == FULL).any(axis=1) & (right == FULL).any(axis=1)
+    return unknown | (shared / np.maximum(left_sizes + right_sizes - shared, 1) >= similarity)
+
+
 def close_pairs(ids: np.ndarray, prints: np.ndarray) -> set[tuple[int, int]]:
     """Pairs (a, b), a < b, of texts with few differing bits, by pivots; `prints` has a row of numbers per text."""
     found: set[tuple[int, int]] = set()
@@ -188,7 +209,7 @@ def _nearest_of_crowded(many: DataFrame, similarity: float) -> DataFrame:
     rows = dealt.select("listing", "part", "id", "shingles", *_PARTS)
 
     def pairs(rows: pd.DataFrame) -> set[tuple[int, ...]]:
-        ids, prints = rows["id"].to_numpy(), rows[list(_PARTS)].to_numpy().view(np.uint64)
+        ids, prints = rows["id"].to_numpy(), _numbers(rows)
         return nearest_pairs(ids, prints, rows["shingles"].to_numpy(), similarity)
 
     return _pairs_by(rows, ["listing", "part"], pairs, ["a", "b", "bits"])
@@ -199,9 +220,9 @@ def nearest_pairs(ids: np.ndarray, prints: np.ndarray, sizes: np.ndarray, simila
     found = np.array(sorted(close_pairs(ids, prints)), dtype=np.int64).reshape(-1, 2)
     order = np.argsort(ids, kind="stable")
     left, right = (order[np.searchsorted(ids[order], found[:, side])] for side in (0, 1))
-    similar = np.minimum(sizes[left], sizes[right]) / np.maximum(sizes[left], sizes[right]) >= similarity
+    similar = similar_sizes(sizes[left], sizes[right], similarity)
     found, left, right = found[similar], left[similar], right[similar]
-    bits = np.bitwise_count(prints[left] ^ prints[right]).sum(axis=1, dtype=np.int64)
+    bits = differing_bits_by_row(prints[left], prints[right])
     kept: set[tuple[int, ...]] = set()
     for side in (0, 1):
         closest = np.lexsort((found[:, 1 - side], bits, found[:, side]))
@@ -214,15 +235,27 @@ def _pairs_by(
     rows: DataFrame, keys: list[str], pairs: Callable[[pd.DataFrame], set[tuple[int, ...]]], columns: Sequence[str] = ("a", "b")
 ) -> DataFrame:
     """The pairs (a, b), with further columns, that a function finds among the rows of each key."""
-    sorted_rows = rows.repartition(*keys).sortWithinPartitions(*keys)
 
-    def compared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def found(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
-            key = rows[keys].to_numpy()
-            ends = np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1
-            for a, b in zip([0, *ends], [*ends, len(rows)]):
-                yield pd.DataFrame(sorted(pairs(rows[a:b])), columns=list(columns), dtype="int64")
+    def found(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        key = rows[keys].to_numpy()
+        ends = np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1
+        for a, b in zip([0, *ends], [*ends, len(rows)]):
+            yield pd.DataFrame(sorted(pairs(rows[a:b])), columns=list(columns), dtype="int64")
+
+    return _by_whole_keys(rows, keys, keys, found, columns)
+
+
+def _by_whole_keys(
+    rows: DataFrame,
+    keys: list[str],
+    order: list[str],
+    found: Callable[[pd.DataFrame], Iterator[pd.DataFrame]],
+    columns: Sequence[str],
+) -> DataFrame:
+    """What a function makes of the rows in that order, which begins with the keys; it gets all rows of a key at once."""
+    sorted_rows = rows.repartition(*keys).sortWithinPartitions(*order)
 
+    def compared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: pd.DataFrame | None = None
         for batch in batches:
             rows = batch if held is None else pd.concat([held, batch], ignore_index=True)
@@ -247,15 +280,70 @@ def shared_listings(prints: DataFrame) -> DataFrame:
     return store(listed.withColumn("members", members).where("members > 1"), "shared-listings")
 
 
+def close_in_listings(
+    listings: np.ndarray, prints: np.ndarray, sizes: np.ndarray, similarity: float, groups: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row numbers (left, right) of close pairs of similar size within each listing, with their bits.
+
+    The rows stand in the order of the listings. With `groups` only pairs between different ones count.
+    """
+    found = [(np.empty(0, np.int64),) * 3]
+    for step in range(1, len(listings)):
+        left = np.flatnonzero(listings[step:] == listings[:-step])
+        if not len(left):
+            break
+        right = left + step
+        kept = similar_sizes(sizes[left], sizes[right], similarity)
+        if groups is not None:
+            kept &= groups[left] != groups[right]
+        left, right = left[kept], right[kept]
+        bits = differing_bits_by_row(prints[left], prints[right])
+        near = bits <= DISTANCE
+        found.append((left[near], right[near], bits[near]))
+    left, right, bits = (np.concatenate(part) for part in zip(*found))
+    return left, right, bits
+
+
+def closest_in_listings(
+    listings: np.ndarray, prints: np.ndarray, sizes: np.ndarray, similarity: float
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of `close_in_listings` the closest pair of each row with a later and with an earlier one of its listing."""
+    left, right, bits = close_in_listings(listings, prints, sizes, similarity)
+    kept = np.zeros(len(left), bool)
+    for row, other in ((left, right), (right, left)):
+        closest = np.lexsort((other, bits, row))
+        kept[closest[np.unique(row[closest], return_index=True)[1]]] = True
+    return left[kept], right[kept], bits[kept]
+
+
 def _of_few(prints: DataFrame, crowd: DataFrame, pair_limit: int, similarity: float) -> DataFrame:
-    """Pairs (a, b), a < b, of texts that share a listing of up to `pair_limit` and differ in few bits, with `bits`.
+    """(listing, a, b, bits), a < b: the closest pairs of each text in each listing of up to `pair_limit`.
 
-    Pairs whose numbers of shingles are too far apart for the similarity are none.
+    Texts are pairs if they differ in few bits and their numbers of shingles are not too far apart for the similarity.
     """
-    few = crowd.where(F.col("members") <= pair_limit)
-    left, right = (few.select("listing", F.col("id").alias(n)) for n in ("a", "b"))
-    pairs = left.join(right, "listing").where("a < b").select("a", "b").distinct()
-    return _with_bits(store(pairs, "pairs"), prints, similarity)
+    rows = crowd.where(F.col("members") <= pair_limit).join(prints, "id").select("listing", "id", "shingles", *_PARTS)
+    columns = ["listing", "a", "b", "bits"]
+
+    def found(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        listings, ids, numbers = rows["listing"].to_numpy(), rows["id"].to_numpy(), _numbers(rows)
+        left, right, bits = closest_in_listings(listings, numbers, rows["shingles"].to_numpy(), similarity)
+        yield pd.DataFrame({"listing": listings[left], "a": ids[left], "b": ids[right], "bits": bits}, columns=columns)
+
+    return _by_whole_keys(rows, ["listing"], ["listing", "id"], found, columns)
+
+
+def _numbers(rows: pd.DataFrame) -> np.ndarray:
+    return rows[list(_PARTS)].to_numpy().view(np.uint64)
+
+
+def _counts(rows: pd.DataFrame) -> np.ndarray:
+    return np.frombuffer(b"".join(rows["counts"]), np.uint8).reshape(-1, BUCKETS)
+
+
+def _by_chunks(left: np.ndarray, right: np.ndarray, check: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> np.ndarray:
+    """What a check says of all pairs of rows, with bounded memory."""
+    parts = [check(left[at : at + 4096], right[at : at + 4096]) for at in range(0, len(left), 4096)]
+    return np.concatenate([np.empty(0, bool), *parts])
 
 
 def _of_many(prints: DataFrame, crowd: DataFrame, pair_limit: int, similarity: float) -> DataFrame:
@@ -264,15 +352,6 @@ def _of_many(prints: DataFrame, crowd: DataFrame, pair_limit: int, similarity: f
     return _nearest_of_crowded(many, similarity)
 
 
-def _with_bits(pairs: DataFrame, prints: DataFrame, similarity: float) -> DataFrame:
-    """The pairs that differ in few bits and are of similar size, with `bits`."""
-    columns = [*_PARTS, "shingles"]
-    sides = [prints.select(F.col("id").alias(n), *[F.col(c).alias(f"{n}_{c}") for c in columns]) for n in ("a", "b")]
-    both = pairs.join(sides[0], "a").join(sides[1], "b").withColumn("bits", _differing("a_", "b_"))
-    sizes = similar_sizes(F.col("a_shingles"), F.col("b_shingles"), similarity)
-    return both.where((F.col("bits") <= DISTANCE) & sizes).select("a", "b", F.col("bits").cast("long").alias("bits"))
-
-
 def _nearest(pairs: DataFrame) -> DataFrame:
     """Of each text's pairs the closest with an earlier and the closest with a later text (by id)."""
     both = pairs.select("a", "b", "bits").union(pairs.select("b", "a", "bits")).toDF("x", "y", "bits")
@@ -296,15 +375,36 @@ def _rest(
     pair_limit: int = PAIR_LIMIT,
     similarity: float = SIMILARITY,
 ) -> DataFrame:
-    """All close pairs (a, b) not compared yet whose texts are not in one group; `found` names the groups.
+    """All close pairs (a, b) not compared yet whose texts are not in one group and may be that similar.
 
-    `close` has all close pairs of the small listings; those of the large ones are found here.
+    `found` names the groups, and `close` has the closest pairs in the small listings.
     """
-    left_over = close.select("a", "b").unionByName(
-        _across(prints, crowd.where(F.col("members") > pair_limit), found, similarity)
-    )
-    new = left_over.distinct().join(nearest, ["a", "b"], "left_anti")
-    return _grouped(_grouped(new, found, "a", "_of_a"), found, "b", "_of_b").where("_of_a <> _of_b").select("a", "b")
+    many = crowd.where(F.col("members") > pair_limit)
+    new = _between(prints, close, found, similarity).unionByName(_across(prints, many, found, similarity))
+    return new.distinct().join(nearest, ["a", "b"], "left_anti")
+
+
+def _between(prints: DataFrame, close: DataFrame, found: DataFrame, similarity: float) -> DataFrame:
+    """Close pairs of texts of different groups in each small listing.
+
+    A text with a close pair in a listing stands in one of its closest pairs, so those name all texts that matter.
+    """
+    sides = close.groupBy("listing").agg(F.collect_set("a").alias("_a"), F.collect_set("b").alias("_b"))
+    members = sides.select("listing", F.explode(F.array_union("_a", "_b")).alias("id"))
+    listing = Window.partitionBy("listing")
+    several = F.min("_group").over(listing) != F.max("_group").over(listing)
+    grouped = _grouped(members, found, "id", "_group").withColumn("_several", several).where("_several")
+    rows = grouped.join(prints, "id").select("listing", "id", "_group", "shingles", "counts", *_PARTS)
+
+    def pairs(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        listings, ids, sizes, groups = (rows[name].to_numpy() for name in ("listing", "id", "shingles", "_group"))
+        left, right, _ = close_in_listings(listings, _numbers(rows), sizes, similarity, groups)
+        counts = _counts(rows)
+        kept = _by_chunks(left, right, lambda a, b: may_be_similar(counts[a], counts[b], sizes[a], sizes[b], similarity))
+        left, right = left[kept], right[kept]
+        yield pd.DataFrame({"a": ids[left], "b": ids[right]}).drop_duplicates()
+
+    return _by_whole_keys(rows, ["listing"], ["listing", "id"], pairs, ["a", "b"])
 
 
 def _across(prints: DataFrame, many: DataFrame, found: DataFrame, similarity: float) -> DataFrame:
@@ -324,7 +424,7 @@ def _across(prints: DataFrame, many: DataFrame, found: DataFrame, similarity: fl
     across = F.ceil(F.col("_outside") / TILE)
     down = F.ceil(F.col("members") / TILE)
     outside = F.col("_group") != F.col("_largest")
-    columns = ["listing", "id", "_group", "shingles", *_PARTS]
+    columns = ["listing", "id", "_group", "shingles", "counts", *_PARTS]
     first = F.lit(0).cast("long")
     each_row, each_column = F.explode(F.sequence(first, down - 1)), F.explode(F.sequence(first, across - 1))
     left = rows.where(outside).select(
@@ -334,7 +434,7 @@ def _across(prints: DataFrame, many: DataFrame, found: DataFrame, similarity: fl
 
     def pairs(rows: pd.DataFrame) -> set[tuple[int, int]]:
         sides = [rows[rows["left"]], rows[~rows["left"]]]
-        prints = [side[list(_PARTS)].to_numpy().view(np.uint64) for side in sides]
+        prints, counts = [_numbers(side) for side in sides], [_counts(side) for side in sides]
         ids, groups, sizes = ([side[name].to_numpy() for side in sides] for name in ("id", "_group", "shingles"))
         found: set[tuple[int, int]] = set()
         for at in range(0, len(ids[0]), 256):  # bounded memory
@@ -343,8 +443,11 @@ def _across(prints: DataFrame, many: DataFrame, found: DataFrame, similarity: fl
             near &= groups[0][here, None] != groups[1][None, :]
             a, b = np.nonzero(near)
             a += at
-            small, large = np.minimum(sizes[0][a], sizes[1][b]), np.maximum(sizes[0][a], sizes[1][b])
-            kept = small / large >= similarity
+            kept = similar_sizes(sizes[0][a], sizes[1][b], similarity)
+            a, b = a[kept], b[kept]
+            kept = _by_chunks(
+                a, b, lambda a, b: may_be_similar(counts[0][a], counts[1][b], sizes[0][a], sizes[1][b], similarity)
+            )
             x, y = ids[0][a[kept]], ids[1][b[kept]]
             found.update(zip(np.minimum(x, y).tolist(), np.maximum(x, y).tolist()))
         return found
@@ -380,9 +483,9 @@ def groups(docs: DataFrame, pair_limit: int = PAIR_LIMIT) -> DataFrame:
     """id (a hash of the text) and group, for texts that have a near copy with another text."""
     prints = store(_prints(docs), "wide-fingerprints")
     crowd = shared_listings(prints)
-    # Of large listings only the closest pairs are needed here, as the rest takes all their pairs between groups.
+    # Only the closest pairs are needed here, as the rest takes all pairs between groups.
     close = store(_of_few(prints, crowd, pair_limit, SIMILARITY), "close-pairs")
-    nearest = store(_nearest(close.unionByName(_of_many(prints, crowd, pair_limit, SIMILARITY))), "nearest")
+    nearest = store(_nearest(close.drop("listing").unionByName(_of_many(prints, crowd, pair_limit, SIMILARITY))), "nearest")
     found = store(components(links(docs, nearest)), "groups")
     rest = store(_rest(prints, crowd, close, nearest, found, pair_limit), "rest")
     more = store(links(docs, rest), "more-links")

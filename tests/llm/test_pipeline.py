@@ -226,6 +226,73 @@ def test_a_crowded_listing_gives_no_more_than_two_pairs_a_text():
     assert near_copies.nearest_pairs(ids[:1], prints[:1], sizes[:1], 0.8) == set()
 
 
+def clusters_of_prints(rng, n, clusters):
+    base = rng.integers(0, 2**63, (clusters, 8), dtype=np.uint64)
+    prints = base[np.arange(n) % clusters].copy()
+    for _ in range(6):
+        prints[np.arange(n), rng.integers(0, 8, n)] ^= np.uint64(1) << rng.integers(0, 63, n).astype(np.uint64)
+    return prints
+
+
+def test_small_listings_are_compared_in_place():
+    """All close pairs of each listing, with their bits; of them each text's closest on either side; none within a group."""
+    rng = np.random.default_rng(5)
+    lengths = [1, 16, 2, 9, 1, 13]
+    listings = np.repeat(np.array([-4, -2, 0, 3, 8, 9]), lengths)
+    prints, sizes = clusters_of_prints(rng, len(listings), 2), np.where(np.arange(len(listings)) % 3 == 0, 50, 100)
+    pairs = [(i, j) for i in range(len(listings)) for j in range(i + 1, len(listings)) if listings[i] == listings[j] and sizes[i] == sizes[j]]
+    bits = {(i, j): int(np.bitwise_count(prints[i] ^ prints[j]).sum()) for i, j in pairs}
+    expected = {p: n for p, n in bits.items() if n <= near_copies.DISTANCE}
+    assert 0 < len(expected) < len(bits)
+
+    def found(function, *more):
+        left, right, n = function(listings, prints, sizes, 0.8, *more)
+        assert len({*zip(left.tolist(), right.tolist())}) == len(left)
+        return dict(zip(zip(left.tolist(), right.tolist()), n.tolist()))
+
+    assert found(near_copies.close_in_listings) == expected
+    groups = rng.integers(0, 2, len(listings))
+    assert found(near_copies.close_in_listings, groups) == {(i, j): n for (i, j), n in expected.items() if groups[i] != groups[j]}
+    closest = found(near_copies.closest_in_listings)
+    assert closest.items() < expected.items() and len(closest) <= 2 * len(listings)
+    for row in range(len(listings)):
+        for side in (0, 1):
+            mine = [n for p, n in expected.items() if p[side] == row]
+            assert not mine or min(mine) in {n for p, n in closest.items() if p[side] == row}
+
+
+def test_small_listings_give_no_more_than_two_pairs_a_text(spark):
+    """Variants of one text in many small listings; a row for each listing and text at most, not for each pair."""
+    rng = np.random.default_rng(6)
+    prints = clusters_of_prints(rng, 64, 1).view(np.int64)
+    rows = [(i, *prints[i].tolist(), 100) for i in range(64)]
+    schema = ", ".join(f"{c} long" for c in ("id", *near_copies._PARTS, "shingles"))
+    crowd = [(i, n * 100 + i // 16, 16) for n in range(3) for i in range(64)]
+    df, listed = spark.createDataFrame(rows, schema), spark.createDataFrame(crowd, "id long, listing long, members long")
+    found = near_copies._of_few(df, listed, 16, 0.8).collect()
+    assert 12 * 15 <= len(found) <= 2 * len(crowd) < 12 * 120
+    assert {r.listing for r in found} == {listing for _, listing, _ in crowd} and all(r.a < r.b for r in found)
+
+
+def test_bucket_counts_pass_every_similar_pair():
+    """Of sets around the similarity those that reach it always pass, nearly all that miss it clearly do not, and full buckets pass."""
+    rng, similarity = np.random.default_rng(7), 0.8
+    passed = {True: [], False: []}
+    for n in [1, 2, 5, 30, 100, 400]:
+        for changed_part in np.linspace(0, 0.3, 13):
+            a = {f"{n} {i}".encode() for i in range(n)}
+            keep = [s for s in a if rng.random() >= changed_part]
+            b = {*keep, *[f"new {rng.integers(10**9)}".encode() for _ in range(n - len(keep))]}
+            jaccard = len(a & b) / max(len(a | b), 1)
+            counts = [near_copies.bucket_counts(near_copies.hashes_of(s))[None, :] for s in (a, b)]
+            sizes = [np.array([len(s)]) for s in (a, b)]
+            passed[jaccard >= similarity].append(bool(near_copies.may_be_similar(*counts, *sizes, similarity)[0]))
+    assert all(passed[True]) and sum(passed[False]) < len(passed[False]) / 3
+    full = near_copies.bucket_counts(np.zeros(2000, np.uint64))[None, :]
+    assert full.max() == near_copies.FULL
+    assert near_copies.may_be_similar(full, full, np.array([2000]), np.array([2000]), similarity).all()
+
+
 def test_a_small_target_leaves_one_document(docs_of):
     """A source whose target is less than half of its first document."""
     rows = [(1, "long " * 5000, "en", "b")] + [(i, "w " * 20, "en", "a") for i in range(2, 60)]
