@@ -139,7 +139,8 @@ def silver_prices(spark, folder):
 @query
 def price_features_all(spark, folder):
     """All columns the feature chain makes, helper averages included, without a history limit."""
-    return price_plan.silver_prices(sample.bars(spark, folder), 1, keep_intermediate=True, stamp=False)
+    bars = sample.bars(spark, folder, price_plan.feature_tasks(spark))
+    return price_plan.silver_prices(bars, 1, keep_intermediate=True, stamp=False, dealt=True)
 
 
 @query

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import carry, clean, features, qualify
@@ -22,6 +22,11 @@ def clean_bars(raw: DataFrame, order: list) -> DataFrame:
     return clean.repair_ohlc(bars.withColumn("volume", F.col("volume").cast("double")))
 
 
+def feature_tasks(spark: SparkSession) -> int:
+    """Bars are few bytes for the work they take: without a number, adaptive execution makes a few large tasks of them."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def silver_prices(
     bars: DataFrame,
     min_bars: int = qualify.MIN_BARS,
@@ -29,15 +34,16 @@ def silver_prices(
     stamp: bool = True,
     carried: bool = False,
     states: bool = False,
+    dealt: bool = False,
 ) -> DataFrame:
     """Features of qualified tickers, rounded, in the order of the Silver table.
 
     Further columns of the bars follow those of the table. For ``carried`` and ``states`` see ``features.compute``;
-    a ticker that goes on from a state has qualified before.
+    a ticker that goes on from a state has qualified before. Bars that are ``dealt`` out by ticker to ``feature_tasks``
+    stay where they are.
     """
-    # Bars are few bytes for the work they take: without a number, adaptive execution makes a few large tasks of them.
-    tasks = int(bars.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    enough = qualify.qualified(bars.repartition(tasks, "ticker"), min_bars, features.CARRY if carried else None)
+    spread = bars if dealt else bars.repartition(feature_tasks(bars.sparkSession), "ticker")
+    enough = qualify.qualified(spread, min_bars, features.CARRY if carried else None)
     keyed = features.compute(enough, features.all_features(), keep_intermediate, carried, states)
     rounded = clean.round_numbers(keyed.withColumn("date_key", F.col("date")))
     result = clean.columns_first(rounded, [c for c in SILVER_PRICES.fieldNames() if c != "ingestion_timestamp"])

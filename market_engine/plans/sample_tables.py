@@ -16,24 +16,30 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def bars(spark: SparkSession, folder: str) -> DataFrame:
-    """Daily bars: first, highest, lowest and last price of a supplier's lines on one ship date."""
+def bars(spark: SparkSession, folder: str, tasks: int | None = None) -> DataFrame:
+    """Daily bars: first, highest, lowest and last price of a supplier's lines on one ship date.
+
+    With ``tasks`` the lines themselves are dealt out by ticker to so many tasks. Windows over a ticker then need no
+    shuffle of their own, but the lines of a day are not added up before the shuffle.
+    """
     price = F.sqrt("l_extendedprice")
     position = F.struct("l_orderkey", "l_linenumber", "l_partkey")
+    ticker = F.concat(F.lit("SRC"), F.col("l_suppkey").cast("string")).alias("ticker")
+    day = F.col("l_shipdate").cast("date").alias("date")
+    lines = table(spark, folder, "lineitem")
     # Grouping by the number rather than the name keeps sort and shuffle keys short.
-    days = (
-        table(spark, folder, "lineitem")
-        .groupBy("l_suppkey", F.col("l_shipdate").cast("date").alias("date"))
-        .agg(
-            F.min_by(price, position).alias("open"),
-            F.max(price).alias("high"),
-            F.min(price).alias("low"),
-            F.max_by(price, position).alias("close"),
-            F.sum("l_quantity").cast("double").alias("volume"),
-        )
+    keys = ["l_suppkey", day]
+    if tasks:
+        # The same expression as the key of the windows, or Spark would shuffle once more.
+        lines, keys = lines.repartition(tasks, ticker), [ticker, day]
+    days = lines.groupBy(*keys).agg(
+        F.min_by(price, position).alias("open"),
+        F.max(price).alias("high"),
+        F.min(price).alias("low"),
+        F.max_by(price, position).alias("close"),
+        F.sum("l_quantity").cast("double").alias("volume"),
     )
-    ticker = F.concat(F.lit("SRC"), F.col("l_suppkey").cast("string")).alias("ticker")
-    return days.select(ticker, "date", "open", "high", "low", "close", "volume")
+    return days.select("ticker" if tasks else ticker, "date", "open", "high", "low", "close", "volume")
 
 
 def dirty_bars(spark: SparkSession, folder: str) -> DataFrame:
