@@ -1,7 +1,8 @@
 """The corpus pipeline: toxic documents, exact and near copies go; sources are mixed and packed.
 
 Each stage takes (spark, docs, sf_dir), works on all that the one before kept, and is written as Parquet and
-read again before the next. All but the last return the columns of `documents`.
+read again before the next. All but the last return the columns of `documents`. The jobs that near copies and
+packing run themselves hand Python few rows at a time also where a stage is called on its own.
 """
 
 from __future__ import annotations
@@ -29,7 +30,8 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies, by five-word shingles and a similarity of 0.8, the document with the smallest doc_id."""
-    return near_copies.keep_one(docs)
+    with small_batches(spark):
+        return near_copies.keep_one(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,7 +41,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The place of every piece of every document in sequences of 1024 tokens."""
-    return packing.pack(docs)
+    with small_batches(spark):
+        return packing.pack(docs)
 
 
 STAGES = [

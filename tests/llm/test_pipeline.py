@@ -131,6 +131,20 @@ def test_the_pipeline_hands_python_small_batches(spark, docs_of, monkeypatch):
     assert seen == [1000] and spark.conf.get(name) == before
 
 
+@pytest.mark.parametrize("stage, module, work", [("simhash", near_copies, "keep_one"), ("packing", corpus_pipeline.packing, "pack")])
+def test_a_stage_on_its_own_hands_python_small_batches(spark, docs_of, monkeypatch, stage, module, work):
+    name, seen = "spark.sql.execution.arrow.maxRecordsPerBatch", []
+    before = spark.conf.get(name)
+
+    def watched(docs):
+        seen.append(int(spark.conf.get(name)))
+        return docs
+
+    monkeypatch.setattr(module, work, watched)
+    assert dict(corpus_pipeline.STAGES)[stage](spark, docs_of([(1, "a text")]), "").count() == 1
+    assert seen == [1000] and spark.conf.get(name) == before
+
+
 def test_unrelated_documents_without_ids_all_stay(docs_of, rng):
     rows = [(i, " ".join(prose(rng, 30))) for i in [None] * 5 + [3, 3, 4]]
     assert ids(rows_of(near_copies.keep_one(docs_of(rows)))) == ids(rows)
